@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallywork.functions.columns import col, one_row_to_long
+from tallywork.functions.columns import col, one_row_to_long, unpivot_columns
 from tallywork.functions.numeric import (
     adjusted_kurtosis,
     adjusted_skewness,
@@ -132,3 +132,11 @@ def numeric_by_group(
     return means.join(medians, [group, "column"]).select(
         col(group).alias("group"), "column", "mean", "median"
     )
+
+
+def outlier_rows(df: DataFrame, columns: Sequence[str], keys: Sequence[str], width: float = 1.5) -> DataFrame:
+    """``keys..., column, value`` of the values strictly outside the fences of their column."""
+    bounds = fences(quartiles(numeric_frequencies(df, columns)), width).select("column", "low", "high")
+    long = unpivot_columns(df, columns, "double", "value", ids=keys)
+    outside = (F.col("value") < F.col("low")) | (F.col("value") > F.col("high"))
+    return long.join(F.broadcast(bounds), "column").where(outside).drop("low", "high")  # one row per column
