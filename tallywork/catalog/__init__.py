@@ -9,6 +9,7 @@ def all_queries() -> dict:
         chart_queries,
         model_queries,
         profile_queries,
+        report_queries,
         scan_queries,
         split_queries,
         statistics_queries,

@@ -59,20 +59,14 @@ def density_sql(values: str, prefix: str = "WITH {census},") -> str:
     FROM f JOIN s ON f.grp = s.grp CROSS JOIN x CROSS JOIN range(0, 200) AS k(i) GROUP BY f.grp, i"""
 
 
-def _eight(df: DataFrame) -> DataFrame:
-    from pyspark.sql import functions as F
-
-    return df.withColumn("x", F.round("x", 6)).withColumn("density", F.round("density", 8))
-
-
 @query("kde_curve", density_sql("SELECT CAST(quantity AS DOUBLE) AS value, income AS grp FROM census"))
 def _(t: Tables) -> DataFrame:
-    return _eight(charts.density_curve(t.census, "quantity", "income"))
+    return rounded(charts.density_curve(t.census, "quantity", "income"), density=8)
 
 
 @query("kde_curve_skewed", density_sql("SELECT value, 'all' AS grp FROM events", "WITH"))
 def _(t: Tables) -> DataFrame:
-    return _eight(charts.density_curve(t.read("events"), "value"))
+    return rounded(charts.density_curve(t.read("events"), "value"), density=8)
 
 
 _BOX = f"""b AS (

@@ -117,7 +117,10 @@ def _(t: Tables) -> DataFrame:
 def _trained(t: Tables, name: str) -> training.TrainedModel:
     table = training.model_table(t.census, SPEC)
     rows = table.where(F.col("split") == "train").count()
-    classifier = training.logistic(rows) if name == training.LOGISTIC else training.forest(seed=SPEC.seed)
+    if name == training.LOGISTIC:
+        classifier = training.logistic(rows)
+    else:
+        classifier = training.forest(SPEC.forest_trees, SPEC.forest_depth, SPEC.seed)
     return training.train_and_evaluate(name, classifier, table, SPEC)
 
 

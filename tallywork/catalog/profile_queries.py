@@ -14,7 +14,7 @@ NUM = SPEC.numeric
 CAT = SPEC.categorical
 
 
-def profile_sql(columns, source: str, prefix: str, digits: int = 6) -> str:
+def profile_sql(columns, source: str, prefix: str) -> str:
     """SQL of the numeric profile over the long form of some columns."""
     return f"""{prefix} long AS ({long_sql(columns, source=source)}),
     s AS (
@@ -28,7 +28,7 @@ def profile_sql(columns, source: str, prefix: str, digits: int = 6) -> str:
       SELECT long."column", count(*) FILTER (WHERE value < q1 - 1.5E0 * (q3 - q1) OR value > q3 + 1.5E0 * (q3 - q1))
              AS outlier_candidates
       FROM long JOIN s ON long."column" = s."column" GROUP BY long."column")
-    SELECT s."column", n AS count, {r("mean", digits)} AS mean, {r("std", digits)} AS std, {r("lo")} AS min,
+    SELECT s."column", n AS count, {r("mean", 8)} AS mean, {r("std")} AS std, {r("lo")} AS min,
            {r("q1")} AS q1, {r("median")} AS median, {r("q3")} AS q3, {r("hi")} AS max, {r("q3 - q1")} AS iqr,
            all_rows - n AS missing, {r("100.0E0 * (all_rows - n) / all_rows")} AS missing_pct, distinct_values,
            {r("skew")} AS skewness, {r("kurt")} AS kurtosis, outlier_candidates, {r("zero_pct")} AS zero_pct
@@ -40,12 +40,12 @@ PROFILE_SQL = profile_sql(NUM, "census", "WITH {census},")
 
 @query("numeric_profile", PROFILE_SQL)
 def _(t: Tables) -> DataFrame:
-    return rounded(numeric.numeric_profile(t.census, NUM))
+    return rounded(numeric.numeric_profile(t.census, NUM), mean=8)
 
 
 @query("events_profile", profile_sql(["value"], "events", "WITH"))
 def _(t: Tables) -> DataFrame:
-    return rounded(numeric.numeric_profile(t.read("events"), ["value"]))
+    return rounded(numeric.numeric_profile(t.read("events"), ["value"]), mean=8)
 
 
 @query(
@@ -56,7 +56,7 @@ def _(t: Tables) -> DataFrame:
     joined = t.read("documents").select("doc_id", "n_chars").join(
         t.read("labels").select("doc_id", "quality"), "doc_id", "left"
     )
-    return rounded(numeric.numeric_profile(joined, ["n_chars", "quality"]))
+    return rounded(numeric.numeric_profile(joined, ["n_chars", "quality"]), mean=8)
 
 
 @query(
@@ -94,14 +94,14 @@ def _(t: Tables) -> DataFrame:
              100.0E0 * avg(CASE WHEN value = 0 THEN 1.0E0 ELSE 0.0E0 END) AS zero_pct,
              quantile_cont(value, 0.25) AS q1, quantile_cont(value, 0.75) AS q3
       FROM long GROUP BY "column")
-    SELECT s."column", {r("any_value(gap)")} AS mean_median_gap, {r("any_value(skew)")} AS skewness,
+    SELECT s."column", {r("any_value(gap)", 8)} AS mean_median_gap, {r("any_value(skew)")} AS skewness,
            CASE WHEN any_value(skew) > 0.5 THEN 'right' WHEN any_value(skew) < -0.5 THEN 'left' ELSE 'even' END AS skew_label,
            {r("any_value(zero_pct)")} AS zero_pct,
            count(*) FILTER (WHERE value < q1 - 1.5E0 * (q3 - q1) OR value > q3 + 1.5E0 * (q3 - q1)) AS outlier_candidates
     FROM long JOIN s ON long."column" = s."column" GROUP BY s."column" """,
 )
 def _(t: Tables) -> DataFrame:
-    return rounded(numeric.numeric_hints(numeric.numeric_profile(t.census, NUM)))
+    return rounded(numeric.numeric_hints(numeric.numeric_profile(t.census, NUM)), mean_median_gap=8)
 
 
 BY_TARGET_SQL = f"""WITH {{census}}, long AS ({long_sql(NUM, "income")})

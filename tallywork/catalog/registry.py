@@ -45,11 +45,11 @@ def query(name: str, sql: str | None = None):
     return keep
 
 
-def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
-    """Round every double so that two engines' sums compare equal."""
+def rounded(df: DataFrame, **digits: int) -> DataFrame:
+    """Round every double (6 digits unless named) so that two engines' sums compare equal."""
     return df.select(
         *[
-            F.round(col(f.name), digits).alias(f.name) if isinstance(f.dataType, T.DoubleType) else col(f.name)
+            F.round(col(f.name), digits.get(f.name, 6)).alias(f.name) if isinstance(f.dataType, T.DoubleType) else col(f.name)
             for f in df.schema.fields
         ]
     )

@@ -127,9 +127,7 @@ def _(t: Tables) -> DataFrame:
 
 def welch(t: Tables) -> DataFrame:
     tests = ttest.welch_t_tests(t.census, SPEC.test_values, "income", ">50K", "<=50K")
-    from pyspark.sql import functions as F
-
-    return rounded(tests.withColumn("dof", F.round("dof", 4)))
+    return rounded(tests, dof=4)
 
 
 @query(

@@ -130,13 +130,13 @@ def selection(table: DataFrame, margin: float = 0.01) -> DataFrame:
 
 
 def compare_models(
-    table: DataFrame, spec: AnalysisSpec, trees: int = 100, depth: int = 30
+    table: DataFrame, spec: AnalysisSpec
 ) -> tuple[DataFrame, DataFrame, dict[str, TrainedModel]]:
     """Train both classifiers on the same split: (comparison, selection, models by name)."""
     train_rows = table.where(F.col("split") == "train").count()
     models = {
         LOGISTIC: train_and_evaluate(LOGISTIC, logistic(train_rows), table, spec),
-        FOREST: train_and_evaluate(FOREST, forest(trees, depth, spec.seed), table, spec),
+        FOREST: train_and_evaluate(FOREST, forest(spec.forest_trees, spec.forest_depth, spec.seed), table, spec),
     }
     # Two stored rows: later uses of the tables do not recompute the metrics.
     compared = materialize(comparison(list(models.values())), "comparison")

@@ -37,6 +37,8 @@ class AnalysisSpec:
     seed: int = 42
     sample_size: int = 5000
     tie_margin: float = 0.01
+    forest_trees: int = 100
+    forest_depth: int = 30
 
     @property
     def target_mapping(self) -> dict[str, int]:
