@@ -14,7 +14,7 @@ from tallywork.functions.columns import recode, unpivot_columns
 from tallywork.modeling import features, training
 from tallywork.operators import evaluate
 from tallywork.sources import sinks
-from tallywork.sources.scratch import new_path
+from tallywork.sources.scratch import materialize, new_path
 
 NUM = SPEC.model_numeric
 CAT = SPEC.model_categorical
@@ -22,7 +22,9 @@ TRAIN_SQL = f"{SPLIT_SQL}, train AS (SELECT * FROM split_rows WHERE split = 'tra
 
 
 def _train(t: Tables) -> DataFrame:
-    return census_split(t).where(F.col("split") == "train")
+    columns = list(dict.fromkeys([*SPEC.key, "price", *NUM, *CAT, "income"]))
+    stored = materialize(census_split(t).select(*columns, "split"), "split", partition_by=("split",))
+    return stored.where(F.col("split") == "train")
 
 
 @query(

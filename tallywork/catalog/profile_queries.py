@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tallywork.catalog.census import SPEC
 from tallywork.catalog.registry import Tables, long_sql, query, r, rounded
 from tallywork.operators import categorical, charts, contingency, numeric, quality
-from tallywork.operators.frequency import category_frequencies, numeric_frequencies
+from tallywork.operators.frequency import category_frequencies
 
 NUM = SPEC.numeric
 CAT = SPEC.categorical
@@ -59,6 +59,20 @@ def _(t: Tables) -> DataFrame:
     return rounded(numeric.numeric_profile(joined, ["n_chars", "quality"]), mean=8)
 
 
+@query(
+    "moments",
+    f"""WITH {{census}}, long AS ({long_sql(NUM)})
+    SELECT "column", count(value) AS count, {r("avg(value)", 8)} AS mean, {r("stddev_samp(value)")} AS std,
+           {r("min(value)")} AS min, {r("max(value)")} AS max, count(*) - count(value) AS missing,
+           {r("100.0E0 * (count(*) - count(value)) / count(*)")} AS missing_pct,
+           {r("skewness(value)")} AS skewness, {r("kurtosis(value)")} AS kurtosis,
+           {r("100.0E0 * avg(CASE WHEN value = 0 THEN 1.0E0 ELSE 0.0E0 END)")} AS zero_pct
+    FROM long GROUP BY "column" """,
+)
+def _(t: Tables) -> DataFrame:
+    return rounded(numeric.moments(t.census, NUM), mean=8)
+
+
 @query(
     "quartiles",
     f"""WITH {{census}}, long AS ({long_sql(NUM)})
@@ -68,7 +82,7 @@ def _(t: Tables) -> DataFrame:
     FROM long GROUP BY "column" """,
 )
 def _(t: Tables) -> DataFrame:
-    return rounded(numeric.quartiles(numeric_frequencies(t.census, NUM)))
+    return rounded(numeric.quartiles(numeric.stored_frequencies(t.census, NUM)))
 
 
 @query(
@@ -82,7 +96,7 @@ def _(t: Tables) -> DataFrame:
     FROM long JOIN f ON long."column" = f."column" GROUP BY long."column" """,
 )
 def _(t: Tables) -> DataFrame:
-    freq = numeric_frequencies(t.census, NUM)
+    freq = numeric.stored_frequencies(t.census, NUM)
     return rounded(numeric.outliers_and_distinct(freq, numeric.quartiles(freq)))
 
 

@@ -7,15 +7,18 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Fixed value: the characters a full two-sided strip removes (Unicode white space plus the
-# four ASCII separators).
-BLANK = r"[\s\x1c-\x1f]"
+# The characters a full two-sided strip removes (Unicode white space plus the four
+# ASCII separators).
+BLANKS = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+    + "".join(chr(c) for c in range(0x2000, 0x200B))
+    + "\u2028\u2029\u202f\u205f\u3000"
+)
 
 
 def strip(column: Column) -> Column:
     """Remove white space of every kind from both ends (plain ``trim`` keeps tabs)."""
-    left = F.regexp_replace(column, "(?U)^" + BLANK + "+", "")
-    return F.regexp_replace(left, "(?U)" + BLANK + "+$", "")
+    return F.btrim(column, F.lit(BLANKS))
 
 
 def clean_label(column: Column, trailing: str = ".") -> Column:

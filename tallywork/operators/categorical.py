@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tallywork.functions.columns import col
 from tallywork.functions.numeric import ratio
 from tallywork.operators.frequency import category_frequencies
+from tallywork.sources.scratch import materialize
 
 
 def column_totals(freq: DataFrame, sparse_share: float = 0.01) -> DataFrame:
@@ -35,9 +36,13 @@ def top_levels(freq: DataFrame, n: int) -> DataFrame:
     Ties go to the smaller category. The rank filter lets Spark keep only ``n`` rows per column
     in every task before the shuffle, so no task sorts a whole column.
     """
-    order = Window.partitionBy("column").orderBy(F.col("n").desc(), F.col("category").asc())
-    ranked = freq.where(F.col("category").isNotNull()).withColumn("level_rank", F.row_number().over(order))
-    return ranked.where(F.col("level_rank") <= n)
+    # Missing comes last and is dropped after the ranking: a filter before it would travel down
+    # into the scan and keep this branch from sharing the frequency table with others.
+    order = Window.partitionBy("column").orderBy(
+        F.col("category").isNull(), F.col("n").desc(), F.col("category").asc()
+    )
+    ranked = freq.withColumn("level_rank", F.row_number().over(order))
+    return ranked.where((F.col("level_rank") <= n) & F.col("category").isNotNull())
 
 
 def value_counts(freq: DataFrame, n: int, with_positive: bool = True) -> DataFrame:
@@ -81,8 +86,8 @@ def categorical_columns(freq: DataFrame, share: float = 0.01) -> DataFrame:
 def categorical_profile(
     df: DataFrame, columns: Sequence[str], target: str, positive: str, top_n: int = 10, share: float = 0.01
 ) -> dict[str, DataFrame]:
-    """``{"columns": per column, "categories": per top category}`` from one frequency table."""
-    freq = category_frequencies(df, columns, target, positive)
+    """``{"columns": per column, "categories": per top category}`` from one stored frequency table."""
+    freq = materialize(category_frequencies(df, columns, target, positive), "category-frequencies")
     return {"columns": categorical_columns(freq, share), "categories": value_counts(freq, top_n)}
 
 

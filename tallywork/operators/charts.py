@@ -12,9 +12,9 @@ from tallywork.functions.numeric import finite_or_null, ratio
 from tallywork.operators.categorical import target_distribution
 from tallywork.operators.contingency import crosstab, row_shares
 from tallywork.operators.correlation import matrix_cells, pearson_pairs
-from tallywork.operators.frequency import numeric_frequencies
-from tallywork.operators.numeric import fences, quartiles
+from tallywork.operators.numeric import fences, quartiles, stored_frequencies
 from tallywork.operators.split import fixed_sample
+from tallywork.sources.scratch import materialize
 
 GRID_POINTS = 200
 # A Gaussian further than this many bandwidths away underflows to exactly 0 in double precision.
@@ -27,19 +27,20 @@ def class_bars(df: DataFrame, target: str) -> DataFrame:
     return counts.orderBy(F.col("n").desc(), F.col("category").asc())
 
 
-def _values(df: DataFrame, column: str, group: str | None) -> DataFrame:
+def _grouped_frequencies(df: DataFrame, column: str, group: str | None) -> DataFrame:
+    """``group, column, value, n``, stored: the charts below read it several times."""
     label = col(group).cast("string") if group is not None else F.lit("all")
-    rows = df.select(label.alias("group"), finite_or_null(col(column)).alias("value"))
-    return rows.where(F.col("value").isNotNull() & F.col("group").isNotNull())
+    rows = df.select(label.alias("group"), finite_or_null(col(column)).alias(column))
+    return stored_frequencies(rows, [column], by=("group",))
 
 
-def bin_edges(df: DataFrame, column: str) -> DataFrame:
-    """One row ``low, high, n, width, bins``: the automatic rule for histogram bins.
+def bin_edges(freq: DataFrame) -> DataFrame:
+    """One row ``low, high, n, width, bins`` from ``(column, value, n)`` of one column: the
+    automatic rule for histogram bins.
 
     The width is the smaller of the Freedman-Diaconis and Sturges widths, or Sturges when the
     interquartile range is 0; a constant column gets one bin of width 1 around its value.
     """
-    freq = numeric_frequencies(df, [column])
     span = freq.groupBy("column").agg(
         F.min("value").alias("low"), F.max("value").alias("high"), F.sum("n").alias("n")
     )
@@ -49,12 +50,11 @@ def bin_edges(df: DataFrame, column: str) -> DataFrame:
     sturges = extent / (F.log2(n) + 1)
     robust = 2 * F.col("iqr") / F.cbrt(n)
     width = F.when(extent == 0, F.lit(1.0)).when(robust > 0, F.least(robust, sturges)).otherwise(sturges)
-    low = F.when(extent == 0, F.col("low") - 0.5).otherwise(F.col("low"))
+    flat = F.when(extent == 0, F.lit(0.5)).otherwise(F.lit(0.0))
     return both.select(
-        low.alias("low"),
-        F.when(extent == 0, F.col("high") + 0.5).otherwise(F.col("high")).alias("high"),
+        (F.col("low") - flat).alias("low"),
+        (F.col("high") + flat).alias("high"),
         "n",
-        width.alias("raw_width"),
         F.when(extent == 0, F.lit(1)).otherwise(F.ceil(extent / width)).cast("bigint").alias("bins"),
     ).withColumn("width", (F.col("high") - F.col("low")) / F.col("bins"))
 
@@ -66,18 +66,18 @@ def _count_up(n: Column) -> Column:
 def histogram(df: DataFrame, column: str, group: str | None = None) -> DataFrame:
     """``group, bin, bin_low, bin_high, n`` on common bins, empty bins included.
 
-    Rows are counted per (group, bin) with partial aggregation; the bin rule reaches them as
-    scalar subqueries, so nothing is joined row by row.
+    One scan gives the value counts; edges and bins both come from them. The bin rule reaches the
+    counts as scalar subqueries, so nothing is joined.
     """
-    edges = bin_edges(df, column)
+    freq = _grouped_frequencies(df, column, group)
+    edges = materialize(bin_edges(freq.groupBy("column", "value").agg(F.sum("n").alias("n"))), "edges")
     low, width, bins = (edges.select(c).scalar() for c in ("low", "width", "bins"))
-    rows = _values(df, column, group)
-    rows = rows.withColumn("at", F.least(F.floor((F.col("value") - low) / width).cast("bigint"), bins - 1))
+    rows = freq.withColumn("at", F.least(F.floor((F.col("value") - low) / width).cast("bigint"), bins - 1))
     # The quotient can miss an edge by one unit in the last place; the edges themselves decide.
     too_high = F.col("value") < low + F.col("at") * width
     too_low = (F.col("value") >= low + (F.col("at") + 1) * width) & (F.col("at") < bins - 1)
     placed = F.when(too_high, F.col("at") - 1).when(too_low, F.col("at") + 1).otherwise(F.col("at"))
-    counted = rows.groupBy("group", placed.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+    counted = rows.groupBy("group", placed.alias("bin")).agg(F.sum("n").alias("n"))
     groups = counted.groupBy("group").agg(F.count(F.lit(1)).alias("__used"))
     # Generate bins in two steps so that no single row holds a long array.
     block = F.lit(4096).cast("bigint")
@@ -99,15 +99,26 @@ def density_curve(df: DataFrame, column: str, group: str | None = None, points:
     Bandwidth per group is std * n^(-1/5). The kernel is summed over distinct values, and each
     value touches only the grid points its kernel can reach, which shrinks as n grows.
     """
-    rows = _values(df, column, group)
-    freq = rows.groupBy("group", "value").agg(F.count(F.lit(1)).alias("n"))
+    freq = _grouped_frequencies(df, column, group)
     span = freq.agg(F.min("value").alias("low"), F.max("value").alias("high"))
     low, high = span.select("low").scalar(), span.select("high").scalar()
     gap = (high - low) / F.lit(float(points - 1))
+    means = freq.groupBy("group").agg(
+        F.sum("n").alias("rows"), (F.sum(F.col("n") * F.col("value")) / F.sum("n")).alias("mean")
+    )
+    away = F.col("value") - F.col("mean")
     widths = (
-        rows.groupBy("group")
-        .agg(F.count(F.lit(1)).alias("rows"), F.stddev_samp("value").alias("std"))
-        .select("group", "rows", (F.col("std") * F.pow(F.col("rows").cast("double"), F.lit(-0.2))).alias("h"))
+        freq.join(means, "group")
+        .groupBy("group")
+        .agg(F.max("rows").alias("rows"), F.sum(F.col("n") * away * away).alias("m2"))
+        .select(
+            "group",
+            "rows",
+            (
+                F.sqrt(F.try_divide(F.col("m2"), F.col("rows") - F.lit(1.0)))
+                * F.pow(F.col("rows").cast("double"), F.lit(-0.2))
+            ).alias("h"),
+        )
         .where(F.col("h") > 0)
     )
     reach = F.lit(KERNEL_REACH) * F.col("h")
@@ -149,9 +160,7 @@ def _box_table(freq: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 def box_stats(df: DataFrame, column: str, group: str) -> DataFrame:
     """``group, n, q1, median, q3, whisker_low, whisker_high, fliers`` per group."""
-    freq = _values(df, column, group).groupBy("group", F.lit(column).alias("column"), "value").agg(
-        F.count(F.lit(1)).alias("n")
-    )
+    freq = _grouped_frequencies(df, column, group)
     return _box_table(freq, ("group", "column")).drop("column")
 
 
@@ -162,12 +171,8 @@ def log_values(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def log_box_stats(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Box statistics of log(1 + x) for several columns."""
-    freq = (
-        log_values(df, columns)
-        .where(F.col("value").isNotNull() & ~F.isnan("value"))
-        .groupBy("column", "value")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
+    logs = df.select(*[F.log1p(col(c).cast("double")).alias(c) for c in columns])
+    freq = stored_frequencies(logs, columns)
     return _box_table(freq, ("column",))
 
 

@@ -16,6 +16,7 @@ from tallywork.functions.columns import col
 from tallywork.functions.numeric import ratio
 from tallywork.functions.tails import chi_square_p_value
 from tallywork.operators.categorical import top_levels
+from tallywork.sources.scratch import materialize
 
 
 def label_frequencies(df: DataFrame, rows: Sequence[str], label: str) -> DataFrame:
@@ -77,6 +78,8 @@ def crosstab(
     """Observed cells ``column, level, label, n``; without ``top_n`` every level is kept."""
     pairs = label_frequencies(df, rows, label)
     if top_n is not None:
+        # Read several times below: store the counts, so the data is scanned once.
+        pairs = materialize(pairs, "label-frequencies")
         return cap_levels(pairs, top_n, uncapped, null_to_other=null_to_other)
     return pairs.where(F.col("category").isNotNull()).select("column", F.col("category").alias("level"), "label", "n")
 

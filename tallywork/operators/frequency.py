@@ -17,19 +17,20 @@ from tallywork.functions.columns import col, indicator, unpivot_columns
 from tallywork.functions.numeric import finite_or_null
 
 
-def long_numeric(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
-    """``(by..., column, value)`` without missing values; rows with a NULL ``by`` are left out."""
+def numeric_frequencies(
+    df: DataFrame, columns: Sequence[str], by: Sequence[str] = (), keep_missing: bool = False
+) -> DataFrame:
+    """``(by..., column, value, n)``: how often each value occurs.
+
+    Rows with a NULL ``by`` are left out. With ``keep_missing`` the NULL value is a row too, so
+    the table also carries the missing counts.
+    """
     long = unpivot_columns(df, columns, "double", "value", ids=by)
     long = long.withColumn("value", finite_or_null(F.col("value")))
-    keep = F.col("value").isNotNull()
     for name in by:
-        keep = keep & col(name).isNotNull()
-    return long.where(keep)
-
-
-def numeric_frequencies(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
-    """``(by..., column, value, n)``: how often each value occurs."""
-    long = long_numeric(df, columns, by)
+        long = long.where(col(name).isNotNull())
+    if not keep_missing:
+        long = long.where(F.col("value").isNotNull())
     return long.groupBy(*[col(b) for b in by], "column", "value").agg(F.count(F.lit(1)).alias("n"))
 
 

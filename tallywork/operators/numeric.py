@@ -17,9 +17,19 @@ from tallywork.functions.numeric import (
 )
 from tallywork.operators.frequency import numeric_frequencies
 from tallywork.operators.order import quantiles
+from tallywork.sources.scratch import materialize
 
 QUARTILES = {"q1": 0.25, "median": 0.5, "q3": 0.75}
 
+# G1 and G2 from sums of powers around the mean; NULL below three (four) values, 0 when constant.
+ADJUSTED_SKEWNESS = """
+    CASE WHEN count < 3 THEN NULL WHEN m2 = 0 THEN 0D
+         ELSE sqrt(count * (count - 1D)) / (count - 2) * (m3 / count) / power(m2 / count, 1.5D) END"""
+ADJUSTED_KURTOSIS = """
+    CASE WHEN count < 4 THEN NULL WHEN m2 = 0 THEN 0D
+         ELSE (count - 1D) / ((count - 2D) * (count - 3D))
+              * ((count + 1D) * (count * m4 / (m2 * m2) - 3D) + 6D) END"""
+
 
 def moments(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """``column, count, mean, std, min, max, missing, missing_pct, skewness, kurtosis, zero_pct``.
@@ -84,27 +94,66 @@ def outliers_and_distinct(freq: DataFrame, quartile_table: DataFrame) -> DataFra
     )
 
 
+def stored_frequencies(
+    df: DataFrame, columns: Sequence[str], by: Sequence[str] = (), keep_missing: bool = False
+) -> DataFrame:
+    """A frequency table written once, for operators that read it several times."""
+    return materialize(numeric_frequencies(df, columns, by, keep_missing), "numeric-frequencies")
+
+
 def numeric_profile(df: DataFrame, columns: Sequence[str], freq: DataFrame | None = None) -> DataFrame:
-    """Sixteen descriptive fields per numeric column.
+    """Descriptive fields per numeric column: count, mean, std, min, quartiles, max, iqr, missing,
+    distinct values, adjusted skewness and kurtosis, outlier candidates, share of zeros.
 
-    Moments come from one wide aggregate; distinct counts, quartiles and outliers share one
-    frequency table (pass ``freq`` to reuse one that is already stored).
+    Everything derives from one stored frequency table that includes the missing counts (pass
+    ``freq`` to reuse one), so the data itself is scanned once. Central moments are summed
+    around the known mean.
     """
     if freq is None:
-        freq = numeric_frequencies(df, columns)
-    quartile_table = quartiles(freq)
-    extra = outliers_and_distinct(freq, quartile_table).drop("low", "high")
-    # Every table below has one row per profiled column.
-    return (
-        moments(df, columns)
-        .join(F.broadcast(quartile_table), "column", "left")
-        .join(F.broadcast(extra), "column", "left")
-        .select(
-            "column", "count", "mean", "std", "min", "q1", "median", "q3", "max", "iqr", "missing", "missing_pct",
-            F.coalesce("distinct_values", F.lit(0)).alias("distinct_values"), "skewness", "kurtosis",
-            F.coalesce("outlier_candidates", F.lit(0)).alias("outlier_candidates"), "zero_pct",
+        freq = stored_frequencies(df, columns, keep_missing=True)
+    n, value = F.col("n"), F.col("value")
+    present = value.isNotNull()
+    base = freq.groupBy("column").agg(
+        F.sum("n").alias("rows"),
+        F.coalesce(F.sum(F.when(present, n)), F.lit(0)).alias("count"),
+        F.sum(n * value).alias("__sum"),
+        F.min("value").alias("min"),
+        F.max("value").alias("max"),
+        F.count("value").alias("distinct_values"),
+        F.coalesce(F.sum(F.when(value == 0, n)), F.lit(0)).alias("zeros"),
+    )
+    base = base.withColumn("mean", F.try_divide("__sum", F.col("count").cast("double"))).drop("__sum")
+    quartile_table = quartiles(freq.where(present))
+    # One row per column in each of these tables.
+    known = base.join(F.broadcast(fences(quartile_table)), "column", "left")
+    d = value - F.col("mean")
+    outside = (value < F.col("low")) | (value > F.col("high"))
+    spread = (
+        freq.join(F.broadcast(known.select("column", "mean", "low", "high")), "column")
+        .groupBy("column")
+        .agg(
+            F.sum(n * d * d).alias("m2"),
+            F.sum(n * d * d * d).alias("m3"),
+            F.sum(n * d * d * d * d).alias("m4"),
+            F.coalesce(F.sum(F.when(outside, n)), F.lit(0)).alias("outlier_candidates"),
         )
     )
+    full = known.join(F.broadcast(spread), "column")
+    missing = F.col("rows") - F.col("count")
+    return full.select(
+        "column",
+        "count",
+        "mean",
+        F.when(F.col("count") > 1, F.sqrt(F.expr("try_divide(m2, count - 1)"))).alias("std"),
+        "min", "q1", "median", "q3", "max", "iqr",
+        missing.alias("missing"),
+        (F.lit(100.0) * ratio(missing, F.col("rows"), None)).alias("missing_pct"),
+        "distinct_values",
+        F.expr(ADJUSTED_SKEWNESS).alias("skewness"),
+        F.expr(ADJUSTED_KURTOSIS).alias("kurtosis"),
+        "outlier_candidates",
+        (F.lit(100.0) * ratio(F.col("zeros"), F.col("rows"), None)).alias("zero_pct"),
+    )
 
 
 def numeric_hints(profile: DataFrame) -> DataFrame:
@@ -124,7 +173,7 @@ def numeric_by_group(
 ) -> DataFrame:
     """``group, column, mean, median`` per group; rows without a group are left out."""
     if freq is None:
-        freq = numeric_frequencies(df, columns, by=(group,))
+        freq = stored_frequencies(df, columns, by=(group,))
     means = freq.groupBy(col(group), F.col("column")).agg(
         (F.sum(F.col("n") * F.col("value")) / F.sum("n")).alias("mean")
     )
@@ -136,7 +185,7 @@ def numeric_by_group(
 
 def outlier_rows(df: DataFrame, columns: Sequence[str], keys: Sequence[str], width: float = 1.5) -> DataFrame:
     """``keys..., column, value`` of the values strictly outside the fences of their column."""
-    bounds = fences(quartiles(numeric_frequencies(df, columns)), width).select("column", "low", "high")
+    bounds = fences(quartiles(stored_frequencies(df, columns)), width).select("column", "low", "high")
     long = unpivot_columns(df, columns, "double", "value", ids=keys)
     outside = (F.col("value") < F.col("low")) | (F.col("value") > F.col("high"))
     return long.join(F.broadcast(bounds), "column").where(outside).drop("low", "high")  # one row per column

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallywork.functions.columns import col, one_row_to_long
@@ -44,31 +44,36 @@ def column_types(df: DataFrame) -> DataFrame:
     return df.sparkSession.createDataFrame(rows, "column string, type string, position bigint")
 
 
+def _fact(name: str, item: str, value: Column) -> Column:
+    return F.struct(F.lit(name).alias("__fact"), F.lit(item).alias("item"), value.alias("value"))
+
+
+def _size_and_gaps(df: DataFrame, columns: Sequence[str], rates: Sequence[str] = ()) -> DataFrame:
+    """``__fact, item, value`` rows for sizes and missing values, from one aggregate."""
+    one = df.agg(F.count(F.lit(1)).alias("__rows"), *[F.count(col(c)).alias(f"__{i}") for i, c in enumerate(columns)])
+    gap = {c: (F.col("__rows") - F.col(f"__{i}")).cast("double") for i, c in enumerate(columns)}
+    facts = [
+        _fact("rows", "", F.col("__rows").cast("double")),
+        _fact("columns", "", F.lit(float(len(df.columns)))),
+        *[_fact("missing", c, gap[c]) for c in columns],
+        *[_fact("missing_pct", c, F.lit(100.0) * ratio(gap[c], F.col("__rows"), None)) for c in rates],
+    ]
+    return one.select(F.inline(F.array(*facts)))
+
+
 def overview(df: DataFrame, key_missing: Sequence[str] = ()) -> DataFrame:
     """``item, metric, value``: sizes, duplicates, missing counts, missing rates of key columns."""
-    sizes = shape(df).select(
-        F.inline(
-            F.array(
-                F.struct(F.lit("table").alias("item"), F.lit("rows").alias("metric"),
-                         F.col("row_count").cast("double").alias("value")),
-                F.struct(F.lit("table").alias("item"), F.lit("columns").alias("metric"),
-                         F.col("column_count").cast("double").alias("value")),
-            )
-        )
+    facts = _size_and_gaps(df, df.columns, key_missing).select(
+        F.when(F.col("item") == "", F.lit("table")).otherwise(F.col("item")).alias("item"),
+        F.col("__fact").alias("metric"),
+        "value",
     )
     copies = duplicate_count(df).select(
         F.lit("table").alias("item"),
         F.lit("duplicate_rows").alias("metric"),
         F.col("duplicate_rows").cast("double").alias("value"),
     )
-    gaps = missing(df)
-    counts = gaps.select(
-        F.col("column").alias("item"), F.lit("missing").alias("metric"), F.col("missing").cast("double").alias("value")
-    )
-    rates = gaps.where(F.col("column").isin(*key_missing)).select(
-        F.col("column").alias("item"), F.lit("missing_pct").alias("metric"), F.col("missing_pct").alias("value")
-    )
-    return sizes.unionByName(copies).unionByName(counts).unionByName(rates)
+    return facts.unionByName(copies)
 
 
 def ranges(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -88,17 +93,8 @@ def ranges(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def _facts(df: DataFrame, key_missing: Sequence[str], target: str) -> DataFrame:
     """``check_name, item, value`` facts about one table."""
-    rows = shape(df).select(
-        F.inline(
-            F.array(
-                F.struct(F.lit("rows").alias("check_name"), F.lit("").alias("item"), F.col("row_count").alias("value")),
-                F.struct(F.lit("columns").alias("check_name"), F.lit("").alias("item"),
-                         F.col("column_count").alias("value")),
-            )
-        )
-    )
-    gaps = missing(df, key_missing).select(
-        F.lit("missing").alias("check_name"), F.col("column").alias("item"), F.col("missing").alias("value")
+    sizes = _size_and_gaps(df, key_missing).select(
+        F.col("__fact").alias("check_name"), "item", F.col("value").cast("bigint").alias("value")
     )
     labels = (
         df.where(col(target).isNotNull())
@@ -109,7 +105,7 @@ def _facts(df: DataFrame, key_missing: Sequence[str], target: str) -> DataFrame:
     distinct = duplicate_count(df).select(
         F.lit("distinct_rows").alias("check_name"), F.lit("").alias("item"), F.col("distinct_rows").alias("value")
     )
-    return rows.unionByName(gaps).unionByName(labels).unionByName(distinct)
+    return sizes.unionByName(labels).unionByName(distinct)
 
 
 def reconcile(left: DataFrame, right: DataFrame, key_missing: Sequence[str], target: str) -> DataFrame:

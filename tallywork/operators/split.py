@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallywork.functions.columns import col
+from tallywork.sources.scratch import materialize
 
 # Hex digits of the hash that name a bucket: 16^4 buckets, so the one bucket that is cut holds
 # about a 65,536th of its class.
@@ -26,12 +27,6 @@ def order_hash(key: Sequence[str], seed: int) -> Column:
     return F.md5(F.concat_ws("|", *parts, F.lit(str(seed))))
 
 
-def _broadcast_if_small(df: DataFrame, limit: int) -> DataFrame:
-    """Hint a broadcast only after counting at most ``limit`` rows; a larger side joins by shuffle."""
-    kept = df.persist()
-    return F.broadcast(kept) if kept.limit(limit + 1).count() <= limit else kept
-
-
 def stratified_split(
     df: DataFrame,
     target: str,
@@ -44,12 +39,20 @@ def stratified_split(
     """Add ``out`` = 'train' / 'test' with ceil(test_size * n) test rows shared over the classes
     in proportion (largest remainder). Rows without a class are left out.
 
-    Whole hash buckets fall on one side of each class's cut; only the single bucket that contains
-    the cut is put in order. ``ties`` orders rows whose keys repeat.
+    Two narrow passes over key and class find, per class, the last test row in hash order: counts
+    per hash bucket, then an ordering of the one bucket the quota ends in. Placing the rows is
+    then a comparison with that cut point, without any shuffle. ``key`` with ``ties`` should
+    identify a row; rows equal in both land on the same side.
     """
-    rows = df.where(col(target).isNotNull()).withColumn("__hash", order_hash(key, seed))
-    rows = rows.withColumn("__bucket", F.substring("__hash", 1, BUCKET_DIGITS))
-    buckets = rows.groupBy(col(target).alias("__class"), "__bucket").agg(F.count(F.lit(1)).alias("__here"))
+    narrow = df.where(col(target).isNotNull()).select(
+        col(target).alias("__class"), order_hash(key, seed).alias("__hash"), *[col(t).alias(f"__t_{t}") for t in ties]
+    )
+    order = ["__hash", *[f"__t_{t}" for t in ties]]
+    bucket = F.substring("__hash", 1, BUCKET_DIGITS)
+    # At most 16^4 rows per class.
+    buckets = materialize(
+        narrow.groupBy("__class", bucket.alias("__bucket")).agg(F.count(F.lit(1)).alias("__here")), "buckets"
+    )
 
     classes = buckets.groupBy("__class").agg(F.sum("__here").alias("__size"))
     whole = classes.agg(F.sum("__size").alias("rows")).scalar()
@@ -62,29 +65,37 @@ def stratified_split(
     quotas = quotas.withColumn("__rank", F.row_number().over(by_rest)).select(
         F.col("__class"), (F.col("__floor") + (F.col("__rank") <= spare).cast("int")).alias("__quota")
     )
-
-    # At most 16^4 rows per class.
     upto = Window.partitionBy("__class").orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
     running = buckets.join(quotas, "__class").withColumn(
         "__before", F.coalesce(F.sum("__here").over(upto), F.lit(0))
     )
-    cuts = running.where(
+    ends = running.where(
         (F.col("__before") < F.col("__quota")) & (F.col("__before") + F.col("__here") >= F.col("__quota"))
-    ).select("__class", F.col("__bucket").alias("__cut"), (F.col("__quota") - F.col("__before")).alias("__need"))
-    cuts = _broadcast_if_small(cuts, MAX_BROADCAST_CLASSES)
-
-    placed = rows.join(cuts, col(target) == F.col("__class"), "left")
-    at_cut = F.coalesce(F.col("__bucket") == F.col("__cut"), F.lit(False))
-    below = F.coalesce(F.col("__bucket") < F.col("__cut"), F.lit(False))
-    easy = placed.where(~at_cut).withColumn(out, F.when(below, F.lit("test")).otherwise(F.lit("train")))
-    order = Window.partitionBy("__class", "__bucket").orderBy("__hash", *[col(t) for t in ties])
-    edge = (
-        placed.where(at_cut)
-        .withColumn("__place", F.row_number().over(order))
-        .withColumn(out, F.when(F.col("__place") <= F.col("__need"), F.lit("test")).otherwise(F.lit("train")))
     )
-    names = [*df.columns, out]
-    return easy.select(*[col(c) for c in names]).unionByName(edge.select(*[col(c) for c in names]))
+    ends = materialize(
+        ends.select("__class", F.col("__bucket").alias("__cut"), (F.col("__quota") - F.col("__before")).alias("__need")),
+        "cut-buckets",
+    )
+
+    edge = narrow.join(_small(ends, MAX_BROADCAST_CLASSES), "__class").where(bucket == F.col("__cut"))
+    in_order = Window.partitionBy("__class").orderBy(*order)
+    last = edge.withColumn("__place", F.row_number().over(in_order)).where(F.col("__place") == F.col("__need"))
+    points = materialize(
+        last.select(F.col("__class"), F.struct(*order).alias("__point")), "cut-points"
+    )
+
+    here = F.struct(order_hash(key, seed).alias("__hash"), *[col(t).alias(f"__t_{t}") for t in ties])
+    placed = df.where(col(target).isNotNull()).join(
+        _small(points, MAX_BROADCAST_CLASSES), col(target) == F.col("__class"), "left"
+    )
+    side = F.when(here <= F.col("__point"), F.lit("test")).otherwise(F.lit("train"))
+    return placed.select(*[col(c) for c in df.columns], side.alias(out))
+
+
+def _small(stored: DataFrame, limit: int) -> DataFrame:
+    """Hint a broadcast of a stored table only after counting at most ``limit`` rows in it; a
+    larger one joins by shuffle."""
+    return F.broadcast(stored) if stored.limit(limit + 1).count() <= limit else stored
 
 
 def fixed_sample(

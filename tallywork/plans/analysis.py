@@ -29,6 +29,9 @@ from tallywork.sources.scratch import materialize, new_path
 from tallywork.sources.sinks import to_tidy
 from tallywork.spec import AnalysisSpec
 
+# Stands for a missing target while counting; control characters cannot survive the text clean-up.
+UNLABELLED = "\x00"
+
 # Columns that identify a row of each result that goes into the report.
 REPORT_KEYS: dict[str, list[str]] = {
     "data": ["item", "metric_name"],
@@ -60,16 +63,14 @@ def analyze(raw: DataFrame, spec: AnalysisSpec, models: bool = True, charts_too:
     """Clean, profile, test, and (optionally) chart and model one table."""
     target, positive, negative = spec.target, spec.positive, spec.negative
     cleaned = materialize(clean.clean(raw, target, spec.numeric), "cleaned")
-    by_target = materialize(
-        numeric_frequencies(cleaned, spec.numeric, by=(target,)), "numeric-frequencies"
+    # One scan gives the counts per target; leaving the target out of the key gives the rest.
+    counted = cleaned.withColumn("__target", F.coalesce(col(target), F.lit(UNLABELLED)))
+    stored = materialize(
+        numeric_frequencies(counted, spec.numeric, by=("__target",), keep_missing=True), "numeric-frequencies"
     )
-    # The profile also counts rows without a target, so it needs its own sums.
-    unlabelled = numeric_frequencies(cleaned.where(col(target).isNull()), spec.numeric)
-    freq = (
-        by_target.select("column", "value", "n")
-        .unionByName(unlabelled)
-        .groupBy("column", "value")
-        .agg(F.sum("n").alias("n"))
+    freq = stored.groupBy("column", "value").agg(F.sum("n").alias("n"))
+    by_target = stored.where((F.col("__target") != UNLABELLED) & F.col("value").isNotNull()).select(
+        F.col("__target").alias(target), "column", "value", "n"
     )
     categories = materialize(
         category_frequencies(cleaned, spec.categorical, target, positive), "category-frequencies"
