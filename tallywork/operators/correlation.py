@@ -23,7 +23,7 @@ def pearson(a: Column, b: Column) -> Column:
     both_a = F.when(b.isNotNull(), a)
     both_b = F.when(a.isNotNull(), b)
     r = F.try_divide(F.covar_samp(a, b), F.stddev_samp(both_a) * F.stddev_samp(both_b))
-    return F.greatest(F.lit(-1.0), F.least(F.lit(1.0), r))
+    return F.when(r > 1.0, F.lit(1.0)).when(r < -1.0, F.lit(-1.0)).otherwise(r)
 
 
 def _pair_table(df: DataFrame, columns: Sequence[str]) -> DataFrame:
