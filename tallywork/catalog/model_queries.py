@@ -74,7 +74,7 @@ _VOCAB_SQL = f"""{_MODE_SQL},
 
 def _fitted(t: Tables):
     """Preprocessing fitted on the stored train rows, and the stored table."""
-    table = training.model_table(t.census, SPEC)
+    table = training.model_table(t.stored_census, SPEC)
     train = table.where(F.col("split") == "train")
     return Pipeline(stages=features.preprocessing_stages(NUM, CAT)).fit(train), table
 
@@ -117,7 +117,7 @@ def _(t: Tables) -> DataFrame:
 
 
 def _trained(t: Tables, name: str) -> training.TrainedModel:
-    table = training.model_table(t.census, SPEC)
+    table = training.model_table(t.stored_census, SPEC)
     rows = table.where(F.col("split") == "train").count()
     if name == training.LOGISTIC:
         classifier = training.logistic(rows)
@@ -138,7 +138,7 @@ def _(t: Tables) -> DataFrame:
 
 @query("model_compare")
 def _(t: Tables) -> DataFrame:
-    compared, chosen, _models = training.compare_models(training.model_table(t.census, SPEC), SPEC)
+    compared, chosen, _models = training.compare_models(training.model_table(t.stored_census, SPEC), SPEC)
     picked = chosen.select("chosen").scalar()
     return rounded(compared.withColumn("chosen", F.col("model") == picked))
 

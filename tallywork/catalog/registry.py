@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from tallywork.catalog.census import CENSUS_SQL, census, read
 from tallywork.functions.columns import col
+from tallywork.sources.scratch import materialize
 
 
 @dataclass
@@ -20,7 +21,6 @@ class Tables:
 
     spark: SparkSession
     sf_dir: str
-    cache: dict = field(default_factory=dict)
 
     def read(self, name: str) -> DataFrame:
         return read(self.spark, self.sf_dir, name)
@@ -29,6 +29,11 @@ class Tables:
     def census(self) -> DataFrame:
         return census(self.spark, self.sf_dir)
 
+    @cached_property
+    def stored_census(self) -> DataFrame:
+        """The view written once, for queries that pass over it several times."""
+        return materialize(self.census, "census")
+
 
 REGISTRY: dict[str, tuple[Callable[[Tables], DataFrame], str | None]] = {}
 

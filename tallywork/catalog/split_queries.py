@@ -24,7 +24,7 @@ SPLIT_SQL = """WITH {census}, hashed_rows AS (SELECT *, md5(concat_ws('|', h, '4
 
 
 def census_split(t: Tables) -> DataFrame:
-    return split.stratified_split(t.census, "income", SPEC.key, SPEC.test_size, SPEC.seed, ties=("price",))
+    return split.stratified_split(t.stored_census, "income", SPEC.key, SPEC.test_size, SPEC.seed, ties=("price",))
 
 
 @query("stratified_split_counts", f"{SPLIT_SQL} SELECT income, split, count(*) AS n FROM split_rows GROUP BY ALL")

@@ -38,7 +38,7 @@ def _(t: Tables) -> DataFrame:
 
 @query("spearman_matrix", f"{_SPEARMAN} SELECT column_a, column_b, {r('r')} AS r FROM s")
 def _(t: Tables) -> DataFrame:
-    return rounded(correlation.spearman_pairs(t.census, NUM))
+    return rounded(correlation.spearman_pairs(t.stored_census, NUM))
 
 
 @query(
@@ -62,7 +62,7 @@ def _(t: Tables) -> DataFrame:
 )
 def _(t: Tables) -> DataFrame:
     pearson = correlation.pearson_pairs(t.census, NUM)
-    return rounded(correlation.largest_gap(pearson, correlation.spearman_pairs(t.census, NUM)))
+    return rounded(correlation.largest_gap(pearson, correlation.spearman_pairs(t.stored_census, NUM)))
 
 
 @query(
