@@ -81,10 +81,11 @@ def _fitted(t: Tables):
 
 @query("onehot_vocab", f"""{TRAIN_SQL}, {_VOCAB_SQL} SELECT "column", category, slot FROM vocab""")
 def _(t: Tables) -> DataFrame:
-    model, _table = _fitted(t)
+    model, table = _fitted(t)
     indexer = next(s for s in model.stages if s.hasParam("stringOrderType"))
     # The fitted vocabulary as a lookup over the train rows' own categories.
-    seen = unpivot_columns(_train(t), CAT, "string", "category").where("category IS NOT NULL").distinct()
+    train = table.where(F.col("split") == "train")
+    seen = unpivot_columns(train, CAT, "string", "category").where("category IS NOT NULL").distinct()
     slots = F.lit(None).cast("bigint")
     for name, labels in zip(CAT, indexer.labelsArray):
         found = F.array_position(F.array(*[F.lit(x) for x in labels]), F.col("category")) - 1

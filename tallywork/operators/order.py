@@ -29,19 +29,18 @@ def default_buckets(df: DataFrame) -> int:
     return buckets
 
 
-def _bucket_of(value: Column, cuts: Column, buckets: int) -> Column:
-    """Number of splitters not above ``value``, found in log2(buckets) comparisons."""
-    strides = []
+def _find_bucket(df: DataFrame, buckets: int) -> DataFrame:
+    """Add ``bucket``, the number of splitters in ``cuts`` not above ``value``.
+
+    A binary search unrolled into one projection per step, so it stays in generated code.
+    """
+    df = df.withColumn("bucket", F.lit(0))
     stride = buckets // 2
     while stride:
-        strides.append(F.lit(stride))
+        above = F.element_at("cuts", F.col("bucket") + stride) <= F.col("value")
+        df = df.withColumn("bucket", F.col("bucket") + F.when(above, stride).otherwise(0))
         stride //= 2
-    position = F.aggregate(
-        F.array(*strides),
-        F.lit(0),
-        lambda at, step: at + F.when(F.element_at(cuts, at + step) <= value, step).otherwise(F.lit(0)),
-    )
-    return F.coalesce(position, F.lit(0))
+    return df
 
 
 def with_buckets(freq: DataFrame, measures: Sequence[str] = ("n",), buckets: int | None = None) -> DataFrame:
@@ -57,9 +56,7 @@ def with_buckets(freq: DataFrame, measures: Sequence[str] = ("n",), buckets: int
         .groupBy("column")
         .agg(F.percentile_approx("value", fractions, max(1000, 4 * buckets)).alias("cuts"))
     )
-    return freq.join(F.broadcast(cuts), "column").withColumn(
-        "bucket", _bucket_of(F.col("value"), F.col("cuts"), buckets)
-    ).drop("cuts")
+    return _find_bucket(freq.join(F.broadcast(cuts), "column"), buckets).drop("cuts")
 
 
 def _bucket_offsets(bucketed: DataFrame, keys: Sequence[str], measures: Sequence[str]) -> DataFrame:
