@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from tallywork.catalog.census import SPEC
 from tallywork.catalog.registry import Tables, long_sql, query, r, rounded

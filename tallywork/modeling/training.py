@@ -16,7 +16,7 @@ from tallywork.functions.columns import col, recode
 from tallywork.modeling.features import preprocessing_stages, with_class_weight
 from tallywork.operators.clean import first_rows
 from tallywork.operators.evaluate import binary_metrics, roc_auc
-from tallywork.operators.split import stratified_split
+from tallywork.operators.split import order_hash, stratified_split
 from tallywork.sources.scratch import materialize
 from tallywork.spec import AnalysisSpec
 
@@ -56,16 +56,19 @@ def forest(trees: int = 100, depth: int = 30, seed: int = 42) -> RandomForestCla
 
 
 def model_table(df: DataFrame, spec: AnalysisSpec, extra: Sequence[str] = ()) -> DataFrame:
-    """Feature columns, the 0/1 ``label`` and the row key, split into train and test.
+    """Feature columns, the 0/1 ``label``, the row key and a ``row_id`` (hash of the key, or of all
+    columns when the spec names no key), split into train and test.
 
     Rows whose target is not one of the two labels are left out. The result is a stored table
     partitioned by ``split``, so both models read the same rows and each side is pruned to its
     own files.
     """
     needed = dict.fromkeys([*spec.key, *spec.model_numeric, *spec.model_categorical, *extra, spec.target])
-    labelled = df.select(*[col(c) for c in needed]).withColumn("label", recode(col(spec.target), spec.target_mapping))
+    identity = spec.key or df.columns
+    labelled = df.select(*[col(c) for c in needed], order_hash(identity, spec.seed).alias("row_id"))
+    labelled = labelled.withColumn("label", recode(col(spec.target), spec.target_mapping))
     labelled = labelled.where(F.col("label").isNotNull())
-    split = stratified_split(labelled, "label", spec.key, spec.test_size, spec.seed)
+    split = stratified_split(labelled, "label", spec.key or ("row_id",), spec.test_size, spec.seed)
     return materialize(split.drop(spec.target), "split", partition_by=("split",))
 
 

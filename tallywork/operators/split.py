@@ -42,8 +42,10 @@ def stratified_split(
     Two narrow passes over key and class find, per class, the last test row in hash order: counts
     per hash bucket, then an ordering of the one bucket the quota ends in. Placing the rows is
     then a comparison with that cut point, without any shuffle. ``key`` with ``ties`` should
-    identify a row; rows equal in both land on the same side.
+    identify a row; rows equal in both land on the same side. An empty key stands for all
+    columns, which identify a row once duplicates are gone.
     """
+    key = key or df.columns
     narrow = df.where(col(target).isNotNull()).select(
         col(target).alias("__class"), order_hash(key, seed).alias("__hash"), *[col(t).alias(f"__t_{t}") for t in ties]
     )
@@ -104,6 +106,8 @@ def fixed_sample(
     """``n`` rows chosen at random by key hash (all rows when there are fewer).
 
     A per-task top-n followed by a merge of the winners; the table is never sorted as a whole.
+    An empty key stands for all columns.
     """
+    key = key or df.columns
     hashed = df.withColumn("__hash", order_hash(key, seed))
     return hashed.orderBy("__hash", *[col(t) for t in ties]).limit(n).drop("__hash")

@@ -127,7 +127,7 @@ def _charts(cleaned: DataFrame, spec: AnalysisSpec, pearson: DataFrame) -> dict[
         )
     if spec.box_log:
         out["chart_log_boxes"] = charts.log_box_stats(cleaned, spec.box_log)
-    if spec.scatter and spec.key:
+    if spec.scatter:
         columns = list(dict.fromkeys([*spec.scatter, target]))
         out["chart_scatter"] = charts.scatter_points(cleaned, columns, spec.key, spec.sample_size, spec.seed)
     for name in spec.histogram_by_target:
@@ -154,7 +154,7 @@ def _models(cleaned: DataFrame, spec: AnalysisSpec) -> tuple[dict[str, DataFrame
         "roc_points": evaluate.roc_points(final.scored, drop_collinear=True),
         "model_metadata": training.model_metadata(final.model, final.name, spec, picked["reason"]),
         "saved_check": training.verify_saved(
-            final.model, final.scored.drop("prediction", "score"), spec.key, new_path(cleaned.sparkSession, "model")
+            final.model, final.scored.drop("prediction", "score"), ["row_id"], new_path(cleaned.sparkSession, "model")
         ),
     }
     if spec.group is not None:

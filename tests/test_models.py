@@ -13,7 +13,7 @@ from tallywork.plans.analysis import analyze, report
 from tallywork.spec import AnalysisSpec
 
 SPEC = AnalysisSpec(
-    numeric=("x", "z"), categorical=("c", "g"), target="t", positive="yes", negative="no", key=("id",),
+    numeric=("x", "z"), categorical=("c", "g"), target="t", positive="yes", negative="no",
     key_missing=("c",), group="g", test_values=("x",), test_categories=("c",), share_categories=("c",),
     rate_categories=("c",), histogram_by_target=("x",), histogram=("z",), box_by_target=("x",), box_log=("z",),
     scatter=("x", "z"), forest_trees=5, forest_depth=4,

@@ -81,6 +81,11 @@ def test_published_split_size(spark):
     assert counts["test"]["count"] == 6_508
 
 
+def test_split_without_a_key_hashes_the_row(spark):
+    df = spark.range(40).selectExpr("id", "CASE WHEN id % 2 = 0 THEN 'p' END AS a", "'q' AS t")
+    assert split.stratified_split(df, "t", []).where("split = 'test'").count() == 8
+
+
 def test_fixed_sample(spark):
     df = spark.range(50)
     first = {r["id"] for r in rows(split.fixed_sample(df, ["id"], 10))}
