@@ -1,41 +1,60 @@
 """Intermediate tables that survive lost executors.
 
-A materialised table is written to the folder the cluster names in ``spark.checkpoint.dir`` and
-read back: lineage is cut, later reads prune columns, and the planner sees true file sizes.
+A materialised table is written as Parquet and read back: lineage is cut, later reads prune columns,
+and the planner sees true file sizes. Tables go to the folder named in ``spark.checkpoint.dir``; where
+that is unset, below the session's warehouse, the folder in which Spark itself keeps tables.
 """
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 from tallywork.functions.columns import col
 
-_LOCAL_ROOT: list[str] = []
-
 
 def scratch_root(spark: SparkSession) -> str:
-    """The shared folder of the cluster; a private one only for an unconfigured local session."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if root:
-        return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    if not _LOCAL_ROOT:
-        _LOCAL_ROOT.append(tempfile.mkdtemp(prefix="tallywork-"))
-    return _LOCAL_ROOT[0]
+    """The shared folder for intermediate tables."""
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    return named.rstrip("/") if named else spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/intermediate"
+
+
+class Store:
+    """Intermediate tables of one run, in a folder of their own that :meth:`clear` removes."""
+
+    def __init__(self, spark: SparkSession, root: str | None = None):
+        self.spark = spark
+        self.folder = f"{(root or scratch_root(spark)).rstrip('/')}/tallywork-{uuid.uuid4().hex}"
+
+    def path(self, label: str) -> str:
+        """A path nobody has used before."""
+        return f"{self.folder}/{label}-{uuid.uuid4().hex}"
+
+    def keep(self, df: DataFrame, label: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
+        """Write ``df`` and return a fresh scan of it."""
+        path = self.path(label)
+        df.write.partitionBy(*partition_by).parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path).select(*[col(c) for c in df.columns])
+
+    def clear(self) -> None:
+        """Remove the run's tables; frames that read them end here."""
+        hadoop = self.spark._jvm.org.apache.hadoop.fs.Path(self.folder)
+        hadoop.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(hadoop, True)
+
+
+_SHARED: dict[str, Store] = {}
+
+
+def session_store(spark: SparkSession) -> Store:
+    """The store that operators use when the caller names none; its ``clear`` ends all of them."""
+    return _SHARED.setdefault(spark.sparkContext.applicationId, Store(spark))
 
 
 def new_path(spark: SparkSession, label: str) -> str:
-    """A path nobody has used before."""
-    return f"{scratch_root(spark)}/tallywork-{label}-{uuid.uuid4().hex}"
+    return session_store(spark).path(label)
 
 
-def materialize(df: DataFrame, label: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
-    """Write ``df`` as Parquet and return a fresh scan of it."""
-    spark = df.sparkSession
-    path = new_path(spark, label)
-    df.write.partitionBy(*partition_by).parquet(path)
-    return spark.read.schema(df.schema).parquet(path).select(*[col(c) for c in df.columns])
+def materialize(df: DataFrame, label: str, partition_by: tuple[str, ...] = (), store: Store | None = None) -> DataFrame:
+    """Write ``df`` to ``store`` (by default the session's) and return a fresh scan of it."""
+    return (store or session_store(df.sparkSession)).keep(df, label, partition_by)
