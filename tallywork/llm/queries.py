@@ -125,9 +125,24 @@ SELECT page_id, CAST(strlen(h) AS BIGINT) AS payload_bytes,
 FROM g"""
 
 
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tallywork.llm.pii import find_personal_data, personal_data_digest
+
+    return personal_data_digest(find_personal_data(table(spark, sf_dir, "documents")))
+
+
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tallywork.llm.quality import fit_quality, score_quality
+
+    docs = table(spark, sf_dir, "documents")
+    return score_quality(docs, fit_quality(docs, table(spark, sf_dir, "labels")), threshold=0.3)
+
+
 QUERIES: dict = {
     "op1_shards": (op1_shards, OP1_SQL.replace("{bytes}", BYTES.format(t="t"))),
+    "op2_pii": (op2_pii, None),
     "op3_mix": (op3_mix, OP3_SQL),
+    "op4_quality": (op4_quality, None),
     "op5_topk": (op5_topk, OP5_SQL),
     "op8_warc": (op8_warc, OP8_SQL),
 }
