@@ -68,7 +68,9 @@ def fit_quality(
     known = known.groupBy("doc_id").agg(F.avg("label").alias("label")).filter("label <> 0.5")
     share = min(1.0, fit_rows / max(1, known.count()))
     draw = F.shiftrightunsigned(F.xxhash64("doc_id", F.lit(seed)), 32) / F.lit(float(1 << 32))
-    rows = _texts(docs, id_col, text_col, length_col).join(known.filter(draw < share), "doc_id")
+    text, length = _inputs(docs, text_col, length_col)
+    texts = docs.select(field(id_col).cast("long").alias("doc_id"), text.alias("text"), length.alias("length"))
+    rows = texts.join(known.filter(draw < share), "doc_id")
 
     def features(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         hashed = _Buckets()
@@ -94,21 +96,27 @@ def score_quality(
     distinct words. NULL texts count as empty and score by their statistics; a NULL length counts as 0; a
     missing length column as NULL; without a model every score is 0.5. Rows are scored one by one, so equal texts score equally.
     """
+    doc_id = field(id_col).cast("long")
+    scored = docs.select(doc_id.alias("doc_id"), quality_score(docs, model, text_col, length_col).alias("score"))
+    return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
+
+
+def quality_score(docs: DataFrame, model: Model | None, text_col: str = "text", length_col: str = "n_chars") -> Column:
+    """The score of :func:`score_quality` as a column of ``docs``."""
     shared = docs.sparkSession.sparkContext.broadcast(model)  # of fixed size: _WIDTH x RANK numbers
 
-    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    @F.pandas_udf("double")
+    def score(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
         hashed, machine = _Buckets(), shared.value
-        for batch in batches:
-            scores = [] if machine else [np.full(len(batch), 0.5)]
-            for at in range(0, len(batch) if machine else 0, _SCORED_TOGETHER):
-                part = batch.iloc[at : at + _SCORED_TOGETHER]
-                found = [featurise(t, n, hashed) for t, n in zip(part["text"], part["length"], strict=True)]
+        for texts, lengths in batches:
+            scores = [] if machine else [np.full(len(texts), 0.5)]
+            for at in range(0, len(texts) if machine else 0, _SCORED_TOGETHER):
+                part = zip(texts.iloc[at : at + _SCORED_TOGETHER], lengths.iloc[at : at + _SCORED_TOGETHER], strict=True)
+                found = [featurise(t, n, hashed) for t, n in part]
                 scores.append(machine.scores(*_joined([f[0] for f in found], [f[1] for f in found])))
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "score": np.concatenate(scores)})
+            yield pd.Series(np.concatenate(scores))
 
-    rows = _texts(docs, id_col, text_col, length_col).withColumn("doc_id", F.col("doc_id").cast("string"))
-    scored = rows.mapInPandas(score, "doc_id string, score double").withColumn("doc_id", F.col("doc_id").cast("long"))
-    return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
+    return score(*_inputs(docs, text_col, length_col))
 
 
 def featurise(text: str, length: float, hashed: _Buckets) -> tuple[np.ndarray, np.ndarray]:
@@ -158,13 +166,9 @@ class _Buckets(dict):
         return bucket
 
 
-def _texts(docs: DataFrame, id_col: str, text_col: str, length_col: str) -> DataFrame:
+def _inputs(docs: DataFrame, text_col: str, length_col: str) -> tuple[Column, Column]:
     length = field(length_col).cast("double") if length_col in docs.columns else F.lit(None).cast("double")
-    return docs.select(
-        field(id_col).cast("long").alias("doc_id"),
-        F.coalesce(field(text_col).cast("string"), F.lit("")).alias("text"),
-        F.coalesce(length, F.lit(0.0)).alias("length"),
-    )
+    return F.coalesce(field(text_col).cast("string"), F.lit("")), F.coalesce(length, F.lit(0.0))
 
 
 def _joined(ids: list, values: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -138,6 +138,13 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_quality(docs, fit_quality(docs, table(spark, sf_dir, "labels")), threshold=0.3)
 
 
+def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tallywork.llm.decontamination import find_leaks
+
+    leaks = find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return leaks.select("doc_id", "item_id", "windows", "first_word", "last_word", "most_equal")
+
+
 QUERIES: dict = {
     "op1_shards": (op1_shards, OP1_SQL.replace("{bytes}", BYTES.format(t="t"))),
     "op2_pii": (op2_pii, None),
@@ -145,4 +152,5 @@ QUERIES: dict = {
     "op4_quality": (op4_quality, None),
     "op5_topk": (op5_topk, OP5_SQL),
     "op8_warc": (op8_warc, OP8_SQL),
+    "op9_decontaminate": (op9_decontaminate, None),
 }
