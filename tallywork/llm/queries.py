@@ -145,6 +145,12 @@ def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaks.select("doc_id", "item_id", "windows", "first_word", "last_word", "most_equal")
 
 
+def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tallywork.llm.jaccard_join import near_copies
+
+    return near_copies(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "n_links")
+
+
 QUERIES: dict = {
     "op1_shards": (op1_shards, OP1_SQL.replace("{bytes}", BYTES.format(t="t"))),
     "op2_pii": (op2_pii, None),
@@ -153,4 +159,5 @@ QUERIES: dict = {
     "op5_topk": (op5_topk, OP5_SQL),
     "op8_warc": (op8_warc, OP8_SQL),
     "op9_decontaminate": (op9_decontaminate, None),
+    "op10_jaccard_join": (op10_jaccard_join, None),
 }
