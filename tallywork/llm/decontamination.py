@@ -57,6 +57,14 @@ def find_leaks(
     )
 
 
+def without_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", **names) -> DataFrame:
+    """The rows of ``docs`` in which :func:`find_leaks` finds nothing."""
+    leaks = find_leaks(docs, items, id_col, text_col, **names)
+    leaks = materialize(leaks.select(F.col("doc_id").alias("_id"), F.col("digest").alias("_digest")).distinct(), "leak-documents")
+    digest = F.xxhash64(F.coalesce(field(text_col).cast("string"), F.lit("")))
+    return docs.join(leaks, field(id_col).cast("long").eqNullSafe(F.col("_id")) & (digest == F.col("_digest")), "left_anti")
+
+
 def words_hashed(text: Column) -> Column:
     """64-bit hashes of a text's words."""
     words = F.array_remove(F.split(F.lower(F.coalesce(text.cast("string"), F.lit(""))), _SPLIT), "")

@@ -52,12 +52,13 @@ def runs_for(recall: float = RECALL, depth: int = DEPTH, threshold: Fraction = T
 
 
 def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Classes of near copies: (doc_id, class_id, n_links, row_key), one row for each row of ``docs``.
+    """Classes of near copies: (doc_id, class_id, n_links, row_key, class_key), one row for each row of ``docs``.
 
     Two texts are linked when the Jaccard similarity of their sets of five-word shingles is at least
     0.8; words are lower-cased runs of word characters, and a text of one to four words is one shingle. ``n_links``
     counts the other rows a row is linked to, copies included; a class is a connected component of
-    links, named by its least doc_id. ``row_key`` is a hash of id and text.
+    links, named by its least doc_id. ``row_key`` is a hash of id and text; ``class_key`` tells classes
+    apart even where ids repeat, and is NULL for a row that is a class of its own for want of words.
 
     Rows of equal sets are one set with a count from the start, so copies are never paired. Buckets of
     over 256 sets are compared block against block in tasks of their own; a pair that meets in several runs
@@ -92,15 +93,30 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     )
     linked = materialize(linked, "join-linked")
     named = linked.groupBy("root").agg(F.min("least").alias("class_id"))
-    known = linked.join(named, "root").select(F.col("set_id").alias("_set"), "class_id", "n_links")
+    known = linked.join(named, "root").select(F.col("set_id").alias("_set"), "root", "class_id", "n_links")
     return members.join(known, F.col("set_id") == F.col("_set"), "left").select(
         "doc_id",
         F.when(F.col("_set").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
         F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
         "row_key",
+        F.coalesce("root", "set_id").alias("class_key"),
     )
 
 
+def first_of_each_class(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that stay when of every class only the row of least id does.
+
+    Rows without words all stay; rows equal in id and text count as one. Rows without id stand behind those with one.
+    """
+    found = near_copies(docs, id_col, text_col)
+    of_class = F.coalesce("class_key", F.col("row_key").cast("string"))
+    least = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row_key"))
+    keep = found.groupBy(of_class.alias("class")).agg(least.alias("kept")).select(F.col("kept.row_key").alias("_row_key")).distinct()
+    text = F.coalesce(field(text_col).cast("string"), F.lit(""))
+    keyed = docs.withColumn("_row_key", F.xxhash64(field(id_col).cast("long"), text))
+    return keyed.join(keep, "_row_key", "left_semi").dropDuplicates(["_row_key"]).select(*[field(c) for c in docs.columns])
+
+
 def _leaves(sets: DataFrame) -> DataFrame:
     """(set_id, run, leaf, n): buckets of at least two sets, after splitting those over SMALL again."""
     runs = runs_for()

@@ -80,6 +80,34 @@ def mix_sources(
     )
 
 
+def mixed_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options) -> DataFrame:
+    """The rows of ``docs`` as often as :func:`mix_sources` takes them; rows at a cut whole.
+
+    Rows equal in id, source and text are taken as often as they are together, in the form that is
+    least over all columns.
+    """
+    mix = mix_sources(docs, id_col=id_col, text_col=text_col, source_col=source_col, **options)
+    wanted = mix.groupBy(F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("digest").alias("_digest")).agg(
+        F.sum("copies").alias("_copies"), F.count(F.lit(1)).alias("_rows")
+    )
+    wanted = materialize(wanted, "mix-wanted")
+    columns = [field(c) for c in docs.columns]
+    keyed = docs.withColumn("_key", F.md5(F.coalesce(field(text_col).cast("string"), F.lit(""))))
+    same = (
+        (F.col("_key") == F.col("_digest"))
+        & field(id_col).cast("long").eqNullSafe(F.col("_id"))
+        & field(source_col).cast("string").eqNullSafe(F.col("_source"))
+    )
+    each = F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies"))).alias("_copy")
+    single = keyed.join(wanted.filter("_rows = 1 AND _copies > 0"), same).select(*columns, each).drop("_copy")
+    repeated = wanted.filter("_rows > 1 AND _copies > 0")
+    if repeated.isEmpty():
+        return single
+    least = F.min(F.struct(*columns)).alias("_row")
+    forms = keyed.join(repeated, same).groupBy("_id", "_source", "_digest", "_copies").agg(least)
+    return single.union(forms.select("_row.*", each).drop("_copy"))
+
+
 def source_targets(rows: DataFrame, weights: tuple[int, ...], share: float, most_epochs: int) -> DataFrame:
     """(source, turn, source_rows, source_size, target, epochs, rest) from rows of (source, size).
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallywork.llm.common import table
+from tallywork.llm.licences import recognise_sql
 
 CRC_SQL = """
 byte_crc AS (
@@ -151,12 +152,19 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_copies(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "n_links")
 
 
+def op6_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tallywork.llm.licences import recognise
+
+    return recognise(table(spark, sf_dir, "documents")).drop("digest")
+
+
 QUERIES: dict = {
     "op1_shards": (op1_shards, OP1_SQL.replace("{bytes}", BYTES.format(t="t"))),
     "op2_pii": (op2_pii, None),
     "op3_mix": (op3_mix, OP3_SQL),
     "op4_quality": (op4_quality, None),
     "op5_topk": (op5_topk, OP5_SQL),
+    "op6_licences": (op6_licences, recognise_sql()),
     "op8_warc": (op8_warc, OP8_SQL),
     "op9_decontaminate": (op9_decontaminate, None),
     "op10_jaccard_join": (op10_jaccard_join, None),
