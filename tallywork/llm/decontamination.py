@@ -12,6 +12,7 @@ from tallywork.sources.scratch import materialize
 
 MASKS = ("1110110111", "1101101011", "1011010111")  # a 0 is a word that may differ
 SPAN = len(MASKS[0])
+ALWAYS = tuple(i for i in range(SPAN) if all(mask[i] == "1" for mask in MASKS))  # words that every mask keeps
 PAD = 2  # words looked at before and after a seed
 WINDOW = SPAN + 2 * PAD
 LEAST_EQUAL = 0.8  # share of a window's words that must be equal
@@ -27,7 +28,8 @@ def find_leaks(
     """Benchmark passages inside documents: (doc_id, digest, item_id, windows, first_word, last_word, most_equal).
 
     Words are lower-cased runs of letters and digits. At every position of a document and of an item
-    the words that a mask keeps are hashed, for each mask; equal hashes are hits. Around a hit a window
+    the words that a mask keeps are hashed, for each mask; equal hashes are hits. (Words that every mask
+    keeps are looked up first, since few places agree even there.) Around a hit a window
     of 14 words (less at an item's edges) is compared word by word, and counts when at least 0.8 of the
     item's words in it are equal at the same places, so single words may be exchanged anywhere. One row
     per document and item with a counted window: how many places, the first and last word that seeds cover,
@@ -84,8 +86,12 @@ def _seed_hashes(at, first: Column) -> Column:
     )
 
 
+def _common(at, first: Column) -> Column:
+    return F.xxhash64(*[at(first + i) for i in ALWAYS])
+
+
 def _item_seeds(items: DataFrame, item_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
-    """Seeds (hash, window, words, block) of distinct windows, and which items hold a window."""
+    """Seeds (hash, common, window, words, block) of distinct windows, and which items hold a window."""
     rows = items.select(field(item_col).cast("long").alias("item_id"), _padded(words_hashed(field(text_col))).alias("w")).distinct()
     starts = F.explode(F.sequence(F.lit(1), F.size("w") - WINDOW + 1))
     placed = rows.filter(F.size("w") >= WINDOW).select("item_id", "w", starts.alias("at"))
@@ -94,7 +100,8 @@ def _item_seeds(items: DataFrame, item_col: str, text_col: str) -> tuple[DataFra
     held = materialize(windows.select("item_id", "window").distinct(), "leak-windows")
     distinct = windows.groupBy("window").agg(F.first("words").alias("words"))
     hashes = F.explode(_seed_hashes(lambda i: F.element_at("words", i.cast("int")), F.lit(PAD + 1)))
-    seeds = distinct.select("window", "words", hashes.alias("hash"))
+    common = _common(lambda i: F.element_at("words", i.cast("int")), F.lit(PAD + 1))
+    seeds = distinct.select("window", "words", common.alias("common"), hashes.alias("hash"))
     # row numbers by range of the hash: counted per range, so that no task sees all seeds
     part = F.shiftrightunsigned(F.col("hash"), 52)
     numbered = seeds.withColumn("part", part)
@@ -103,11 +110,11 @@ def _item_seeds(items: DataFrame, item_col: str, text_col: str) -> tuple[DataFra
     starts = counts.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
     number = F.col("before") + F.row_number().over(Window.partitionBy("part").orderBy("hash", "window")) - 1
     block = F.floor(number / F.lit(SEEDS_PER_BLOCK)).cast("int")
-    return materialize(numbered.join(starts, "part").select("hash", "window", "words", block.alias("block")), "leak-seeds"), held
+    return materialize(numbered.join(starts, "part").select("hash", "common", "window", "words", block.alias("block")), "leak-seeds"), held
 
 
 def _doc_seeds(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(doc_id, digest, offset, w, at, hash): a seed at every place, with its stretch of the text."""
+    """(doc_id, digest, offset, w, at, common): every place, with its stretch of the text."""
     text = F.coalesce(field(text_col).cast("string"), F.lit(""))
     rows = docs.select(field(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("digest"), _padded(words_hashed(text)).alias("w"))
     stretches = F.transform(
@@ -117,15 +124,20 @@ def _doc_seeds(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     # outer forms: the filter Spark derives from the inner ones would split every text twice
     cut = rows.select("doc_id", "digest", F.inline_outer(F.when(F.size("w") >= WINDOW, stretches))).filter(F.col("w").isNotNull())
     placed = cut.select("doc_id", "digest", "offset", "w", F.explode_outer(F.sequence(F.lit(1), F.size("w") - WINDOW + 1)).alias("at"))
-    hashes = _seed_hashes(lambda i: F.element_at("w", i.cast("int")), F.col("at") + PAD)
-    return placed.select("doc_id", "digest", "offset", "w", "at", F.explode(hashes).alias("hash"))
+    return placed.withColumn("common", _common(lambda i: F.element_at("w", i.cast("int")), F.col("at") + PAD))
 
 
 def _verified(places: DataFrame, seeds: DataFrame) -> DataFrame:
     """Hits whose windows agree: (doc_id, digest, place, window, equal)."""
-    hits = places.join(F.broadcast(seeds.drop("block")), "hash")  # at most SEEDS_PER_BLOCK rows of WINDOW + 2 numbers
-    pairs = [(F.element_at("w", F.col("at") + i), F.element_at("words", F.lit(i + 1))) for i in range(WINDOW)]
+    # either broadcast has at most SEEDS_PER_BLOCK rows, of one number and of WINDOW + 2
+    near = places.join(F.broadcast(seeds.select("common").distinct()), "common", "left_semi")
+    # the lambda ends the generated code here: with the comparison below in it, its loop over all places is too long to be compiled
+    window = F.transform(F.slice("w", F.col("at"), F.lit(WINDOW)), lambda w: w)
+    near = near.select("doc_id", "digest", (F.col("offset") + F.col("at") - 1).alias("place"), window.alias("w"))
+    hashes = _seed_hashes(lambda i: F.element_at("w", i.cast("int")), F.lit(PAD + 1))
+    tried = near.select("doc_id", "digest", "place", "w", F.explode(hashes).alias("hash"))
+    hits = tried.join(F.broadcast(seeds.drop("block", "common")), "hash")
+    pairs = [(F.element_at("w", F.lit(i + 1)), F.element_at("words", F.lit(i + 1))) for i in range(WINDOW)]
     there = reduce(Column.__add__, [(b != 0).cast("int") for _, b in pairs])
     same = reduce(Column.__add__, [((b != 0) & (a == b)).cast("int") for a, b in pairs])
-    place = F.col("offset") + F.col("at") - 1
-    return hits.select("doc_id", "digest", place.alias("place"), "window", (same / there).alias("equal")).filter(F.col("equal") >= LEAST_EQUAL)
+    return hits.select("doc_id", "digest", "place", "window", (same / there).alias("equal")).filter(F.col("equal") >= LEAST_EQUAL)
