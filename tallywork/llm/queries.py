@@ -158,6 +158,13 @@ def op6_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return recognise(table(spark, sf_dir, "documents")).drop("digest")
 
 
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tallywork.llm.line_dedup import later_matches
+
+    found = later_matches(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_lines", F.size("removed").alias("n_removed"), F.array_join("removed", ",").alias("removed"))
+
+
 QUERIES: dict = {
     "op1_shards": (op1_shards, OP1_SQL.replace("{bytes}", BYTES.format(t="t"))),
     "op2_pii": (op2_pii, None),
@@ -165,6 +172,7 @@ QUERIES: dict = {
     "op4_quality": (op4_quality, None),
     "op5_topk": (op5_topk, OP5_SQL),
     "op6_licences": (op6_licences, recognise_sql()),
+    "op7_line_dedup": (op7_line_dedup, None),
     "op8_warc": (op8_warc, OP8_SQL),
     "op9_decontaminate": (op9_decontaminate, None),
     "op10_jaccard_join": (op10_jaccard_join, None),
