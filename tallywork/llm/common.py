@@ -18,6 +18,18 @@ def field(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with underscores before it until no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name = "_" + name
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def number_copies(rows: DataFrame) -> DataFrame:
     """Every row again with ``copy``, which counts from 0 over rows equal in all columns.
 

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallywork.llm.common import field
+from tallywork.llm.common import field, free_names
 from tallywork.sources.scratch import materialize
 
 MASKS = ("1110110111", "1101101011", "1011010111")  # a 0 is a word that may differ
@@ -62,9 +62,10 @@ def find_leaks(
 def without_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", **names) -> DataFrame:
     """The rows of ``docs`` in which :func:`find_leaks` finds nothing."""
     leaks = find_leaks(docs, items, id_col, text_col, **names)
-    leaks = materialize(leaks.select(F.col("doc_id").alias("_id"), F.col("digest").alias("_digest")).distinct(), "leak-documents")
+    own_id, own_digest = free_names(docs, "leak_id", "leak_digest")
+    leaks = materialize(leaks.select(F.col("doc_id").alias(own_id), F.col("digest").alias(own_digest)).distinct(), "leak-documents")
     digest = F.xxhash64(F.coalesce(field(text_col).cast("string"), F.lit("")))
-    return docs.join(leaks, field(id_col).cast("long").eqNullSafe(F.col("_id")) & (digest == F.col("_digest")), "left_anti")
+    return docs.join(leaks, field(id_col).cast("long").eqNullSafe(F.col(own_id)) & (digest == F.col(own_digest)), "left_anti")
 
 
 def words_hashed(text: Column) -> Column:

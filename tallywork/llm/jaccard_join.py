@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallywork.llm.common import field
+from tallywork.llm.common import field, free_names
 from tallywork.llm.components import components
 from tallywork.sources.scratch import materialize
 
@@ -111,10 +111,11 @@ def first_of_each_class(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     found = near_copies(docs, id_col, text_col)
     of_class = F.coalesce("class_key", F.col("row_key").cast("string"))
     least = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row_key"))
-    keep = found.groupBy(of_class.alias("class")).agg(least.alias("kept")).select(F.col("kept.row_key").alias("_row_key")).distinct()
+    (key,) = free_names(docs, "row_key")
+    keep = found.groupBy(of_class.alias("class")).agg(least.alias("kept")).select(F.col("kept.row_key").alias(key)).distinct()
     text = F.coalesce(field(text_col).cast("string"), F.lit(""))
-    keyed = docs.withColumn("_row_key", F.xxhash64(field(id_col).cast("long"), text))
-    return keyed.join(keep, "_row_key", "left_semi").dropDuplicates(["_row_key"]).select(*[field(c) for c in docs.columns])
+    keyed = docs.withColumn(key, F.xxhash64(field(id_col).cast("long"), text))
+    return keyed.join(keep, key, "left_semi").dropDuplicates([key]).select(*[field(c) for c in docs.columns])
 
 
 def _leaves(sets: DataFrame) -> DataFrame:
@@ -152,7 +153,7 @@ def _buckets(leaves: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def _compared(met: DataFrame, sets: DataFrame, texts: DataFrame) -> DataFrame:
-    """(set_id, other, links): per set and bucket, its links' rows and its least linked set."""
+    """(set_id, other, links): per set and bucket, its links' rows and the least set of its component there."""
     needed = sets.join(met.select("set_id").distinct(), "set_id", "left_semi").select("row_key").distinct()
     rows = texts.select("row_key", "text").join(needed, "row_key", "left_semi").select("text")
     shingles = rows.mapInPandas(_whole_sets, "set_id string, shingles binary").dropDuplicates(["set_id"])
@@ -282,8 +283,14 @@ def _links(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             return None
         names = group["set_id"].to_numpy()
         order = np.argsort(names)
-        least = order[linked[:, order].argmax(axis=1)]
-        return pd.DataFrame({"set_id": names[any_link], "other": names[least][any_link], "links": (linked @ group["n_docs"].to_numpy(np.int64))[any_link]})
+        least = np.empty(len(names), np.int64)
+        least[order] = np.arange(len(names))
+        while True:  # the least set of the component within this group
+            lower = np.minimum(least, np.where(linked, least[None, :], len(names)).min(axis=1))
+            if (lower == least).all():
+                break
+            least = lower
+        return pd.DataFrame({"set_id": names[any_link], "other": names[order[least]][any_link], "links": (linked @ group["n_docs"].to_numpy(np.int64))[any_link]})
 
     return _groups(batches, work)
 

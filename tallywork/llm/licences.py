@@ -15,7 +15,6 @@ SENTENCES = {
     "apache-line": "Licensed under the Apache License, Version 2.0.",
     "apache-grant": 'Licensed under the Apache License, Version 2.0 (the "License");',
     "apache-use": "you may not use this file except in compliance with the License.",
-    "apache-grant-use": 'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License.',
     "apache-copy": "You may obtain a copy of the License at",
     "apache-copy-url": "You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0",
     "apache-basis": 'Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.',
@@ -40,10 +39,8 @@ SENTENCES = {
 # Rules in order of preference; a licence is told by these sentences in this sequence.
 RULES = (
     ("apache-header", "Apache-2.0", ("apache-grant", "apache-use", "apache-copy-url", "apache-basis", "apache-see")),
-    ("apache-header-joined", "Apache-2.0", ("apache-grant-use", "apache-copy-url", "apache-basis", "apache-see")),
     ("apache-header-split", "Apache-2.0", ("apache-grant", "apache-use", "apache-copy", "apache-basis", "apache-see")),
     ("apache-grant", "Apache-2.0", ("apache-grant",)),
-    ("apache-grant-joined", "Apache-2.0", ("apache-grant-use",)),
     ("apache-line", "Apache-2.0", ("apache-line",)),
     ("apache-tag", "Apache-2.0", ("spdx-apache",)),
     ("mit-text", "MIT", ("mit-grant", "mit-notice", "mit-warranty", "mit-liability")),

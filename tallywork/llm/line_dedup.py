@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallywork.llm.common import field
+from tallywork.llm.common import field, free_names
 from tallywork.sources.scratch import materialize
 
 NUM, DEN = 4, 5  # similarity at which a line matches
@@ -78,11 +78,12 @@ def later_matches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 def without_later_matches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with the lines of :func:`later_matches` taken out of the text."""
-    found = later_matches(docs, id_col, text_col).filter(F.size("removed") > 0).select(F.col("doc_key").alias("_key"), F.col("removed").alias("_removed"))
+    key, gone = free_names(docs, "doc_key", "removed")
+    found = later_matches(docs, id_col, text_col).filter(F.size("removed") > 0).select(F.col("doc_key").alias(key), F.col("removed").alias(gone))
     text = F.coalesce(field(text_col).cast("string"), F.lit(""))
-    keyed = docs.join(found.dropDuplicates(["_key"]), F.xxhash64(field(id_col).cast("long"), text) == F.col("_key"), "left")
-    kept = F.filter(F.split(text, "\n"), lambda _line, i: ~F.array_contains("_removed", i + 1))
-    cleaned = F.when(F.col("_removed").isNull(), field(text_col)).otherwise(F.array_join(kept, "\n"))
+    keyed = docs.join(found.dropDuplicates([key]), F.xxhash64(field(id_col).cast("long"), text) == F.col(key), "left")
+    kept = F.filter(F.split(text, "\n"), lambda _line, i: ~F.array_contains(F.col(gone), i + 1))
+    cleaned = F.when(F.col(gone).isNull(), field(text_col)).otherwise(F.array_join(kept, "\n"))
     return keyed.withColumn(text_col, cleaned).select(*[field(c) for c in docs.columns])
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallywork.llm.common import field, number_copies
+from tallywork.llm.common import field, free_names, number_copies
 from tallywork.sources.scratch import materialize
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -87,25 +87,28 @@ def mixed_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     least over all columns.
     """
     mix = mix_sources(docs, id_col=id_col, text_col=text_col, source_col=source_col, **options)
-    wanted = mix.groupBy(F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("digest").alias("_digest")).agg(
-        F.sum("copies").alias("_copies"), F.count(F.lit(1)).alias("_rows")
+    names = free_names(docs, "key", "id", "of", "digest", "copies", "rows", "copy", "row")
+    key, own_id, own_source, digest, copies, rows, copy, row = names
+    wanted = mix.groupBy(F.col("doc_id").alias(own_id), F.col("source").alias(own_source), F.col("digest").alias(digest)).agg(
+        F.sum("copies").alias(copies), F.count(F.lit(1)).alias(rows)
     )
     wanted = materialize(wanted, "mix-wanted")
     columns = [field(c) for c in docs.columns]
-    keyed = docs.withColumn("_key", F.md5(F.coalesce(field(text_col).cast("string"), F.lit(""))))
+    keyed = docs.withColumn(key, F.md5(F.coalesce(field(text_col).cast("string"), F.lit(""))))
     same = (
-        (F.col("_key") == F.col("_digest"))
-        & field(id_col).cast("long").eqNullSafe(F.col("_id"))
-        & field(source_col).cast("string").eqNullSafe(F.col("_source"))
+        (F.col(key) == F.col(digest))
+        & field(id_col).cast("long").eqNullSafe(F.col(own_id))
+        & field(source_col).cast("string").eqNullSafe(F.col(own_source))
     )
-    each = F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies"))).alias("_copy")
-    single = keyed.join(wanted.filter("_rows = 1 AND _copies > 0"), same).select(*columns, each).drop("_copy")
-    repeated = wanted.filter("_rows > 1 AND _copies > 0")
+    each = F.explode(F.sequence(F.lit(1).cast("long"), F.col(copies))).alias(copy)
+    taken = wanted.filter(F.col(copies) > 0)
+    single = keyed.join(taken.filter(F.col(rows) == 1), same).select(*columns, each).drop(copy)
+    repeated = taken.filter(F.col(rows) > 1)
     if repeated.isEmpty():
         return single
-    least = F.min(F.struct(*columns)).alias("_row")
-    forms = keyed.join(repeated, same).groupBy("_id", "_source", "_digest", "_copies").agg(least)
-    return single.union(forms.select("_row.*", each).drop("_copy"))
+    least = F.min(F.struct(*columns)).alias(row)
+    forms = keyed.join(repeated, same).groupBy(own_id, own_source, digest, copies).agg(least)
+    return single.union(forms.select(f"{row}.*", each).drop(copy))
 
 
 def source_targets(rows: DataFrame, weights: tuple[int, ...], share: float, most_epochs: int) -> DataFrame:

@@ -7,7 +7,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallywork.llm.common import field, number_copies, sortable_long
+from tallywork.llm.common import field, free_names, number_copies, sortable_long
 from tallywork.sources.scratch import materialize
 
 OVERHEAD = 8  # bytes a record costs besides its text
@@ -94,9 +94,10 @@ def shard_by_bytes(
 
 
 def write_shards(docs: DataFrame, placed: DataFrame, path: str, id_col: str = "doc_id") -> None:
-    """Write the records of ``docs`` (ids unique) as Parquet, one folder per shard, in slot order per file."""
-    places = placed.select(F.col("doc_id").alias("_id"), "shard", "slot")
-    rows = docs.join(places, field(id_col).eqNullSafe(F.col("_id"))).drop("_id")
+    """Write the records of ``docs`` (ids unique, no columns named shard or slot) as Parquet, one folder per shard, in slot order per file."""
+    (own_id,) = free_names(docs.select(*[field(c) for c in docs.columns], F.lit(0).alias("shard"), F.lit(0).alias("slot")), "id")
+    places = placed.select(F.col("doc_id").alias(own_id), "shard", "slot")
+    rows = docs.join(places, field(id_col).eqNullSafe(F.col(own_id))).drop(own_id)
     rows.repartitionByRange("shard", "slot").sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path)
 
 

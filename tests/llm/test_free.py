@@ -1,0 +1,262 @@
+"""Personal data, quality, search, archives, line dedup and the Jaccard join against brute force."""
+
+from __future__ import annotations
+
+import hashlib
+import random
+import re
+import zlib
+
+import numpy as np
+import pytest
+from llm_rows import LONG, SCHEMA, doc, edges, nothing  # noqa: F401
+from pyspark.sql import functions as F
+
+from tallywork.llm import jaccard_join, line_dedup, topk, warc
+from tallywork.llm.components import components
+from tallywork.llm.jaccard_join import first_of_each_class, near_copies, runs_for
+from tallywork.llm.line_dedup import later_matches, without_later_matches
+from tallywork.llm.pii import find_personal_data, luhn, mod97, personal_data_digest, spans_of
+from tallywork.llm.quality import featurise, fit_quality, score_quality
+from tallywork.llm.topk import top_k
+
+
+def plain_base(text):
+    """The base kinds exactly as the rule has them, by plain patterns."""
+    kinds = {
+        "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+        "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+        "card": r"[0-9]([\x20-]?[0-9])+",
+        "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+    }
+    out = []
+    for k, pattern in kinds.items():
+        for m in re.finditer(pattern, text):
+            digits = re.sub("[^0-9]", "", m[0])
+            good = {
+                "email": lambda: True,
+                "ip": lambda m=m: all(int(p) <= 255 for p in m[0].split(".")),
+                "card": lambda d=digits: 12 <= len(d) <= 19 and luhn(d),
+                "phone": lambda d=digits: 9 <= len(d) <= 15,
+            }[k]
+            if good():
+                out.append((m.start(), list(kinds).index(k), m.end(), k))
+    return [(k, a, b) for a, _, b, k in sorted(out)]
+
+
+def test_base_spans_equal_plain_patterns():
+    rng = random.Random(1)
+    pieces = ["a@b.c", "@", "_x@d.e", ".", "x.y+z@h-1.org.", "1.2.3.4", ".5.6.7.8", "256.1.1.1", "0001.002.3.255", "4111 1111 1111 1111", "4111-1111-1111-1112", "+1 (415) 555-0100", "+12", "9" * 25, " ", "\n", "é", "word", "-", "37828224631000 5"]
+    for _ in range(4000):
+        text = "".join(rng.choice(pieces) for _ in range(rng.randint(1, 12)))
+        assert [s[:3] for s in spans_of(text) if s[0] in ("email", "ip", "card", "phone")] == plain_base(text), text
+
+
+def test_added_kinds_need_checksum_or_context():
+    assert mod97("GB82WEST12345698765432") and not mod97("GB82WEST12345698765433")
+    assert [s[0] for s in spans_of("pay to GB82 WEST 1234 5698 7654 32 now")] == ["iban"]
+    assert spans_of("order 123-45-6789 shipped") == []
+    assert [s[0] for s in spans_of("my SSN is 123-45-6789")] == ["ssn"]
+
+
+def test_digits_without_end_are_linear():
+    assert spans_of("1" * 300_000 + "." + "1" * 300_000 + "a" * 300_000 + "@") == []
+
+
+def test_personal_data_query_form(spark, edges, nothing):
+    rows = [doc(1, "é mail a.b@c.org and 10.0.0.1"), doc(None, "+1 415 555 0100"), doc(2, None)]
+    found = {r.doc_id: r for r in personal_data_digest(find_personal_data(spark.createDataFrame(rows, SCHEMA))).collect()}
+    assert found[1].spans == "email:7:16,ip:21:29" and (found[1].n_email, found[1].n_ip, found[1].n_card) == (1, 1, 0)
+    assert found[1].base_sha256 == hashlib.sha256(found[1].spans.encode()).hexdigest()
+    assert found[None].n_phone == 1 and found[2].spans == "" and found[2].base_sha256 == hashlib.sha256(b"").hexdigest()
+    assert find_personal_data(edges).count() == edges.count() and find_personal_data(nothing).count() == 0
+
+
+def quality_rows(n):
+    rng = random.Random(5)
+    vocabulary = [f"w{rng.randint(0, 99999)}" for _ in range(400)]
+    for i in range(n):
+        words = rng.choices(vocabulary, k=rng.randint(5, 80))
+        good = i % 3 > 0
+        yield doc(i, " ".join(words) + "." if good else " | ".join(words)), int(good)
+
+
+def test_quality_separates_and_hides_held_out_labels(spark, edges, nothing):
+    rows = list(quality_rows(900))
+    docs = spark.createDataFrame([r[0] for r in rows], SCHEMA)
+    labels = spark.createDataFrame([(i, r[1]) for i, r in enumerate(rows)] + [(None, 1), (5, None), (7, 1), (7, 0)], "doc_id long, quality int")
+    found = score_quality(docs, fit_quality(docs, labels)).collect()
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0) and 0 <= r.score <= 1 for r in found)
+    held = [r for r in found if r.held_out]
+    assert sum(r.predicted == rows[r.doc_id][1] for r in held) >= 0.97 * len(held)
+    lying = labels.withColumn("quality", F.when(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, 1 - F.col("quality")).otherwise(F.col("quality")))
+    again = score_quality(docs.withColumn("lang", F.lit("zz")), fit_quality(docs, lying)).collect()
+    assert sorted((r.doc_id, r.score) for r in again) == sorted((r.doc_id, r.score) for r in found)
+    model = fit_quality(docs, labels)
+    assert score_quality(edges, model).count() == edges.count() and score_quality(nothing, model).count() == 0
+    assert {r.score for r in score_quality(edges, fit_quality(docs, labels.limit(0))).collect()} == {0.5}
+
+
+def test_sum_of_squares_identity():
+    from tallywork.llm.quality import _WIDTH, Model, _Buckets, _joined
+
+    rng = np.random.default_rng(0)
+    model = Model(0.1, rng.normal(0, 1, _WIDTH), rng.normal(0, 0.3, (_WIDTH, 4)))
+    found = [featurise(t, 3.0, _Buckets()) for t in ("", "a b a c", "one | two")]
+    for (ids, x), score in zip(found, model.scores(*_joined([f[0] for f in found], [f[1] for f in found])), strict=True):
+        z = model.bias + sum(model.linear[i] * v for i, v in zip(ids, x, strict=True))
+        z += sum(model.factors[ids[a]] @ model.factors[ids[b]] * x[a] * x[b] for a in range(len(ids)) for b in range(a))
+        assert score == pytest.approx(1 / (1 + np.exp(-z)), rel=1e-4)
+
+
+def test_top_k_equals_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(topk, "QUERY_BLOCK", 3)
+    monkeypatch.setattr(topk, "ROW_BLOCK", 40)
+    rng = np.random.default_rng(2)
+    vectors = {i: (rng.integers(-2, 3, rng.integers(0, 6)) / 64).tolist() for i in range(-40, 140)}
+    rows = [(i, v) for i, v in vectors.items()] + [(20, vectors[20]), (500, [None, 1.0]), (520, [float("nan")]), (540, None), (None, [1.0]), (560, [float("inf")])]
+    got = top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), k=7).collect()
+    expected = set()
+    for q in (i for i in vectors if i % 20 == 0):
+        scored = sorted((-sum(round(a * 64) * round(b * 64) for a, b in zip(vectors[q], v, strict=False)), i) for i, v in vectors.items() if i != q)[:7]
+        expected |= {(q, n, i, -s) for n, (s, i) in enumerate(scored, 1)}
+    assert {(r.query_id, r["rank"], r.vec_id, r.score) for r in got} == expected and len(got) == len(expected)
+    assert top_k(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
+
+
+def test_archives_round_trip(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(warc, "FRAME_BYTES", 3000)
+    monkeypatch.setattr(warc, "ARCHIVE_BYTES", 4000)
+    rng = random.Random(4)
+    pages = [(i, f"http://h/{i}", "".join(rng.choices("abc<é>\r\n ", k=rng.randint(0, 900)))) for i in range(60)]
+    pages += [(100, None, "same"), (101, "a\r\nb", "same"), (101, "c", "same"), (7000, "x", None), (7001, "y", ""), (None, "z", "same"), (None, None, "alone")]
+    table = spark.createDataFrame(pages, "page_id long, url string, html string").withColumn("payload", F.lit(1)).repartition(2)
+    index = warc.write_archives(warc.assign_types(table), f"file://{tmp_path}/archives")
+    got = warc.read_archives(index).collect()
+    last = {}
+    for i, _, html in pages:
+        last[html or ""] = max(last.get(html or "", -(1 << 60)), -(1 << 60) if i is None else i)
+    expected = []
+    for i, _, html in pages:
+        raw, keeper = (html or "").encode(), last[html or ""]
+        revisit = keeper != -(1 << 60) and i != keeper
+        expected.append((i, len(raw), warc._digest(raw), "revisit" if revisit else "response", keeper if revisit else None))
+    assert sorted(map(str, (tuple(r) for r in got))) == sorted(map(str, expected))
+    frame = index.filter("size(ids) > 1").first()
+    table = warc.seek_table(frame.archive)
+    record = warc.read_frame(frame.archive, table, frame.frame)[frame.offsets[1] : frame.offsets[1] + frame.lengths[1]]
+    assert warc.parse_record(record)["page_id"] in (frame.ids[1], None)
+    assert warc.archive_and_read(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
+
+
+def near_rows():
+    rng = random.Random(9)
+    base = [[f"v{rng.randint(0, 10**6)}" for _ in range(60)] for _ in range(40)]
+    rows = []
+    for i in range(400):
+        words = list(base[i % 40])
+        for _ in range(rng.choice([0, 0, 1, 1, 2, 3])):
+            words[rng.randrange(60)] = f"n{rng.randint(0, 10**6)}"
+        rows.append(doc(i, " ".join(words)))
+    hot = ["hot"] + [f"h{i}" for i in range(80)]
+    for i in range(400, 600):
+        words = list(hot)
+        words[rng.randrange(81)] = f"z{i}"
+        rows.append(doc(i, " ".join(words)))
+    return rows
+
+
+def brute_links(rows):
+    words = jaccard_join._Words()
+    sets = {r[0]: set(jaccard_join.shingle_set(r[1] or "", words).tolist()) for r in rows}
+    parent, degree = {i: i for i in sets}, dict.fromkeys(sets, 0)
+
+    def root(a):
+        while parent[a] != a:
+            a = parent[a]
+        return a
+
+    ids = sorted(sets)
+    for n, a in enumerate(ids):
+        for b in ids[:n]:
+            same = len(sets[a] & sets[b])
+            if same and same * 5 >= 4 * len(sets[a] | sets[b]):
+                degree[a] += 1
+                degree[b] += 1
+                low, high = sorted((root(a), root(b)))
+                parent[high] = low
+    return {i: (root(i), degree[i]) for i in sets}
+
+
+@pytest.mark.parametrize("small", [False, True])
+def test_near_copies_equal_brute_force(spark, monkeypatch, small):
+    if small:  # split every bucket to the end and compare block by block
+        monkeypatch.setattr(jaccard_join, "SMALL", 2)
+        monkeypatch.setattr(jaccard_join, "BLOCK", 30)
+    rows = near_rows()
+    got = near_copies(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert {r.doc_id: (r.class_id, r.n_links) for r in got} == brute_links(rows)
+
+
+def test_near_copies_edges(spark, edges, nothing):
+    got = near_copies(edges).collect()
+    assert len(got) == edges.count()
+    links = {(r.doc_id, r.class_id, r.n_links) for r in got}
+    assert {(1, 1, 2), (2, 1, 2), (3, 3, 0), (4, 4, 0), (None, None, 0), (5, 5, 0), (6, 6, 0)} <= links
+    kept = first_of_each_class(edges)
+    assert kept.columns == edges.columns
+    assert sorted(str(r.doc_id) for r in kept.collect()) == sorted(["1", "3", "4", "None", "None", "5", "6", "-7"])
+    assert near_copies(nothing).count() == first_of_each_class(nothing).count() == 0
+    assert 1 - (1 - 0.8**jaccard_join.DEPTH) ** runs_for() >= jaccard_join.RECALL
+
+
+def test_components(spark):
+    chain = [(f"{i:03}", f"{i + 1:03}") for i in range(40)] + [("x", "y"), ("y", "y"), (None, "x")]
+    got = dict(tuple(r) for r in components(spark.createDataFrame(chain, "a string, b string")).collect())
+    assert got == {f"{i:03}": "000" for i in range(41)} | {"x": "x", "y": "x"}
+
+
+def brute_lines(rows):
+    found, earlier = {}, []
+    for doc_id, text in sorted({(r[0] if r[0] is not None else 1 << 62, r[1] or "") for r in rows}):
+        gone = []
+        for i, line in enumerate(text.split("\n"), 1):
+            words = set(re.findall(r"\w+", line.lower()))
+            if words:
+                if any(len(words & e) * 5 >= 4 * len(words | e) for e in earlier):
+                    gone.append(i)
+                earlier.append(words)
+        found[doc_id, text] = gone
+    return found
+
+
+@pytest.mark.parametrize("most", [1, 16])
+def test_later_matches_equal_brute_force(spark, monkeypatch, most):
+    monkeypatch.setattr(line_dedup, "MOST_AT_ONCE", most)
+    monkeypatch.setattr(line_dedup, "BLOCK", 40)
+    monkeypatch.setattr(line_dedup, "_HELD", 50)
+    rng = random.Random(6)
+    common = [f"c{i}" for i in range(12)]
+    stock = [[rng.choice(common) if rng.random() < 0.5 else f"r{rng.randint(0, 400)}" for _ in range(rng.randint(1, 25))] for _ in range(60)]
+    rows = []
+    for i in range(120):
+        lines = []
+        for _ in range(rng.randint(1, 6)):
+            words = list(rng.choice(stock))
+            if rng.random() < 0.5:
+                words[rng.randrange(len(words))] = f"r{rng.randint(0, 400)}"
+            lines.append(" ".join(words).title() + rng.choice(["", ".", "!"]))
+        rows.append(doc(i, "\n".join(lines)))
+    rows += [doc(None, rows[0][1]), doc(200, None), doc(201, "\n \n"), rows[3], doc(3, rows[3][1])]
+    got = later_matches(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert sorted((r.doc_id if r.doc_id is not None else 1 << 62, r.removed) for r in got) == sorted((k[0], v) for k, v in brute_lines(rows).items())
+
+
+def test_lines_are_taken_out(spark, edges, nothing):
+    rows = [doc(1, "keep this line\nand that one"), doc(2, "Keep this line!\nnew words here\n\nand that one"), doc(3, None)]
+    cleaned = without_later_matches(spark.createDataFrame(rows, SCHEMA))
+    assert sorted((r.doc_id, r.text) for r in cleaned.collect()) == [(1, rows[0][1]), (2, "new words here\n"), (3, None)]
+    assert cleaned.columns == edges.columns
+    assert without_later_matches(edges).count() == edges.count()
+    assert later_matches(nothing).count() == 0
+    assert len(LONG) > 300_000
