@@ -21,11 +21,12 @@ from tallywork.llm.common import field, free_names
 from tallywork.sources.scratch import materialize
 
 NUM, DEN = 4, 5  # similarity at which a line matches
-COUNTERS = 1 << 22  # word counters; words that share one rank together, which costs time only
+COUNTERS = 1 << 21  # word counters; words that share one rank together, which costs time only
 BLOCK = 1 << 14  # uses of a word beyond which lines meet block by block
 MOST_AT_ONCE = 16  # candidates of a line and word in the first round; who needs more gets all in a second one
 BROADCAST_SETS = 2_000_000  # set names a broadcast may hold; more are joined by shuffle
 _CACHED = 200_000
+_PART = 1 << 12  # counters packed in one row
 _HELD = 1 << 21  # candidates a task gathers before it drops all but the closest
 
 _WORD = re.compile(r"\w+")
@@ -123,15 +124,21 @@ def _counters(lines: DataFrame) -> np.ndarray:
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total = np.zeros(COUNTERS, np.int64)
         for batch in batches:
-            words = np.frombuffer(b"".join(batch["words"]), np.uint32)
-            np.add.at(total, words % COUNTERS, 1) if len(words) < COUNTERS // 64 else np.add(total, np.bincount(words % COUNTERS, minlength=COUNTERS), out=total)
-        used = np.flatnonzero(total)
-        yield pd.DataFrame({"counter": used.astype(np.int32), "n": total[used]})
-
-    sums = lines.filter("set_id IS NOT NULL").select("words").mapInPandas(count, "counter int, n long").groupBy("counter").agg(F.sum("n").alias("n"))
-    found = sums.toPandas()  # at most COUNTERS rows
+            used, times = np.unique(np.frombuffer(b"".join(batch["words"]), np.uint32) % COUNTERS, return_counts=True)
+            total[used] += times
+        for part, block in enumerate(np.split(total, COUNTERS // _PART)):
+            if block.any():
+                yield pd.DataFrame({"part": [part], "uses": [block.astype("<i8").tobytes()]})
+
+    def add(rows: pd.DataFrame) -> pd.DataFrame:
+        total = np.sum([np.frombuffer(b, "<i8") for b in rows["uses"]], axis=0)
+        return pd.DataFrame({"part": rows["part"][:1], "uses": [np.minimum(total, 2**32 - 1).astype("<u4").tobytes()]})
+
+    shape = "part int, uses binary"
+    counted = lines.filter("set_id IS NOT NULL").select("words").mapInPandas(count, shape)
     out = np.zeros(COUNTERS, np.uint32)
-    out[found["counter"].to_numpy()] = np.minimum(found["n"].to_numpy(), 2**32 - 1)
+    for part, uses in counted.groupBy("part").applyInPandas(add, shape).collect():  # at most COUNTERS numbers, packed
+        out[part * _PART : (part + 1) * _PART] = np.frombuffer(uses, "<u4")
     return out
 
 
