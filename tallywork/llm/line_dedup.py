@@ -8,11 +8,12 @@ and whole word sets decide the rest.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -26,23 +27,25 @@ BLOCK = 1 << 14  # uses of a word beyond which lines meet block by block
 MOST_AT_ONCE = 16  # candidates of a line and word in the first round; who needs more gets all in a second one
 BROADCAST_SETS = 2_000_000  # set names a broadcast may hold; more are joined by shuffle
 _CACHED = 200_000
+_DOCS = 1_000  # documents split together
 _PART = 1 << 12  # counters packed in one row
 _HELD = 1 << 21  # candidates a task gathers before it drops all but the closest
 
-_WORD = re.compile(r"\w+")
+_NO_WORD = r"[^\pL\pN_]+"
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _LAST = (1 << 63) - 1  # stands for a NULL id: after all others
 
-_LINES = "doc_key long, doc_id string, line int, n_lines int, set_id long, size int, words binary"
-_ENTRIES = "key long, side int, set_id long, size int, place int, mark long, doc long, line int, doc_key long"
+_LINES = "doc_key long, doc_id long, line int, n_lines int, set_id long, size int, words binary"
+# shape packs a line's size, the word's place in it and the side of a pair of blocks, and sorts by size
+_ENTRIES = "key long, shape long, set_id long, mark long, doc long, line int"
 _FOUND = "late long, early long, more boolean"
 
 
 def later_matches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Lines to remove: (doc_id, doc_key, n_lines, removed), one row per document, ``removed`` counting lines from 1.
 
-    A line's words are the distinct lower-cased runs of word characters. A line goes when an earlier one, in the order
-    of doc_id and line, has a word set of Jaccard similarity 0.8 or more, whether or not that one goes
+    A line's words are the distinct lower-cased runs of letters, digits and low lines. A line goes when an earlier one, in the order
+    of doc_id, line and (where these are equal) text, has a word set of Jaccard similarity 0.8 or more, whether or not that one goes
     itself. Lines without words never match. ``doc_key`` is a hash of id and text: rows equal in both are one
     document; documents without id come last. NULL and empty texts are one line without words; an empty
     table gives no rows; other columns are ignored. Words are told apart by 32-bit hashes.
@@ -52,8 +55,8 @@ def later_matches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     had more see all of theirs in a second round. Words in very many lines are met block by block.
     """
     text = F.coalesce(field(text_col).cast("string"), F.lit(""))
-    rows = docs.select(F.xxhash64(field(id_col).cast("long"), text).alias("doc_key"), field(id_col).cast("string").alias("doc_id"), text.alias("text"))
-    lines = materialize(rows.mapInPandas(_lines, _LINES), "line-sets")
+    rows = docs.select(F.xxhash64(field(id_col).cast("long"), text).alias("doc_key"), field(id_col).cast("long").alias("doc_id"), text.alias("text"))
+    lines = materialize(rows.mapInArrow(_lines, _LINES), "line-sets")
     counters = _counters(lines)
     found = materialize(_met(lines, counters).mapInPandas(_closest(MOST_AT_ONCE), _FOUND), "line-candidates")
     matched = materialize(_verified(found, lines), "line-matches")
@@ -66,13 +69,13 @@ def later_matches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         matched = matched.union(_verified(rest, lines))
 
     first = F.min(F.struct("doc", "line", "doc_key")).alias("first")
-    slim = lines.withColumn("doc", F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST))).drop("words", "size")
+    slim = lines.withColumn("doc", F.coalesce("doc_id", F.lit(_LAST))).drop("words", "size")
     sets = slim.filter("set_id IS NOT NULL").groupBy("set_id").agg(F.count(F.lit(1)).alias("n"), first)
     gone = matched.select(F.col("late").alias("set_id"), F.lit(True).alias("gone")).distinct()
     known = sets.join(gone, "set_id", "left").filter("n > 1 OR gone").select(F.col("set_id").alias("_set"), "first", F.coalesce("gone", F.lit(False)).alias("gone"))
     late = F.col("gone") | (F.struct("doc", "line", "doc_key") != F.col("first"))
     marked = slim.join(known, F.col("set_id") == F.col("_set"), "left").withColumn("late", F.coalesce(late, F.lit(False)))
-    return marked.groupBy(F.col("doc_id").cast("long").alias("doc_id"), "doc_key").agg(
+    return marked.groupBy("doc_id", "doc_key").agg(
         F.max("n_lines").alias("n_lines"), F.array_sort(F.collect_set(F.when(F.col("late"), F.col("line")))).alias("removed")
     )
 
@@ -88,34 +91,51 @@ def without_later_matches(docs: DataFrame, id_col: str = "doc_id", text_col: str
     return keyed.withColumn(text_col, cleaned).select(*[field(c) for c in docs.columns])
 
 
-class _Words(dict):
-    """Word -> 32-bit hash; forgets all words when it has grown to its bound."""
-
-    def __missing__(self, word: str) -> int:
-        if len(self) >= _CACHED:
-            self.clear()
-        self[word] = h = xxhash.xxh32_intdigest(word)
-        return h
-
-
-def _lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    words = _Words()
+def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        out = []
-        for doc_key, doc_id, text in batch.itertuples(index=False, name=None):
-            lines = text.split("\n")
-            before = len(out)
-            for i, line in enumerate(lines, 1):
-                found = {words[w] for w in _WORD.findall(line.lower())}
-                if found:
-                    packed = np.sort(np.fromiter(found, np.uint32, len(found))).tobytes()
-                    set_id = xxhash.xxh3_64_intdigest(packed)
-                    out.append((doc_key, doc_id, i, len(lines), set_id - (1 << 64) * (set_id >> 63), len(found), packed))
-            if len(out) == before:
-                out.append((doc_key, doc_id, 0, len(lines), None, 0, b""))
-        frame = pd.DataFrame(out, columns=["doc_key", "doc_id", "line", "n_lines", "set_id", "size", "words"])
-        frame["set_id"] = pd.array([o[4] for o in out], dtype="Int64")
-        yield frame
+        for at in range(0, len(batch), _DOCS):
+            yield _word_sets(batch.slice(at, _DOCS))
+
+
+def _word_sets(docs: pa.RecordBatch) -> pa.RecordBatch:
+    """One row per line with words, and one for a document without any; all lines are handled together."""
+    doc_key, doc_id, text = docs.columns
+    lines = pc.split_pattern(text, "\n")
+    n_lines = pc.list_value_length(lines).to_numpy()
+    parent = pc.list_parent_indices(lines).to_numpy()
+    number = np.arange(len(parent)) - np.repeat(np.cumsum(n_lines) - n_lines, n_lines) + 1
+    words = pc.split_pattern_regex(pc.utf8_lower(lines.flatten()), _NO_WORD)
+    owner, coded = pc.list_parent_indices(words).to_numpy(), words.flatten().dictionary_encode()
+    names = coded.dictionary.to_pylist()
+    hashes = np.fromiter((xxhash.xxh32_intdigest(w) for w in names), np.uint64, len(names))
+    codes = coded.indices.to_numpy()
+    if "" in names:
+        real = codes != names.index("")
+        owner, codes = owner[real], codes[real]
+    pairs = np.unique((owner.astype(np.uint64) << np.uint64(32)) | hashes[codes])
+    owner, found = (pairs >> np.uint64(32)).astype(np.int64), (pairs & np.uint64(0xFFFFFFFF)).astype("<u4")
+    starts = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]])) if len(owner) else np.zeros(0, np.int64)
+    line, size = owner[starts], np.diff(np.append(starts, len(owner)))
+    mixed = (found.astype(np.uint64) + np.uint64(1)) * _MIX
+    mixed = (mixed ^ (mixed >> np.uint64(31))) * _MIX
+    set_id = (np.add.reduceat(mixed ^ (mixed >> np.uint64(29)), starts) if len(starts) else np.zeros(0, np.uint64)).view(np.int64)
+    offsets = np.append(starts, len(owner)).astype(np.int32) * 4
+    packed = pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(found.tobytes())])
+    rows = parent[line]
+    bare = np.setdiff1d(np.arange(len(docs)), rows)
+    none = len(bare)
+    take = pa.array(np.concatenate([rows, bare]))
+    return pa.RecordBatch.from_arrays(
+        [
+            doc_key.take(take), doc_id.take(take),
+            pa.array(np.concatenate([number[line], np.zeros(none, np.int64)]).astype(np.int32)),
+            pa.array(n_lines[np.concatenate([rows, bare])].astype(np.int32)),
+            pa.concat_arrays([pa.array(set_id), pa.nulls(none, pa.int64())]),
+            pa.array(np.concatenate([size, np.zeros(none, np.int64)]).astype(np.int32)),
+            pa.concat_arrays([packed, pa.array([b""] * none, pa.binary())]),
+        ],
+        names=["doc_key", "doc_id", "line", "n_lines", "set_id", "size", "words"],
+    )
 
 
 def _counters(lines: DataFrame) -> np.ndarray:
@@ -128,10 +148,10 @@ def _counters(lines: DataFrame) -> np.ndarray:
             total[used] += times
         for part, block in enumerate(np.split(total, COUNTERS // _PART)):
             if block.any():
-                yield pd.DataFrame({"part": [part], "uses": [block.astype("<i8").tobytes()]})
+                yield pd.DataFrame({"part": [part], "uses": [np.minimum(block, 2**32 - 1).astype("<u4").tobytes()]})
 
     def add(rows: pd.DataFrame) -> pd.DataFrame:
-        total = np.sum([np.frombuffer(b, "<i8") for b in rows["uses"]], axis=0)
+        total = np.sum([np.frombuffer(b, "<u4") for b in rows["uses"]], axis=0, dtype=np.int64)
         return pd.DataFrame({"part": rows["part"][:1], "uses": [np.minimum(total, 2**32 - 1).astype("<u4").tobytes()]})
 
     shape = "part int, uses binary"
@@ -142,7 +162,8 @@ def _counters(lines: DataFrame) -> np.ndarray:
     return out
 
 
-_ORDER = ("key", "size", "set_id", "doc", "line", "doc_key")
+_ORDER = ("key", "shape")
+_SIZE, _PLACE = 34, 4  # bits below size and place in a shape
 
 
 def _met(lines: DataFrame, counters: np.ndarray) -> DataFrame:
@@ -152,8 +173,8 @@ def _met(lines: DataFrame, counters: np.ndarray) -> DataFrame:
     def entries(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         uses, seen = shared.value, {}
         for batch in batches:
-            docs = [int(d) if d is not None else _LAST for d in batch["doc_id"]]
-            orders = list(zip(docs, batch["line"].tolist(), batch["doc_key"].tolist(), strict=True))
+            docs = batch["doc"].tolist()
+            orders = list(zip(docs, batch["line"].tolist(), strict=True))
             new = []
             for i, (set_id, order) in enumerate(zip(batch["set_id"].tolist(), orders, strict=True)):
                 if set_id not in seen or order < seen[set_id]:  # again when a task meets an earlier line of the set
@@ -164,7 +185,7 @@ def _met(lines: DataFrame, counters: np.ndarray) -> DataFrame:
             if new:
                 yield _prefixes(batch.iloc[new], np.array([docs[i] for i in new]), uses)
 
-    dealt = lines.filter("set_id IS NOT NULL").select("doc_key", "doc_id", "line", "set_id", "size", "words")
+    dealt = lines.filter("set_id IS NOT NULL").select(F.coalesce("doc_id", F.lit(_LAST)).alias("doc"), "line", "set_id", "size", "words")
     return dealt.mapInPandas(entries, _ENTRIES).repartition("key").sortWithinPartitions(*_ORDER)
 
 
@@ -193,9 +214,8 @@ def _prefixes(sets: pd.DataFrame, docs: np.ndarray, uses: np.ndarray) -> pd.Data
     key = ((words.astype(np.uint64) * _MIX) ^ (low * np.uint64(0xC2B2AE3D27D4EB4F))) * _MIX ^ (high * np.uint64(0x165667B19E3779F9))
     return pd.DataFrame(
         {
-            "key": key.view(np.int64), "side": np.sign(other - own).astype(np.int32), "set_id": ids[owner], "size": size[owner].astype(np.int32),
-            "place": place.astype(np.int32), "mark": marks[owner].view(np.int64), "doc": docs[owner],
-            "line": sets["line"].to_numpy(np.int32)[owner], "doc_key": sets["doc_key"].to_numpy(np.int64)[owner],
+            "key": key.view(np.int64), "shape": (size[owner] << _SIZE) | (place << _PLACE) | (np.sign(other - own) + 1),
+            "set_id": ids[owner], "mark": marks[owner].view(np.int64), "doc": docs[owner], "line": sets["line"].to_numpy(np.int32)[owner],
         }
     )
 
@@ -220,14 +240,17 @@ def _closest(most: int | None):
 
 
 def _candidates(rows: pd.DataFrame, most: int | None) -> pd.DataFrame:
+    # of a set's rows at a word the earliest comes first and stays
+    rows = rows.iloc[np.lexsort([rows[c].to_numpy() for c in ("line", "doc", "set_id", "shape", "key")])]
     key, ids = rows["key"].to_numpy(), rows["set_id"].to_numpy()
     fresh = np.ones(len(rows), bool)
-    fresh[1:] = (key[1:] != key[:-1]) | (ids[1:] != ids[:-1])  # of a set's rows the earliest comes first
+    fresh[1:] = (key[1:] != key[:-1]) | (ids[1:] != ids[:-1])
     rows = rows[fresh]
-    key, ids, size, place, side, mark = (rows[c].to_numpy() for c in ("key", "set_id", "size", "place", "side", "mark"))
-    size, place, mark = size.astype(np.int64), place.astype(np.int64), mark.view(np.uint64)
+    key, shape, ids, mark = (rows[c].to_numpy() for c in ("key", "shape", "set_id", "mark"))
+    size, place, side = shape >> _SIZE, (shape >> _PLACE) & ((1 << (_SIZE - _PLACE)) - 1), (shape & ((1 << _PLACE) - 1)) - 1
+    mark = mark.view(np.uint64)
     order = np.empty(len(rows), np.int64)
-    order[np.lexsort((rows["doc_key"].to_numpy(), rows["line"].to_numpy(), rows["doc"].to_numpy()))] = np.arange(len(rows))
+    order[np.lexsort((ids, rows["line"].to_numpy(), rows["doc"].to_numpy()))] = np.arange(len(rows))
     asks = rows["asks"].to_numpy() if most is None else None
     # the shorter line of a pair meets the longer one within its still shorter index prefix
     inside = place < size - (2 * NUM * size + NUM + DEN - 1) // (NUM + DEN) + 1
