@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tallywork.catalog.census import SPEC
 from tallywork.catalog.registry import Tables, long_sql, query, r, rounded
@@ -109,10 +110,10 @@ def _(t: Tables) -> DataFrame:
     return rounded(charts.log_box_stats(t.census, ["gain", "price"]))
 
 
-def _capped(columns, uncapped=()) -> str:
+def _capped(columns, uncapped=(), label: str = "income") -> str:
     """SQL cells with top-10 + Other; NULL goes to Other only in columns that are capped."""
     listed = ", ".join(f"'{c}'" for c in uncapped) or "''"
-    return f"""WITH {{census}}, long AS ({long_sql(columns, "income AS label", kind="VARCHAR", value="level")}),
+    return f"""WITH {{census}}, long AS ({long_sql(columns, f"{label} AS label", kind="VARCHAR", value="level")}),
     freq AS (SELECT "column", level, count(*) AS n FROM long WHERE level IS NOT NULL GROUP BY ALL),
     ranked AS (
       SELECT *, row_number() OVER (PARTITION BY "column" ORDER BY n DESC, level) AS place,
@@ -122,29 +123,65 @@ def _capped(columns, uncapped=()) -> str:
       SELECT l."column", CASE WHEN flags.is_capped AND (k.place IS NULL OR k.place > 10) THEN 'Other' ELSE l.level END AS level, label
       FROM long l JOIN flags ON l."column" = flags."column"
       LEFT JOIN ranked k ON l."column" = k."column" AND l.level = k.level),
-    cells AS (SELECT "column", level, label, count(*) AS n FROM leveled WHERE level IS NOT NULL GROUP BY ALL),
+    cells AS (SELECT "column", level, label, count(*) AS n FROM leveled WHERE level IS NOT NULL AND label IS NOT NULL GROUP BY ALL),
     lv AS (SELECT "column", level, CAST(sum(n) AS BIGINT) AS level_n FROM cells GROUP BY ALL),
     lb AS (SELECT DISTINCT "column", label FROM cells)"""
 
 
-@query(
-    "stacked_share",
-    f"""{_capped(SPEC.share_categories, SPEC.uncapped)}
+def _share_sql(columns, uncapped=(), label: str = "income") -> str:
+    return f"""{_capped(columns, uncapped, label)}
     SELECT lv."column", lv.level, lb.label, coalesce(n, 0) AS n, level_n,
            {r("coalesce(n, 0) / CAST(level_n AS DOUBLE)")} AS share
     FROM lv JOIN lb ON lv."column" = lb."column"
-    LEFT JOIN cells ON cells."column" = lv."column" AND cells.level = lv.level AND cells.label = lb.label""",
-)
+    LEFT JOIN cells ON cells."column" = lv."column" AND cells.level = lv.level AND cells.label = lb.label"""
+
+
+@query("stacked_share", _share_sql(SPEC.share_categories, SPEC.uncapped))
 def _(t: Tables) -> DataFrame:
     return rounded(charts.stacked_shares(t.census, SPEC.share_categories, "income", uncapped=SPEC.uncapped))
 
 
 @query(
-    "positive_rate_bar",
-    f"""{_capped(SPEC.rate_categories)}
-    SELECT "column", level, CAST(sum(n) AS BIGINT) AS n,
-           {r("sum(CASE WHEN label = '>50K' THEN n ELSE 0 END) / CAST(sum(n) AS DOUBLE)")} AS positive_rate
-    FROM cells GROUP BY "column", level""",
+    "stacked_share_null_target",
+    _share_sql(("brand", "segment"), (), "CASE WHEN size > brand_cut(brand) THEN income END").replace(
+        "brand_cut(brand)", "CASE WHEN brand >= 'Brand#3' THEN 40 ELSE 5 END"
+    ),
 )
+def _(t: Tables) -> DataFrame:
+    """Most rows of the later brands have no target, yet rank them."""
+    cut = F.when(F.col("brand") >= "Brand#3", 40).otherwise(5)
+    rows = t.census.withColumn("income", F.when(F.col("size") > cut, F.col("income")))
+    return rounded(charts.stacked_shares(rows, ("brand", "segment"), "income"))
+
+
+_RATE_SQL = f"""{_capped(SPEC.rate_categories)}
+    SELECT "column", level, CAST(sum(n) AS BIGINT) AS n,
+           {r("sum(CASE WHEN label = '>50K' THEN n ELSE 0 END) / CAST(sum(n) AS DOUBLE)")} AS positive_rate,
+           row_number() OVER (PARTITION BY "column" ORDER BY sum(CASE WHEN label = '>50K' THEN n ELSE 0 END) / CAST(sum(n) AS DOUBLE) DESC, level) AS rate_rank
+    FROM cells GROUP BY "column", level ORDER BY "column", rate_rank"""
+
+
+@query("positive_rate_bar", _RATE_SQL)
 def _(t: Tables) -> DataFrame:
     return rounded(charts.positive_rate_bars(t.census, SPEC.rate_categories, "income", ">50K"))
+
+
+def chart_counts_sql() -> str:
+    """Rows of every chart table of the whole analysis."""
+    named = {
+        "chart_classes": "WITH {census} SELECT DISTINCT income FROM census",
+        "chart_heatmap": f"SELECT * FROM range({len(SPEC.numeric) ** 2})",
+        "chart_shares": _share_sql(SPEC.share_categories, SPEC.uncapped),
+        "chart_rates": _RATE_SQL,
+        "chart_log_boxes": f"SELECT * FROM range({len(SPEC.box_log)})",
+        "chart_scatter": f"WITH {{census}} SELECT h FROM census LIMIT {SPEC.sample_size}",
+    }
+    for c in SPEC.histogram_by_target:
+        rows = f"SELECT CAST({c} AS DOUBLE) AS value, income AS grp FROM census"
+        named |= {f"chart_histogram_{c}": histogram_sql(rows), f"chart_density_{c}": density_sql(rows)}
+    for c in SPEC.histogram:
+        rows = f"SELECT CAST({c} AS DOUBLE) AS value, 'all' AS grp FROM census"
+        named |= {f"chart_histogram_{c}": histogram_sql(rows), f"chart_density_{c}": density_sql(rows)}
+    for c in SPEC.box_by_target:
+        named[f"chart_boxes_{c}"] = "WITH {census} SELECT DISTINCT income FROM census"
+    return " UNION ALL ".join(f"SELECT '{name}' AS chart, count(*) AS n FROM ({sql}) AS t_{name}" for name, sql in named.items())

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tallywork.catalog.census import SPEC
 from tallywork.catalog.registry import Tables, long_sql, query, r, rounded
@@ -297,3 +298,24 @@ def _(t: Tables) -> DataFrame:
 )
 def _(t: Tables) -> DataFrame:
     return contingency.crosstab(t.read("events"), ["user_id"], "event_type")
+
+
+@query(
+    "profile_constant",
+    """SELECT 'tenth' AS "column", count(*) AS count, 0.1E0 AS mean, 0.0E0 AS std, 0.0E0 AS skewness, 0.0E0 AS kurtosis, 1 AS distinct_values
+    FROM lineitem""",
+)
+def _(t: Tables) -> DataFrame:
+    """A column whose sum does not divide back to its value."""
+    rows = t.read("lineitem").select((F.col("l_linenumber") * 0 + F.lit(0.1)).alias("tenth"))
+    return numeric.numeric_profile(rows, ["tenth"]).select("column", "count", "mean", "std", "skewness", "kurtosis", "distinct_values")
+
+
+@query(
+    "profile_big_integers",
+    """SELECT 'big' AS "column", count(*) AS count, count(DISTINCT o_orderkey) AS distinct_values FROM orders""",
+)
+def _(t: Tables) -> DataFrame:
+    """Keys shifted to where a double holds every other integer only."""
+    rows = t.read("orders").select((F.col("o_orderkey") + F.lit(2**53)).alias("big"))
+    return numeric.numeric_profile(rows, ["big"]).select("column", "count", "distinct_values")

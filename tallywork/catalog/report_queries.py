@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallywork.catalog.census import SPEC
+from tallywork.catalog.chart_queries import chart_counts_sql
 from tallywork.catalog.profile_queries import BY_TARGET_SQL, CATEGORIES_SQL, COLUMNS_SQL, PROFILE_SQL, TARGET_SQL
 from tallywork.catalog.registry import Tables, query, rounded
 from tallywork.catalog.statistics_queries import CHI_SQUARE_SQL, TOP_PAIRS_SQL, WELCH_SQL
@@ -67,7 +68,7 @@ def _mean_digits(section: str) -> int:
     return 8 if section == "numeric_profile" else 6
 
 
-@query("analysis_charts")
+@query("analysis_charts", chart_counts_sql())
 def _(t: Tables) -> DataFrame:
     """Row counts of every chart table of the whole analysis."""
     done = analyze(t.census, SPEC, models=False)

@@ -14,10 +14,9 @@ from pyspark.sql import functions as F
 
 _TINY = 1e-300
 _EPS = 1e-15
-_MAX_TERMS = 50_000
-# Beyond this many degrees of freedom Student's t equals the normal law to double precision
-# for every purpose here, and the continued fraction would need too many terms.
-_NORMAL_DOF = 1e8
+# Terms a fraction may take: it needs about the square root of the degrees of freedom, so this is
+# enough beyond 1e12 of them. A fraction that has not settled by then is an error, not a result.
+_MAX_TERMS = 20_000_000
 
 
 def _fraction(terms) -> float:
@@ -31,8 +30,8 @@ def _fraction(terms) -> float:
         c = c if abs(c) > _TINY else _TINY
         value *= c * d
         if abs(c * d - 1.0) < _EPS:
-            break
-    return value
+            return value
+    raise ArithmeticError("the continued fraction did not converge")
 
 
 def _beta_terms(a: float, b: float, x: float):
@@ -49,13 +48,22 @@ def _gamma_terms(s: float, x: float):
         yield -i * (i - s), x + 1.0 - s + 2.0 * i
 
 
-def incomplete_beta(a: float, b: float, x: float) -> float:
-    """Regularised incomplete beta I_x(a, b)."""
-    if x <= 0.0 or x >= 1.0:
-        return 0.0 if x <= 0.0 else 1.0
+def log_gamma_half_step(a: float) -> float:
+    """log of Gamma(a + 1/2) / Gamma(a), without the cancellation of two large logarithms."""
+    shift = 0.0
+    while a < 20.0:
+        shift -= math.log1p(0.5 / a)
+        a += 1.0
+    r = 1.0 / (a * a)
+    return shift + 0.5 * math.log(a) - (1 / 8 - r * (1 / 192 - r * (1 / 640 - r * 17 / 14336))) / a
+
+
+def _half_beta(a: float, b: float, x: float, y: float) -> float:
+    """Regularised incomplete beta I_x(a, b) for y = 1 - x, where one of a and b is 1/2."""
     if x > (a + 1.0) / (a + b + 2.0):
-        return 1.0 - incomplete_beta(b, a, 1.0 - x)
-    log_front = math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b) + a * math.log(x) + b * math.log1p(-x)
+        return 1.0 - _half_beta(b, a, y, x)
+    log_front = log_gamma_half_step(max(a, b)) - math.lgamma(0.5)
+    log_front += a * (math.log(x) if x < 0.5 else math.log1p(-y)) + b * (math.log(y) if y < 0.5 else math.log1p(-x))
     return min(1.0, math.exp(log_front) * _fraction(_beta_terms(a, b, x)) / a)
 
 
@@ -79,9 +87,9 @@ def t_tail(t: float, dof: float) -> float:
     """Two-sided Student t tail."""
     if t is None or dof is None or math.isnan(t) or math.isnan(dof):
         return math.nan
-    if dof > _NORMAL_DOF:
-        return math.erfc(abs(t) / math.sqrt(2.0))
-    return incomplete_beta(dof / 2.0, 0.5, dof / (dof + t * t))
+    if t == 0.0 or math.isinf(t):
+        return 1.0 if t == 0.0 else 0.0
+    return _half_beta(dof / 2.0, 0.5, dof / (dof + t * t), t * t / (dof + t * t))
 
 
 def chi2_tail(x: float, dof: float) -> float:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallywork.functions.columns import col, unpivot_columns
@@ -189,13 +189,19 @@ def stacked_shares(
 def positive_rate_bars(
     df: DataFrame, columns: Sequence[str], target: str, positive: str, top_n: int = 10
 ) -> DataFrame:
-    """``column, level, n, positive_rate``, to be drawn from the highest rate down."""
+    """``column, level, n, positive_rate, rate_rank``, sorted from the highest rate down.
+
+    At most ``top_n`` levels and the rest per column are ranked, ties by level.
+    """
     cells = crosstab(df, columns, target, top_n=top_n, null_to_other=True)
     hits = F.sum(F.when(F.col("label") == F.lit(positive), F.col("n")).otherwise(0))
+    by_rate = Window.partitionBy("column").orderBy(F.col("positive_rate").desc(), F.col("level").asc())
     return (
         cells.groupBy("column", "level")
         .agg(F.sum("n").alias("n"), hits.alias("__hits"))
         .select("column", "level", "n", ratio(F.col("__hits"), F.col("n")).alias("positive_rate"))
+        .withColumn("rate_rank", F.row_number().over(by_rate).cast("bigint"))
+        .orderBy("column", "rate_rank")
     )
 
 

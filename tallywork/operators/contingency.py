@@ -19,9 +19,9 @@ from tallywork.operators.categorical import top_levels
 from tallywork.sources.scratch import materialize
 
 
-def label_frequencies(df: DataFrame, rows: Sequence[str], label: str) -> DataFrame:
-    """``column, category, label, n`` for every pair, NULL categories included, NULL labels not."""
-    picked = df.where(col(label).isNotNull()).select(
+def label_frequencies(df: DataFrame, rows: Sequence[str], label: str, unlabelled: bool = False) -> DataFrame:
+    """``column, category, label, n`` for every pair, NULL categories included, NULL labels only on demand."""
+    picked = (df if unlabelled else df.where(col(label).isNotNull())).select(
         col(label).cast("string").alias("__label"), *[col(c).cast("string").alias(c) for c in rows]
     )
     long = picked.unpivot(["__label"], [col(c) for c in rows], "column", "category")
@@ -35,7 +35,8 @@ def cap_levels(
 
     A column is capped only when it has more than ``top_n`` levels and is not listed in
     ``uncapped``. NULL categories drop out, except that ``null_to_other`` sends them to ``other``
-    in the columns that are capped (the chart rule; the test rule drops them).
+    in the columns that are capped (the chart rule; the test rule drops them). Rows with a NULL
+    label take part in the ranking and are dropped from the cells.
     """
     sums = pairs.groupBy("column", "category").agg(F.sum("n").alias("n"))
     # At most top_n + 1 rows per column, which also tells whether the column needs a cap.
@@ -61,7 +62,7 @@ def cap_levels(
     level = F.when(capped & outside, F.lit(other)).otherwise(F.col("category"))
     return (
         joined.select("column", level.alias("level"), "label", "n")
-        .where(F.col("level").isNotNull())
+        .where(F.col("level").isNotNull() & F.col("label").isNotNull())
         .groupBy("column", "level", "label")
         .agg(F.sum("n").alias("n"))
     )
@@ -75,8 +76,11 @@ def crosstab(
     uncapped: Sequence[str] = (),
     null_to_other: bool = False,
 ) -> DataFrame:
-    """Observed cells ``column, level, label, n``; without ``top_n`` every level is kept."""
-    pairs = label_frequencies(df, rows, label)
+    """Observed cells ``column, level, label, n``; without ``top_n`` every level is kept.
+
+    The chart rule (``null_to_other``) ranks levels over all rows, the test rule over labelled ones.
+    """
+    pairs = label_frequencies(df, rows, label, unlabelled=null_to_other and top_n is not None)
     if top_n is not None:
         # Read several times below: store the counts, so the data is scanned once.
         pairs = materialize(pairs, "label-frequencies")

@@ -10,28 +10,43 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tallywork.functions.columns import col, indicator, unpivot_columns
+from tallywork.functions.columns import col, indicator
 from tallywork.functions.numeric import finite_or_null
 
 
+def _exact(df: DataFrame, name: str) -> Column:
+    """The number as text where its type holds more digits than a double, else NULL."""
+    wide = isinstance(df.schema[name].dataType, (T.LongType, T.DecimalType))
+    return col(name).cast("string") if wide else F.lit(None).cast("string")
+
+
 def numeric_frequencies(
-    df: DataFrame, columns: Sequence[str], by: Sequence[str] = (), keep_missing: bool = False
+    df: DataFrame,
+    columns: Sequence[str],
+    by: Sequence[str] = (),
+    keep_missing: bool = False,
+    exact: bool = False,
+    keep_ungrouped: bool = False,
 ) -> DataFrame:
     """``(by..., column, value, n)``: how often each value occurs.
 
-    Rows with a NULL ``by`` are left out. With ``keep_missing`` the NULL value is a row too, so
-    the table also carries the missing counts.
+    Rows with a NULL ``by`` are left out unless ``keep_ungrouped``. With ``keep_missing`` the NULL
+    value is a row too, so the table also carries the missing counts. ``exact`` adds a column that
+    keeps long and decimal numbers apart which share a double.
     """
-    long = unpivot_columns(df, columns, "double", "value", ids=by)
-    long = long.withColumn("value", finite_or_null(F.col("value")))
-    for name in by:
+    pairs = [F.struct(col(c).cast("double").alias("value"), (_exact(df, c) if exact else F.lit(None).cast("string")).alias("exact")).alias(c) for c in columns]
+    picked = df.select(*[col(i) for i in by], *pairs)
+    long = picked.unpivot([col(i) for i in by], [col(c) for c in columns], "column", "__pair")
+    long = long.select(*[col(i) for i in by], "column", finite_or_null(F.col("__pair.value")).alias("value"), F.col("__pair.exact").alias("exact"))
+    for name in () if keep_ungrouped else by:
         long = long.where(col(name).isNotNull())
     if not keep_missing:
         long = long.where(F.col("value").isNotNull())
-    return long.groupBy(*[col(b) for b in by], "column", "value").agg(F.count(F.lit(1)).alias("n"))
+    return long.groupBy(*[col(b) for b in by], "column", "value", *(["exact"] if exact else [])).agg(F.count(F.lit(1)).alias("n"))
 
 
 def category_frequencies(

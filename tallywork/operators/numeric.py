@@ -95,10 +95,10 @@ def outliers_and_distinct(freq: DataFrame, quartile_table: DataFrame) -> DataFra
 
 
 def stored_frequencies(
-    df: DataFrame, columns: Sequence[str], by: Sequence[str] = (), keep_missing: bool = False
+    df: DataFrame, columns: Sequence[str], by: Sequence[str] = (), keep_missing: bool = False, exact: bool = False
 ) -> DataFrame:
     """A frequency table written once, for operators that read it several times."""
-    return materialize(numeric_frequencies(df, columns, by, keep_missing), "numeric-frequencies")
+    return materialize(numeric_frequencies(df, columns, by, keep_missing, exact), "numeric-frequencies")
 
 
 def numeric_profile(df: DataFrame, columns: Sequence[str], freq: DataFrame | None = None) -> DataFrame:
@@ -107,10 +107,11 @@ def numeric_profile(df: DataFrame, columns: Sequence[str], freq: DataFrame | Non
 
     Everything derives from one stored frequency table that includes the missing counts (pass
     ``freq`` to reuse one), so the data itself is scanned once. Central moments are summed
-    around the known mean.
+    around the known mean. Distinct long and decimal values are told apart beyond 2^53; the other
+    fields are doubles.
     """
     if freq is None:
-        freq = stored_frequencies(df, columns, keep_missing=True)
+        freq = stored_frequencies(df, columns, keep_missing=True, exact=True)
     n, value = F.col("n"), F.col("value")
     present = value.isNotNull()
     base = freq.groupBy("column").agg(
@@ -122,7 +123,10 @@ def numeric_profile(df: DataFrame, columns: Sequence[str], freq: DataFrame | Non
         F.count("value").alias("distinct_values"),
         F.coalesce(F.sum(F.when(value == 0, n)), F.lit(0)).alias("zeros"),
     )
-    base = base.withColumn("mean", F.try_divide("__sum", F.col("count").cast("double"))).drop("__sum")
+    # A sum of equal values rarely divides back to the value: a constant column is told by its ends.
+    constant = F.col("min") == F.col("max")
+    mean = F.when(constant, F.col("min")).otherwise(F.try_divide("__sum", F.col("count").cast("double")))
+    base = base.withColumn("mean", mean).drop("__sum")
     quartile_table = quartiles(freq.where(present))
     # One row per column in each of these tables.
     known = base.join(F.broadcast(fences(quartile_table)), "column", "left")

@@ -29,9 +29,6 @@ from tallywork.sources.scratch import materialize, new_path
 from tallywork.sources.sinks import to_tidy
 from tallywork.spec import AnalysisSpec
 
-# Stands for a missing target while counting; control characters cannot survive the text clean-up.
-UNLABELLED = "\x00"
-
 # Columns that identify a row of each result that goes into the report.
 REPORT_KEYS: dict[str, list[str]] = {
     "data": ["item", "metric_name"],
@@ -63,15 +60,13 @@ def analyze(raw: DataFrame, spec: AnalysisSpec, models: bool = True, charts_too:
     """Clean, profile, test, and (optionally) chart and model one table."""
     target, positive, negative = spec.target, spec.positive, spec.negative
     cleaned = materialize(clean.clean(raw, target, spec.numeric), "cleaned")
-    # One scan gives the counts per target; leaving the target out of the key gives the rest.
-    counted = cleaned.withColumn("__target", F.coalesce(col(target), F.lit(UNLABELLED)))
+    # One scan gives the counts per target, rows without one included; leaving the target out of the key gives the rest.
     stored = materialize(
-        numeric_frequencies(counted, spec.numeric, by=("__target",), keep_missing=True), "numeric-frequencies"
-    )
-    freq = stored.groupBy("column", "value").agg(F.sum("n").alias("n"))
-    by_target = stored.where((F.col("__target") != UNLABELLED) & F.col("value").isNotNull()).select(
-        F.col("__target").alias(target), "column", "value", "n"
+        numeric_frequencies(cleaned, spec.numeric, by=(target,), keep_missing=True, exact=True, keep_ungrouped=True),
+        "numeric-frequencies",
     )
+    freq = stored.groupBy("column", "value", "exact").agg(F.sum("n").alias("n"))
+    by_target = stored.where(col(target).isNotNull() & F.col("value").isNotNull()).select(col(target), "column", "value", "n")
     categories = materialize(
         category_frequencies(cleaned, spec.categorical, target, positive), "category-frequencies"
     )
@@ -152,7 +147,7 @@ def _models(cleaned: DataFrame, spec: AnalysisSpec) -> tuple[dict[str, DataFrame
         "confusion": evaluate.confusion(final.scored),
         "class_report": evaluate.class_report(final.scored, names=(spec.negative, spec.positive)),
         "roc_points": evaluate.roc_points(final.scored, drop_collinear=True),
-        "model_metadata": training.model_metadata(final.model, final.name, spec, picked["reason"]),
+        "model_metadata": training.model_metadata(cleaned.sparkSession, final.model, final.name, spec, picked["reason"]),
         "saved_check": training.verify_saved(
             final.model, final.scored.drop("prediction", "score"), ["row_id"], new_path(cleaned.sparkSession, "model")
         ),

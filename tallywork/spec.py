@@ -39,6 +39,9 @@ class AnalysisSpec:
     tie_margin: float = 0.01
     forest_trees: int = 100
     forest_depth: int = 30
+    forest_bins: int = 256
+    # Train rows a forest is fitted on, in expectation; None is all of them. Scoring always covers all test rows.
+    forest_rows: int | None = None
 
     @property
     def target_mapping(self) -> dict[str, int]:
