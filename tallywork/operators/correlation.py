@@ -86,7 +86,7 @@ def _rank_rows(numbers: DataFrame, columns: Sequence[str]) -> DataFrame:
     threshold the row side is not shuffled at all, above it the join is by value.
     """
     ranks = materialize(
-        average_ranks(numeric_frequencies(numbers, columns)), "ranks", partition_by=("column",)
+        average_ranks(materialize(numeric_frequencies(numbers, columns), "numeric-frequencies")), "ranks", partition_by=("column",)
     )
     ranked = numbers
     for name in columns:

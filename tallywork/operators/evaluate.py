@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tallywork.functions.columns import col
 from tallywork.functions.numeric import ratio
 from tallywork.operators.order import cumulate
+from tallywork.sources.scratch import materialize
 
 
 def _outcome_counts(label: Column, prediction: Column) -> dict[str, Column]:
@@ -111,7 +112,7 @@ def _score_table(df: DataFrame, label: str, score: str, buckets: int | None) ->
         .groupBy("column", "value")
         .agg(F.count_if(F.col("__y") == 1).alias("pos"), F.count_if(F.col("__y") == 0).alias("neg"))
     )
-    return cumulate(counts, measures=("pos", "neg"), buckets=buckets)
+    return cumulate(materialize(counts, "score-counts"), measures=("pos", "neg"), buckets=buckets)
 
 
 def roc_auc(df: DataFrame, label: str = "label", score: str = "score", buckets: int | None = None) -> DataFrame:

@@ -3,9 +3,12 @@
 A frequency table holds each value once per column, so splitters taken from it cut it into
 buckets of near-equal size whatever the skew of the raw rows. The bucket of a value is a
 deterministic expression (a binary search in the splitter array), bucket totals are tiny, and
-only the inside of one bucket is ever sorted by one task.
+only the inside of one bucket is ever sorted by one task. The splitters are stored before they are
+used, so every branch of a plan cuts at the same places; pass a stored frequency table, which is
+counted and then read more than once.
 
-Broadcast here: the splitter table, one row of at most 1,023 numbers per column.
+Broadcast here: the splitter table, one row per column of one number per ``ROWS_PER_BUCKET`` rows of
+the frequency table.
 """
 
 from __future__ import annotations
@@ -16,17 +19,16 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallywork.functions.columns import col
+from tallywork.sources.scratch import materialize
 
-MAX_BUCKETS = 1024
+ROWS_PER_BUCKET = 250_000
+LEAST_BUCKETS = 16
 
 
-def default_buckets(df: DataFrame) -> int:
-    """A power of two that follows the session's shuffle width."""
-    width = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    buckets = 16
-    while buckets < min(width, MAX_BUCKETS):
-        buckets *= 2
-    return buckets
+def bucket_count(freq: DataFrame) -> int:
+    """The power of two that gives a bucket about ``ROWS_PER_BUCKET`` rows or fewer."""
+    wanted = max(LEAST_BUCKETS, -(-freq.count() // ROWS_PER_BUCKET))
+    return 1 << (wanted - 1).bit_length()
 
 
 def _find_bucket(df: DataFrame, buckets: int) -> DataFrame:
@@ -43,19 +45,12 @@ def _find_bucket(df: DataFrame, buckets: int) -> DataFrame:
     return df
 
 
-def with_buckets(freq: DataFrame, measures: Sequence[str] = ("n",), buckets: int | None = None) -> DataFrame:
+def with_buckets(freq: DataFrame, buckets: int | None = None) -> DataFrame:
     """Add ``bucket``, non-decreasing in ``value`` within each column."""
-    buckets = buckets or default_buckets(freq)
-    # Every measure is named here so that this branch reads the very same exchange as the rest.
-    present = F.lit(0).cast("bigint")
-    for m in measures:
-        present = present + F.col(m)
+    buckets = buckets or bucket_count(freq)
     fractions = [i / buckets for i in range(1, buckets)]
-    cuts = (
-        freq.where(present > 0)
-        .groupBy("column")
-        .agg(F.percentile_approx("value", fractions, max(1000, 4 * buckets)).alias("cuts"))
-    )
+    cuts = freq.groupBy("column").agg(F.percentile_approx("value", fractions, max(1000, 4 * buckets)).alias("cuts"))
+    cuts = materialize(cuts, "bucket-edges")
     return _find_bucket(freq.join(F.broadcast(cuts), "column"), buckets).drop("cuts")
 
 
@@ -95,7 +90,7 @@ def cumulate(
     The shuffle on (keys, bucket) serves the join with the offsets and the window alike.
     """
     keys = [*by, "column"]
-    bucketed = with_buckets(freq, measures, buckets)
+    bucketed = with_buckets(freq, buckets)
     offsets = _bucket_offsets(bucketed, keys, measures)
     return _running(bucketed.join(offsets, [*keys, "bucket"]), keys, measures)
 
@@ -114,7 +109,7 @@ def quantiles(
     Only buckets that hold a wanted rank are sorted; at most two per probability and group.
     """
     keys = [*by, "column"]
-    bucketed = with_buckets(freq, ("n",), buckets)
+    bucketed = with_buckets(freq, buckets)
     offsets = _bucket_offsets(bucketed, keys, ("n",))
 
     last = F.col("n_total") - 1

@@ -14,11 +14,11 @@ from pyspark.sql import functions as F
 from tallywork.functions.columns import col
 from tallywork.sources.scratch import materialize
 
-# Hex digits of the hash that name a bucket: 16^4 buckets, so the one bucket that is cut holds
-# about a 65,536th of its class.
+# Hex digits of the hash that name a bucket. A boundary bucket that still holds more than EDGE_ROWS
+# rows is cut again by as many further digits.
 BUCKET_DIGITS = 4
-# Beyond this many classes the per-class cuts are joined by shuffle instead of broadcast.
-MAX_BROADCAST_CLASSES = 10_000
+EDGE_ROWS = 500_000
+_DIGITS = 32
 
 
 def order_hash(key: Sequence[str], seed: int) -> Column:
@@ -39,11 +39,12 @@ def stratified_split(
     """Add ``out`` = 'train' / 'test' with ceil(test_size * n) test rows shared over the classes
     in proportion (largest remainder). Rows without a class are left out.
 
-    Two narrow passes over key and class find, per class, the last test row in hash order: counts
-    per hash bucket, then an ordering of the one bucket the quota ends in. Placing the rows is
-    then a comparison with that cut point, without any shuffle. ``key`` with ``ties`` should
-    identify a row; rows equal in both land on the same side. An empty key stands for all
-    columns, which identify a row once duplicates are gone.
+    Narrow passes over key and class find, per class, the last test row in hash order: counts
+    per hash bucket, again inside the bucket the quota ends in while that is large, then an ordering
+    of what is left. Placing the rows is then a comparison with that cut point, without any shuffle.
+    ``key`` with ``ties`` should identify a row; rows equal in both land on the same side, so only
+    then is the quota met to the row. An empty key stands for all columns, which identify a row once
+    duplicates are gone.
     """
     key = key or df.columns
     narrow = df.where(col(target).isNotNull()).select(
@@ -71,15 +72,21 @@ def stratified_split(
     running = buckets.join(quotas, "__class").withColumn(
         "__before", F.coalesce(F.sum("__here").over(upto), F.lit(0))
     )
-    ends = running.where(
-        (F.col("__before") < F.col("__quota")) & (F.col("__before") + F.col("__here") >= F.col("__quota"))
-    )
-    ends = materialize(
-        ends.select("__class", F.col("__bucket").alias("__cut"), (F.col("__quota") - F.col("__before")).alias("__need")),
-        "cut-buckets",
-    )
-
-    edge = narrow.join(_small(ends, MAX_BROADCAST_CLASSES), "__class").where(bucket == F.col("__cut"))
+    def boundary(running: DataFrame) -> DataFrame:
+        """Per class: the bucket the quota ends in, its rows, and how many of them are test rows."""
+        inside = (F.col("__before") < F.col("__quota")) & (F.col("__before") + F.col("__here") >= F.col("__quota"))
+        cut, need = F.col("__bucket").alias("__cut"), (F.col("__quota") - F.col("__before")).alias("__need")
+        return materialize(running.where(inside).select("__class", cut, need, "__here"), "cut-buckets")
+
+    ends, digits = boundary(running), BUCKET_DIGITS
+    while digits < _DIGITS and not ends.where(F.col("__here") > EDGE_ROWS).isEmpty():
+        known = ends.select("__class", "__cut", F.col("__need").alias("__quota"))
+        inner = narrow.join(known, "__class").where(F.substring("__hash", 1, digits) == F.col("__cut"))
+        digits += BUCKET_DIGITS
+        inner = inner.groupBy("__class", "__quota", F.substring("__hash", 1, digits).alias("__bucket")).agg(F.count(F.lit(1)).alias("__here"))
+        ends = boundary(inner.withColumn("__before", F.coalesce(F.sum("__here").over(upto), F.lit(0))))
+
+    edge = narrow.join(ends, "__class").where(F.substring("__hash", 1, digits) == F.col("__cut"))
     in_order = Window.partitionBy("__class").orderBy(*order)
     last = edge.withColumn("__place", F.row_number().over(in_order)).where(F.col("__place") == F.col("__need"))
     points = materialize(
@@ -88,26 +95,28 @@ def stratified_split(
 
     here = F.struct(order_hash(key, seed).alias("__hash"), *[col(t).alias(f"__t_{t}") for t in ties])
     placed = df.where(col(target).isNotNull()).join(
-        _small(points, MAX_BROADCAST_CLASSES), col(target) == F.col("__class"), "left"
+        points, col(target) == F.col("__class"), "left"
     )
     side = F.when(here <= F.col("__point"), F.lit("test")).otherwise(F.lit("train"))
     return placed.select(*[col(c) for c in df.columns], side.alias(out))
 
 
-def _small(stored: DataFrame, limit: int) -> DataFrame:
-    """Hint a broadcast of a stored table only after counting at most ``limit`` rows in it; a
-    larger one joins by shuffle."""
-    return F.broadcast(stored) if stored.limit(limit + 1).count() <= limit else stored
-
-
 def fixed_sample(
     df: DataFrame, key: Sequence[str], n: int = 5000, seed: int = 42, ties: Sequence[str] = ()
 ) -> DataFrame:
     """``n`` rows chosen at random by key hash (all rows when there are fewer).
 
-    A per-task top-n followed by a merge of the winners; the table is never sorted as a whole.
-    An empty key stands for all columns.
+    Rows whose hash is below a threshold that about n rows fall under are counted and sorted; the
+    rest is never moved. An empty key stands for all columns.
     """
     key = key or df.columns
     hashed = df.withColumn("__hash", order_hash(key, seed))
+    rows = df.count()
+    share = (n + 6 * n**0.5 + 10) / max(rows, 1)
+    place = F.conv(F.substring("__hash", 1, 8), 16, 10).cast("double") / F.lit(float(1 << 32))
+    while share < 1:
+        low = hashed.where(place < share)
+        if low.count() >= n:
+            return low.orderBy("__hash", *[col(t) for t in ties]).limit(n).drop("__hash")
+        share *= 2
     return hashed.orderBy("__hash", *[col(t) for t in ties]).limit(n).drop("__hash")
