@@ -24,7 +24,7 @@ from tallywork.sources.scratch import materialize
 NUM, DEN = 4, 5  # similarity at which a line matches
 COUNTERS = 1 << 21  # word counters; words that share one rank together, which costs time only
 BLOCK = 1 << 14  # uses of a word beyond which lines meet block by block
-MOST_AT_ONCE = 16  # candidates of a line and word in the first round; who needs more gets all in a second one
+MOST_AT_ONCE = 2  # candidates of a line and word in the first round; who needs more gets all in a second one
 BROADCAST_SETS = 2_000_000  # set names a broadcast may hold; more are joined by shuffle
 _CACHED = 200_000
 _DOCS = 1_000  # documents split together
@@ -63,9 +63,12 @@ def later_matches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     open_ = found.filter("more").select("late").distinct().join(matched, "late", "left_anti")
     open_ = materialize(open_, "line-open")
     if not open_.isEmpty():
-        keys = _met(lines, counters).join(open_.withColumnRenamed("late", "set_id").withColumn("asks", F.lit(True)), "set_id", "left")
-        keys = keys.withColumn("asks", F.coalesce("asks", F.lit(False))).repartition("key").sortWithinPartitions(*_ORDER)
-        rest = materialize(keys.mapInPandas(_closest(None), _FOUND), "line-candidates")
+        asking = open_.select(F.col("late").alias("set_id"))
+        keys = materialize(_entries(lines.join(_bounded(asking), "set_id", "left_semi"), counters).select("key").distinct(), "line-open-keys")
+        near = _entries(lines, counters).join(_bounded(keys), "key", "left_semi")
+        near = near.join(asking.withColumn("_asks", F.lit(True)), "set_id", "left").withColumn("asks", F.col("_asks").isNotNull()).drop("_asks")
+        near = near.repartition("key").sortWithinPartitions(*_ORDER)
+        rest = materialize(near.mapInPandas(_closest(None), _FOUND), "line-candidates")
         matched = matched.union(_verified(rest, lines))
 
     first = F.min(F.struct("doc", "line", "doc_key")).alias("first")
@@ -112,7 +115,8 @@ def _word_sets(docs: pa.RecordBatch) -> pa.RecordBatch:
     if "" in names:
         real = codes != names.index("")
         owner, codes = owner[real], codes[real]
-    pairs = np.unique((owner.astype(np.uint64) << np.uint64(32)) | hashes[codes])
+    pairs = np.sort((owner.astype(np.uint64) << np.uint64(32)) | hashes[codes])
+    pairs = pairs[np.append(True, pairs[1:] != pairs[:-1])[: len(pairs)]]
     owner, found = (pairs >> np.uint64(32)).astype(np.int64), (pairs & np.uint64(0xFFFFFFFF)).astype("<u4")
     starts = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]])) if len(owner) else np.zeros(0, np.int64)
     line, size = owner[starts], np.diff(np.append(starts, len(owner)))
@@ -166,8 +170,18 @@ _ORDER = ("key", "shape")
 _SIZE, _PLACE = 34, 4  # bits below size and place in a shape
 
 
+def _bounded(stored: DataFrame) -> DataFrame:
+    """A broadcast of a stored table of numbers where a count allows it; else the join shuffles."""
+    return F.broadcast(stored) if stored.count() <= BROADCAST_SETS else stored
+
+
 def _met(lines: DataFrame, counters: np.ndarray) -> DataFrame:
     """Every set at each of its prefix words, dealt by word and sorted by size."""
+    return _entries(lines, counters).repartition("key").sortWithinPartitions(*_ORDER)
+
+
+def _entries(lines: DataFrame, counters: np.ndarray) -> DataFrame:
+    """Every set at each of its prefix words."""
     shared = lines.sparkSession.sparkContext.broadcast(counters)
 
     def entries(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -186,7 +200,7 @@ def _met(lines: DataFrame, counters: np.ndarray) -> DataFrame:
                 yield _prefixes(batch.iloc[new], np.array([docs[i] for i in new]), uses)
 
     dealt = lines.filter("set_id IS NOT NULL").select(F.coalesce("doc_id", F.lit(_LAST)).alias("doc"), "line", "set_id", "size", "words")
-    return dealt.mapInPandas(entries, _ENTRIES).repartition("key").sortWithinPartitions(*_ORDER)
+    return dealt.mapInPandas(entries, _ENTRIES)
 
 
 def _prefixes(sets: pd.DataFrame, docs: np.ndarray, uses: np.ndarray) -> pd.DataFrame:
@@ -297,8 +311,7 @@ def _verified(found: DataFrame, lines: DataFrame) -> DataFrame:
     """Later sets that have a candidate of similarity 0.8 or more."""
     pairs = found.select("late", "early").distinct()
     needed = materialize(pairs.select(F.explode(F.array("late", "early")).alias("set_id")).distinct(), "line-needed")
-    bounded = F.broadcast(needed) if needed.count() <= BROADCAST_SETS else needed
-    words = lines.join(bounded, "set_id", "left_semi").select("set_id", "words").dropDuplicates(["set_id"])
+    words = lines.join(_bounded(needed), "set_id", "left_semi").select("set_id", "words").dropDuplicates(["set_id"])
     words = materialize(words, "line-words")
     both = pairs.join(words.select(F.col("set_id").alias("late"), F.col("words").alias("a")), "late").join(
         words.select(F.col("set_id").alias("early"), F.col("words").alias("b")), "early"
