@@ -112,7 +112,7 @@ def reconcile(left: DataFrame, right: DataFrame, key_missing: Sequence[str], tar
     """``check_name, item, left_value, right_value, matches`` for two versions of a table.
 
     Facts of both sides meet in a full outer join, so a category only one side has is reported
-    with a count of 0 on the other.
+    with a count of 0 on the other. Sorted by check and item.
     """
     a = _facts(left, key_missing, target).withColumnRenamed("value", "left_value")
     b = _facts(right, key_missing, target).withColumnRenamed("value", "right_value")
@@ -122,4 +122,4 @@ def reconcile(left: DataFrame, right: DataFrame, key_missing: Sequence[str], tar
         "item",
         F.coalesce("left_value", F.lit(0)).alias("left_value"),
         F.coalesce("right_value", F.lit(0)).alias("right_value"),
-    ).withColumn("matches", F.col("left_value") == F.col("right_value"))
+    ).withColumn("matches", F.col("left_value") == F.col("right_value")).orderBy("check_name", "item")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -45,10 +45,14 @@ def read_strict(
     if len(na_words) == 1:
         return drop_all_null(spark.read.schema(schema).csv(path, nullValue=na_words[0], **options))
     text = spark.read.schema(_text_schema(schema)).csv(path, **options)
-    typed = text.select(
-        *[sentinel_to_null(col(f.name), na_words).cast(f.dataType).alias(f.name) for f in schema.fields]
-    )
-    return drop_all_null(typed)
+    return drop_all_null(text.select(*[_cast_or_fail(sentinel_to_null(col(f.name), na_words), f) for f in schema.fields]))
+
+
+def _cast_or_fail(value: Column, field: T.StructField) -> Column:
+    """The typed value; an unreadable one fails the scan whatever the session's ANSI mode."""
+    typed = value.try_cast(field.dataType)
+    fail = F.raise_error(F.concat(F.lit(f"unreadable {field.name}: "), value)).cast(field.dataType)
+    return F.when(value.isNotNull() & typed.isNull(), fail).otherwise(typed).alias(field.name)
 
 
 def read_lenient(
@@ -79,6 +83,14 @@ def read_lenient(
     return drop_null_key(text.select(*typed), keys)
 
 
+def require_readable(df: DataFrame, failures: str) -> DataFrame:
+    """Raise ``ValueError`` when rows of a lenient scan hold unreadable values (``failures`` counts them)."""
+    bad = df.agg(F.coalesce(F.sum(col(failures)), F.lit(0))).first()[0]
+    if bad:
+        raise ValueError(f"{bad} values cannot be read as numbers")
+    return df.drop(failures)
+
+
 def require_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Raise ``KeyError`` when a needed column is absent."""
     absent = [c for c in columns if c not in df.columns]

@@ -80,3 +80,31 @@ def test_store_is_cleared(spark, tmp_path):
     assert store.keep(spark.range(3), "x").count() == 3
     store.clear()
     assert not list(tmp_path.iterdir())
+
+
+def test_scans_fail_on_unreadable_numbers(spark, tmp_path):
+    from pyspark.errors import PySparkException
+    from pyspark.sql import types as T
+
+    from tallywork.sources.delimited import read_lenient, read_strict, require_readable
+
+    schema = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.StringType())])
+    for name, lines in {"good": "1, x\n?, NA\n", "bad": "1, x\nabc, y\n"}.items():
+        (tmp_path / name).write_text(lines)
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        assert read_strict(spark, str(tmp_path / "good"), schema, na_words=("?", "NA")).count() == 1
+        with pytest.raises(PySparkException):
+            read_strict(spark, str(tmp_path / "bad"), schema, na_words=("?", "NA")).collect()
+    finally:
+        spark.conf.unset("spark.sql.ansi.enabled")
+    assert require_readable(read_lenient(spark, str(tmp_path / "good"), schema, failures="f"), "f").columns == ["a", "b"]
+    with pytest.raises(ValueError, match="1 values"):
+        require_readable(read_lenient(spark, str(tmp_path / "bad"), schema, failures="f"), "f")
+
+
+def test_duplicate_count_tells_nulls_apart(spark):
+    from tallywork.operators.clean import duplicate_count
+
+    df = spark.createDataFrame([("a", None), (None, "a"), ("a", None), (None, None), ("a", "a")], "x string, y string")
+    assert rows(duplicate_count(df))[0]["duplicate_rows"] == 1
