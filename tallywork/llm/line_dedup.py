@@ -24,7 +24,7 @@ from tallywork.sources.scratch import materialize
 NUM, DEN = 4, 5  # similarity at which a line matches
 COUNTERS = 1 << 21  # word counters; words that share one rank together, which costs time only
 BLOCK = 1 << 14  # uses of a word beyond which lines meet block by block
-MOST_AT_ONCE = 2  # candidates of a line and word in the first round; who needs more gets all in a second one
+MOST_AT_ONCE = 1  # candidates of a line and word in the first round, of which the closest is verified
 BROADCAST_SETS = 2_000_000  # set names a broadcast may hold; more are joined by shuffle
 _CACHED = 200_000
 _DOCS = 1_000  # documents split together
@@ -38,7 +38,7 @@ _LAST = (1 << 63) - 1  # stands for a NULL id: after all others
 _LINES = "doc_key long, doc_id long, line int, n_lines int, set_id long, size int, words binary"
 # shape packs a line's size, the word's place in it and the side of a pair of blocks, and sorts by size
 _ENTRIES = "key long, shape long, set_id long, mark long, doc long, line int"
-_FOUND = "late long, early long, more boolean"
+_FOUND = "late long, early long, far int, more boolean"
 
 
 def later_matches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -51,16 +51,19 @@ def later_matches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     table gives no rows; other columns are ignored. Words are told apart by 32-bit hashes.
 
     Equal lines are one set. No group of lines is ever expanded into all its pairs: a task keeps, per
-    line and word, the closest earlier candidates, and only lines that none of these settle and that
-    had more see all of theirs in a second round. Words in very many lines are met block by block.
+    line and word, the closest earlier candidate, the closest of a line is verified, and only lines that
+    this does not settle and that had more see all of theirs in a second round. Words in very many lines are met block by block.
     """
     text = F.coalesce(field(text_col).cast("string"), F.lit(""))
     rows = docs.select(F.xxhash64(field(id_col).cast("long"), text).alias("doc_key"), field(id_col).cast("long").alias("doc_id"), text.alias("text"))
     lines = materialize(rows.mapInArrow(_lines, _LINES), "line-sets")
     counters = _counters(lines)
     found = materialize(_met(lines, counters).mapInPandas(_closest(MOST_AT_ONCE), _FOUND), "line-candidates")
-    matched = materialize(_verified(found, lines), "line-matches")
-    open_ = found.filter("more").select("late").distinct().join(matched, "late", "left_anti")
+    closest = F.min(F.struct("far", "early")).alias("closest")
+    several = (F.max("more") | (F.min("early") != F.max("early"))).alias("more")
+    best = materialize(found.groupBy("late").agg(closest, several), "line-closest")
+    matched = materialize(_verified(best.select("late", "closest.early"), lines), "line-matches")
+    open_ = best.filter("more").select("late").join(matched, "late", "left_anti")
     open_ = materialize(open_, "line-open")
     if not open_.isEmpty():
         asking = open_.select(F.col("late").alias("set_id"))
@@ -303,8 +306,8 @@ def _candidates(rows: pd.DataFrame, most: int | None) -> pd.DataFrame:
         if held > _HELD and most:
             parts, held = [closest(parts)], 0
         step += 1
-    late, early, _ = closest(parts)
-    return pd.DataFrame({"late": ids[late], "early": ids[early], "more": crowded[late]})
+    late, early, far = closest(parts)
+    return pd.DataFrame({"late": ids[late], "early": ids[early], "far": far.astype(np.int32), "more": crowded[late]})
 
 
 def _verified(found: DataFrame, lines: DataFrame) -> DataFrame:
