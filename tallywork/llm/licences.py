@@ -71,6 +71,13 @@ def normalised(sentence: str) -> str:
     return re.sub("[^a-z0-9]+", " ", sentence.lower()).strip()
 
 
+def parts(sentence: str) -> tuple[str, ...]:
+    """The normalised parts in which :func:`sentences` gives a sentence, more than one if it holds an end inside."""
+    for pattern, put in ENDS:
+        sentence = re.sub(pattern, put.replace("1", r"\1"), sentence)
+    return tuple(normalised(p) for p in sentence.split("\x1e"))
+
+
 def anchors() -> tuple[str, ...]:
     """Words so chosen that every known sentence holds one of them."""
     left, chosen = {k: set(normalised(s).split()) for k, s in SENTENCES.items()}, []
@@ -92,13 +99,18 @@ def sentences(text: Column) -> Column:
     return F.split(text, "\x1e")
 
 
+def _words(said: Column) -> Column:
+    return F.trim(F.regexp_replace(F.lower(said), "[^a-z0-9]+", " "))
+
+
 def recognise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Licences in documents: (doc_id, digest, licence, rule, first_sentence, last_sentence).
 
     Every sentence is normalised and looked up among the known ones; the identifiers found, in order
     of their place, are matched with the rules' sequences, other sentences in between not counting. A
     match inside a longer one is left out, equal ones go to the earlier rule. Sentences are numbered from
-    1. Texts without any anchor word hold no known sentence and are passed over at once. Rows of one id and text (``digest``) are
+    1. A known sentence with an end inside ('SPDX-License-Identifier: MIT') is found as its parts next to each
+    other and counts as far as the last; lines around a tag do not belong to it. Texts without any anchor word hold no known sentence and are passed over at once. Rows of one id and text (``digest``) are
     one document; NULL and empty texts have no licence; other columns are ignored.
 
     The two tables joined are the fixed ones above; only found sentences are shuffled, by document.
@@ -108,17 +120,38 @@ def recognise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     rows = docs.select(field(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("digest"), text.alias("text"))
     rows = rows.filter(reduce(Column.__or__, [F.contains(F.lower("text"), F.lit(a)) for a in anchors()]))
     said = rows.select("doc_id", "digest", F.posexplode(sentences(F.col("text"))).alias("sentence", "said"))
-    said = said.withColumn("said", F.trim(F.regexp_replace(F.lower("said"), "[^a-z0-9]+", " ")))
     known = F.create_map(*[F.lit(x) for k, s in SENTENCES.items() for x in (normalised(s), k)])
-    hits = said.withColumn("known", F.try_element_at(known, F.col("said"))).filter(F.col("known").isNotNull())
-    hits = hits.select("doc_id", "digest", (F.col("sentence") + 1).alias("sentence"), "known").distinct()
+    cut = {k: ps for k, s in SENTENCES.items() if len(ps := parts(s)) > 1}
+    pieces = sorted({p for ps in cut.values() for p in ps})
+    tags = [ps for k, ps in cut.items() if k.startswith("spdx-")]
+    # a tag is a line: wrapped lines before its first part and after its last are left off
+    head, tail = (_words(F.substring_index("said", "\n", n)) for n in (-1, 1))
+    said = said.select(
+        "doc_id", "digest", "sentence", _words(F.col("said")).alias("said"),
+        F.when(head.isin(*{ps[0] for ps in tags}), head).when(tail.isin(*{ps[-1] for ps in tags}), tail).alias("line"),
+    )
+    hits = said.select(
+        "doc_id", "digest", (F.col("sentence") + 1).alias("sentence"),
+        F.try_element_at(known, F.col("said")).alias("known"),
+        F.coalesce(F.when(F.col("said").isin(*pieces), F.col("said")), F.col("line")).alias("piece"),
+    )
+    hits = hits.filter(F.col("known").isNotNull() | F.col("piece").isNotNull()).distinct()
 
     in_order = Window.partitionBy("doc_id", "digest").orderBy("sentence")
+    following = F.array(*[F.when(F.lead("sentence", i).over(in_order) == F.col("sentence") + i, F.lead("piece", i).over(in_order)) for i in range(1, max(map(len, cut.values())))])
+    hits = hits.withColumn("following", following)
+    whole = [
+        F.when(reduce(Column.__and__, [F.col("following")[i] == p for i, p in enumerate(ps[1:])], F.col("piece") == ps[0]), F.struct(F.lit(k).alias("known"), (F.col("sentence") + len(ps) - 1).alias("end")))
+        for k, ps in cut.items()
+    ]
+    one = F.when(F.col("known").isNotNull(), F.struct("known", F.col("sentence").alias("end")))
+    hits = hits.select("doc_id", "digest", "sentence", F.coalesce(one, *whole).alias("hit")).filter("hit IS NOT NULL").select("doc_id", "digest", "sentence", "hit.known", "hit.end")
+
     ahead = in_order.rowsBetween(0, LONGEST - 1)
     sequences = hits.select(
         "doc_id", "digest", "sentence",
         F.concat(F.array_join(F.collect_list("known").over(ahead), " "), F.lit(" ")).alias("ids"),
-        F.collect_list("sentence").over(ahead).alias("places"),
+        F.collect_list("end").over(ahead).alias("places"),
     )
     rules = F.array(
         *[

@@ -10,7 +10,7 @@ import pytest
 from llm_rows import LONG, SCHEMA, doc, edges, nothing  # noqa: F401
 
 from tallywork.llm.decontamination import find_leaks, without_leaks
-from tallywork.llm.licences import SENTENCES, anchors, normalised, recognise
+from tallywork.llm.licences import RULES, SENTENCES, anchors, normalised, recognise
 from tallywork.llm.mixing import mix_sources, mixed_rows
 from tallywork.llm.sharding import shard_by_bytes, write_shards
 
@@ -116,6 +116,28 @@ def test_licences(spark, edges, nothing):
     assert all(set(anchors()) & set(normalised(s).split()) for s in SENTENCES.values())
 
 
+def test_every_licence_rule_is_found(spark):
+    rows = [doc(i, "\n\n".join(["Prose before."] + [SENTENCES[k] for k in ids] + ["Prose after."])) for i, (_, _, ids) in enumerate(RULES)]
+    used = {k for _, _, ids in RULES for k in ids}
+    assert used == set(SENTENCES)
+    tags = [
+        doc(100, "Copyright 2020 somebody\n// SPDX-License-Identifier: MIT\nimport this and that"),
+        doc(101, "SPDX-License-Identifier: MIT OR BSD-3-Clause\n\nMIT\n\nmore"),  # another licence, and a line that is none
+        doc(102, "SPDX-License-Identifier: unknown\n\nMIT"),
+        doc(103, "Released under the MIT License.\n\nLicence: MIT. SPDX-License-Identifier:\nApache-2.0\n"),
+        doc(104, SENTENCES["gpl3-free"].replace("redistribute", "resell")),
+    ]
+    found = defaultdict(list)
+    for r in recognise(spark.createDataFrame(rows + tags, SCHEMA)).collect():
+        found[r.doc_id].append((r.rule, r.first_sentence, r.last_sentence))
+    for i, (rule, _, ids) in enumerate(RULES):
+        cut = sum(k in ("spdx-apache", "spdx-mit", "spdx-gpl3", "gpl3-free") for k in ids)
+        assert found[i] == [(rule, 2, 1 + len(ids) + cut)], rule
+    assert found[100] == [("mit-tag", 1, 2)]
+    assert not {101, 102, 104} & set(found)
+    assert [r[0] for r in sorted(found[103], key=lambda r: r[1])] == ["mit-line", "apache-tag"]
+
+
 ITEM = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi omicron pi rho sigma tau upsilon"
 
 
