@@ -5,11 +5,12 @@ from __future__ import annotations
 import random
 import zlib
 from collections import Counter, defaultdict
+from itertools import combinations
 
 import pytest
 from llm_rows import LONG, SCHEMA, doc, edges, nothing  # noqa: F401
 
-from tallywork.llm.decontamination import find_leaks, without_leaks
+from tallywork.llm.decontamination import LEAST_EQUAL, find_leaks, layout, without_leaks
 from tallywork.llm.licences import RULES, SENTENCES, anchors, normalised, recognise
 from tallywork.llm.mixing import mix_sources, mixed_rows
 from tallywork.llm.sharding import shard_by_bytes, write_shards
@@ -175,3 +176,49 @@ def test_leaks_in_blocks(spark, monkeypatch):
     items = spark.createDataFrame([(1, ITEM), (2, " ".join(f"q{i}" for i in range(15)))], "item_id long, text string")
     docs = spark.createDataFrame([(1, ITEM), (2, "x " + " ".join(f"q{i}" for i in range(15)))], "doc_id long, text string")
     assert sorted((r.doc_id, r.item_id) for r in find_leaks(docs, items).collect()) == [(1, 1), (2, 2)]
+
+
+def brute_leaks(docs, items):
+    """Every window of every item against every place of every document."""
+    found = {}
+    for d, text in docs:
+        for i, item in items:
+            a, b = text.split(), item.split()
+            span, pad = (10, 2) if len(b) >= 10 else (len(b), 0)
+            for p in range(len(a) - span + 1):
+                for q in range(len(b) - span + 1) if b else ():
+                    places = [o for o in range(-pad, span + pad) if 0 <= q + o < len(b)]
+                    share = sum(0 <= p + o < len(a) and a[p + o] == b[q + o] for o in places) / len(places)
+                    if share >= 0.8:
+                        found.setdefault((d, i), []).append((p, p + span - 1, round(share, 6)))
+    return {k: (len({p for p, _, _ in v}), min(v)[0], max(e for _, e, _ in v), max(s for _, _, s in v)) for k, v in found.items()}
+
+
+def test_leaks_equal_brute_force(spark):
+    rng = random.Random(5)
+    lengths = [1, 2, 4, 5, 7, 9, 10, 10, 11, 12, 12, 13, 14, 15, 15, 20, 20, 38]
+    items = [(i, " ".join(f"i{i}w{k}" for k in range(n))) for i, n in enumerate(lengths)]
+    items += [(50 + i, " ".join(rng.choice("abc") for _ in range(n))) for i, n in enumerate((3, 6, 10, 12, 17))]
+    docs = []
+    for _, item in items:
+        words = item.split()
+        for exchanged in (0, 1, 1, 2, 2, 2, 3, 4):
+            out = set(rng.sample(range(len(words)), min(exchanged, len(words))))
+            passage = [f"other{k}" if k in out else w for k, w in enumerate(words)]
+            docs.append((len(docs), " ".join([f"f{k}" for k in range(rng.choice((0, 1, 30)))] + passage + [f"g{k}" for k in range(rng.choice((0, 1, 200)))])))
+    ten = items[6][1].split()
+    for place in range(10):  # any single word of the shortest item with a window
+        docs.append((len(docs), " ".join(["x"] * 20 + ten[:place] + ["other"] + ten[place + 1 :] + ["y"] * 20)))
+    for first in range(6):  # every sixth word
+        docs.append((len(docs), " ".join("other" if k % 6 == first else w for k, w in enumerate(items[-6][1].split()))))
+    docs += [(len(docs) + k, " ".join(rng.choice("abcd") for _ in range(rng.choice((4, 9, 13, 150))))) for k in range(20)]
+    found = find_leaks(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    assert {(r.doc_id, r.item_id): (r.windows, r.first_word, r.last_word, r.most_equal) for r in found.collect()} == brute_leaks(docs, items)
+
+
+def test_masks_leave_out_any_two_places():
+    for n in range(1, 11):
+        shape = layout(n)
+        allowed = max(k for k in range(3) if k == 0 or (n - k) / n >= LEAST_EQUAL)
+        for out in combinations(range(n), allowed):
+            assert any(all(mask[i] == "0" for i in out) for mask in shape.masks)
