@@ -29,6 +29,17 @@ WORDS = {
 }
 AGAINST = ("version", "isbn", "example number", "order no", "part no")
 _GAIN, _LOSS = 0.3, 0.2
+# Length of an account number by its country code.
+IBAN_LENGTHS = {
+    code: n
+    for n, codes in (
+        (15, "NO"), (16, "BE"), (18, "DK FI FK FO GL NL SD"), (19, "MK SI"), (20, "AT BA EE KZ LT LU MN XK"), (21, "CH HR LI LV"),
+        (22, "BG BH CR DE GB GE IE ME RS VA"), (23, "AE GI IL IQ OM SO TL"), (24, "AD CZ ES MD PK RO SA SE SK TN VG"), (25, "LY PT ST"),
+        (26, "IS TR"), (27, "BI DJ FR GR IT MC MR SM"), (28, "AL AZ BY CY DO GT HN HU LB NI PL SV"), (29, "BR EG PS QA UA"),
+        (30, "JO KW MU YE"), (31, "MT SC"), (32, "LC"), (33, "RU"),
+    )
+    for code in codes.split()
+}
 
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 # A digit run cannot begin a match in its middle that it does not begin at its start.
@@ -105,7 +116,7 @@ def spans_of(text: str) -> list[tuple[str, int, int, float, str]]:
         for m in _PHONE.finditer(text):
             if 9 <= sum(c.isdecimal() for c in m[0]) <= 15:
                 proposed.append(("phone", m.start(), m.end()))
-    proposed += [("iban", m.start(), m.end()) for m in _IBAN.finditer(text) if mod97(m[0].replace(" ", ""))]
+    proposed += _ibans(text)
     proposed += [("ssn", m.start(), m.end()) for m in _SSN.finditer(text)]
     scored = [(k, a, b, _score(k, text, a, b), text[a:b]) for k, a, b in proposed]
     kept = [s for s in scored if s[0] in BASE or s[3] >= THRESHOLD]
@@ -126,6 +137,20 @@ def _emails(text: str) -> Iterator[tuple[str, int, int]]:
         at = text.find("@", max(at + 1, end))
 
 
+def _ibans(text: str) -> Iterator[tuple[str, int, int]]:
+    """Leftmost non-overlapping account numbers: a match may run on into words that follow, so it ends at the word
+    edge that gives the length of its country, or at the last edge where mod 97 holds if the country is unknown."""
+    at = 0
+    while m := _IBAN.search(text, at):
+        length = IBAN_LENGTHS.get(m[0][:2])
+        ends = [m.end(), *(i for i in range(m.end() - 1, m.start(), -1) if text[i] == " ")]
+        numbers = [(end, text[m.start() : end].replace(" ", "")) for end in ends]
+        end = next((end for end, n in numbers if (len(n) == length if length else len(n) >= 15) and mod97(n)), None)
+        if end:
+            yield "iban", m.start(), end
+        at = end or m.start() + 1
+
+
 def _score(kind: str, text: str, start: int, end: int) -> float:
     near = f"{text[max(0, start - CONTEXT) : start]} {text[end : end + CONTEXT]}".casefold()
     score = SCORES[kind] + _GAIN * _has(near, WORDS[kind]) - _LOSS * _has(near, AGAINST)

@@ -59,6 +59,18 @@ def test_added_kinds_need_checksum_or_context():
     assert [s[0] for s in spans_of("my SSN is 123-45-6789")] == ["ssn"]
 
 
+def test_account_numbers_before_other_words():
+    def ibans(text):
+        return [s[4] for s in spans_of(text) if s[0] == "iban"]
+
+    plain, spaced, short = "DE89370400440532013000", "DE89 3704 0044 0532 0130 00", "NO9386011117947"
+    for number in (plain, spaced, short):
+        for after in ("", " BIC COBADEFFXXX", " BIC COBA", " 2024", " 1200 EUR", " A B C D E F G", " " + short, ", next"):
+            assert ibans(f"IBAN {number}{after}") == [number] + [short] * (after == " " + short), (number, after)
+    assert ibans(f"REF AB12 {spaced} OK") == [spaced]  # another start before it
+    assert ibans(f"{plain[:-1]}1 BIC COBA 2024") == ibans(f"{plain}99") == []
+
+
 def test_digits_without_end_are_linear():
     assert spans_of("1" * 300_000 + "." + "1" * 300_000 + "a" * 300_000 + "@") == []
 
