@@ -165,6 +165,87 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_lines", F.size("removed").alias("n_removed"), F.array_join("removed", ",").alias("removed"))
 
 
+def op11_projection_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tallywork.llm.projection_forest import nearest
+
+    return nearest(table(spark, sf_dir, "embeddings"), k=20, every=20)
+
+
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tallywork.llm.fill_in_middle import fill_in_middle, restore
+
+    back = restore(fill_in_middle(table(spark, sf_dir, "documents"), rate=100, spm_rate=50, salt=7))
+    return back.select("doc_id", "n", "form", "prefix_chars", "middle_chars", "output_sha256", "restored_sha256")
+
+
+OP12_SQL = r"""
+WITH texts AS (
+  SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS lines,
+    sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS s FROM documents),
+drawn AS (
+  SELECT doc_id, t, lines, CAST(len(lines) AS BIGINT) AS n,
+    list_transform(range(4), lambda i: CAST('0x' || substr(s, CAST(8 * i + 1 AS INT), 8) AS BIGINT)) AS h FROM texts),
+formed AS (
+  SELECT *, least(h[1] % (n + 1), h[2] % (n + 1)) AS a, greatest(h[1] % (n + 1), h[2] % (n + 1)) AS b,
+    CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h[3] % 100 >= 100 THEN 'plain'
+      WHEN h[4] % 100 < 50 THEN 'spm' ELSE 'psm' END AS form FROM drawn),
+parts AS (
+  SELECT *, array_to_string(lines[1:a], '') AS p, array_to_string(lines[a + 1:b], '') AS m, array_to_string(lines[b + 1:n], '') AS s FROM formed),
+written AS (
+  SELECT *, CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m ELSE '<S>' || s || '<P>' || p || '<M>' || m END AS output
+  FROM parts),
+found AS (
+  SELECT *, strpos(output, '<P>') AS at_p, strpos(output, '<S>') AS at_s, strpos(output, '<M>') AS at_m FROM written)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN CAST(length(p) AS BIGINT) END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN CAST(length(m) AS BIGINT) END AS middle_chars, sha256(output) AS output_sha256,
+  sha256(CASE form WHEN 'plain' THEN output
+    WHEN 'psm' THEN substr(output, at_p + 3, at_s - at_p - 3) || substr(output, at_m + 3) || substr(output, at_s + 3, at_m - at_s - 3)
+    ELSE substr(output, at_p + 3, at_m - at_p - 3) || substr(output, at_m + 3) || substr(output, at_s + 3, at_p - at_s - 3) END) AS restored_sha256
+FROM found"""
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tallywork.llm.prefix_trie import branched, prefix_trie
+
+    return prefix_trie(branched(table(spark, sf_dir, "conversations")))
+
+
+OP13_SQL = f"""
+WITH {CRC_SQL},
+ordered AS (
+  SELECT conv_id, {{{{'role': coalesce(role, ''), 'text': coalesce(text, '')}}}} AS turn,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS pos
+  FROM conversations WHERE conv_id IS NOT NULL),
+convs AS (
+  SELECT conv_id, conv_id - conv_id % 20 AS base, {crc_sql("{bytes}")} % 4 AS taken
+  FROM (SELECT DISTINCT conv_id, CAST(conv_id AS VARCHAR) AS t FROM ordered), byte_crc),
+rebuilt AS (
+  SELECT c.conv_id, o.pos, o.turn FROM convs c JOIN ordered o ON o.conv_id = c.base AND o.pos <= c.taken
+  UNION ALL SELECT c.conv_id, o.pos + 4, o.turn FROM convs c JOIN ordered o ON o.conv_id = c.conv_id AND o.pos > c.taken),
+listed AS (
+  SELECT conv_id, coalesce(list(turn ORDER BY pos) FILTER (WHERE pos IS NOT NULL), []) AS turns, count(pos) AS n
+  FROM convs LEFT JOIN rebuilt USING (conv_id) GROUP BY conv_id),
+prefixes AS (
+  SELECT conv_id, n, depth, md5(CAST(turns[1:depth] AS VARCHAR)) AS node, md5(CAST(turns[1:depth - 1] AS VARCHAR)) AS parent, turns[depth].text AS last
+  FROM (SELECT *, unnest(range(n + 1)) AS depth FROM listed)),
+nodes AS (
+  SELECT node, depth, any_value(parent) AS parent, min(conv_id) AS conv_id, count(*) AS n_convs,
+    CASE WHEN depth = 0 THEN 0 ELSE len(regexp_extract_all(coalesce(any_value(last), ''), '[^\x20\x09-\x0D]+')) END AS words,
+    sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE n = depth), '')) AS ends_sha256
+  FROM prefixes GROUP BY node, depth),
+family AS (
+  SELECT x.*, p.conv_id AS parent_conv_id, (SELECT count(*) FROM nodes c WHERE c.depth = x.depth + 1 AND c.parent = x.node) AS n_children
+  FROM nodes x LEFT JOIN nodes p ON p.node = x.parent AND p.depth = x.depth - 1),
+below AS (
+  SELECT DISTINCT a.node AS top, a.depth AS top_depth, b.node, b.depth FROM prefixes a JOIN prefixes b ON a.conv_id = b.conv_id AND b.depth >= a.depth),
+sums AS (
+  SELECT top, top_depth, sum((n_convs - 1) * words) AS saved, sum(CASE WHEN n_children = 0 THEN 1 ELSE 0 END) AS leaves
+  FROM below JOIN family USING (node, depth) GROUP BY ALL)
+SELECT conv_id, CAST(depth AS BIGINT) AS depth, parent_conv_id, n_convs, n_children,
+  CAST(leaves AS BIGINT) AS n_leaves, CAST(saved AS BIGINT) AS saved_tokens, ends_sha256
+FROM family JOIN sums ON top = node AND top_depth = depth"""
+
+
 QUERIES: dict = {
     "op1_shards": (op1_shards, OP1_SQL.replace("{bytes}", BYTES.format(t="t"))),
     "op2_pii": (op2_pii, None),
@@ -176,4 +257,7 @@ QUERIES: dict = {
     "op8_warc": (op8_warc, OP8_SQL),
     "op9_decontaminate": (op9_decontaminate, None),
     "op10_jaccard_join": (op10_jaccard_join, None),
+    "op11_projection_forest": (op11_projection_forest, None),
+    "op12_fill_in_middle": (op12_fill_in_middle, OP12_SQL),
+    "op13_prefix_trie": (op13_prefix_trie, OP13_SQL.replace("{bytes}", BYTES.format(t="t")).replace("{{", "{").replace("}}", "}")),
 }
