@@ -82,7 +82,7 @@ def _(t: Tables) -> DataFrame:
     FROM long GROUP BY "column" """,
 )
 def _(t: Tables) -> DataFrame:
-    return rounded(numeric.quartiles(numeric.stored_frequencies(t.census, NUM)))
+    return rounded(numeric.quartiles(numeric.numeric_values(t.stored_census, NUM)))
 
 
 @query(
@@ -97,7 +97,7 @@ def _(t: Tables) -> DataFrame:
 )
 def _(t: Tables) -> DataFrame:
     freq = numeric.stored_frequencies(t.census, NUM)
-    return rounded(numeric.outliers_and_distinct(freq, numeric.quartiles(freq)))
+    return rounded(numeric.outliers_and_distinct(freq, numeric.quartiles(freq, weight="n")))
 
 
 @query(

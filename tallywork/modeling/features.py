@@ -23,9 +23,8 @@ from pyspark.sql import functions as F
 from tallywork.functions.columns import col, one_row_to_long
 from tallywork.functions.numeric import finite_or_null
 from tallywork.operators.categorical import modes
-from tallywork.operators.frequency import category_frequencies
-from tallywork.operators.numeric import stored_frequencies
-from tallywork.operators.order import quantiles
+from tallywork.operators.frequency import category_frequencies, numeric_values
+from tallywork.operators.selection import select_quantiles
 
 
 class _Columns(HasInputCols, HasOutputCols, DefaultParamsReadable, DefaultParamsWritable):
@@ -51,7 +50,7 @@ class _Fitted(_Columns):
 
 def median_table(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """``column, median`` over the non-missing values."""
-    return quantiles(stored_frequencies(df, columns), {"median": 0.5})
+    return select_quantiles(numeric_values(df, columns), {"median": 0.5})
 
 
 def mode_table(df: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -12,6 +12,7 @@ from tallywork.functions.numeric import finite_or_null, ratio
 from tallywork.operators.categorical import target_distribution
 from tallywork.operators.contingency import crosstab, row_shares
 from tallywork.operators.correlation import matrix_cells, pearson_pairs
+from tallywork.operators.frequency import numeric_values
 from tallywork.operators.numeric import fences, quartiles, stored_frequencies
 from tallywork.operators.split import fixed_sample
 from tallywork.sources.scratch import materialize
@@ -34,17 +35,24 @@ def _grouped_frequencies(df: DataFrame, column: str, group: str | None) -> DataF
     return stored_frequencies(rows, [column], by=("group",))
 
 
-def bin_edges(freq: DataFrame) -> DataFrame:
-    """One row ``low, high, n, width, bins`` from ``(column, value, n)`` of one column: the
+def _grouped_values(df: DataFrame, column: str, group: str | None) -> DataFrame:
+    """``group, column, value`` of the rows that have both: two narrow columns, stored without a shuffle."""
+    label = col(group).cast("string") if group is not None else F.lit("all")
+    rows = df.select(label.alias("group"), F.lit(column).alias("column"), finite_or_null(col(column)).cast("double").alias("value"))
+    return materialize(rows.where(F.col("value").isNotNull() & F.col("group").isNotNull()), "chart-values")
+
+
+def bin_edges(values: DataFrame) -> DataFrame:
+    """One row ``low, high, n, width, bins`` from ``(column, value)`` of one column: the
     automatic rule for histogram bins.
 
     The width is the smaller of the Freedman-Diaconis and Sturges widths, or Sturges when the
     interquartile range is 0; a constant column gets one bin of width 1 around its value.
     """
-    span = freq.groupBy("column").agg(
-        F.min("value").alias("low"), F.max("value").alias("high"), F.sum("n").alias("n")
+    span = values.groupBy("column").agg(
+        F.min("value").alias("low"), F.max("value").alias("high"), F.count(F.lit(1)).alias("n")
     )
-    both = span.join(F.broadcast(quartiles(freq)), "column")  # one row
+    both = span.join(F.broadcast(quartiles(values)), "column")  # one row
     n = F.col("n").cast("double")
     extent = F.col("high") - F.col("low")
     sturges = extent / (F.log2(n) + 1)
@@ -66,18 +74,18 @@ def _count_up(n: Column) -> Column:
 def histogram(df: DataFrame, column: str, group: str | None = None) -> DataFrame:
     """``group, bin, bin_low, bin_high, n`` on common bins, empty bins included.
 
-    One scan gives the value counts; edges and bins both come from them. The bin rule reaches the
-    counts as scalar subqueries, so nothing is joined.
+    The column is stored once; edges and bins both come from it, and only counts per bin are shuffled. The bin
+    rule reaches the rows as scalar subqueries, so nothing is joined.
     """
-    freq = _grouped_frequencies(df, column, group)
-    edges = materialize(bin_edges(freq.groupBy("column", "value").agg(F.sum("n").alias("n"))), "edges")
+    values = _grouped_values(df, column, group)
+    edges = materialize(bin_edges(values), "edges")
     low, width, bins = (edges.select(c).scalar() for c in ("low", "width", "bins"))
-    rows = freq.withColumn("at", F.least(F.floor((F.col("value") - low) / width).cast("bigint"), bins - 1))
+    rows = values.withColumn("at", F.least(F.floor((F.col("value") - low) / width).cast("bigint"), bins - 1))
     # The quotient can miss an edge by one unit in the last place; the edges themselves decide.
     too_high = F.col("value") < low + F.col("at") * width
     too_low = (F.col("value") >= low + (F.col("at") + 1) * width) & (F.col("at") < bins - 1)
     placed = F.when(too_high, F.col("at") - 1).when(too_low, F.col("at") + 1).otherwise(F.col("at"))
-    counted = rows.groupBy("group", placed.alias("bin")).agg(F.sum("n").alias("n"))
+    counted = rows.groupBy("group", placed.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
     groups = counted.groupBy("group").agg(F.count(F.lit(1)).alias("__used"))
     # Generate bins in two steps so that no single row holds a long array.
     block = F.lit(4096).cast("bigint")
@@ -141,27 +149,28 @@ def density_curve(df: DataFrame, column: str, group: str | None = None, points:
     )
 
 
-def _box_table(freq: DataFrame, keys: Sequence[str]) -> DataFrame:
+def _box_table(values: DataFrame, keys: Sequence[str]) -> DataFrame:
     by = tuple(k for k in keys if k != "column")
-    bounds = fences(quartiles(freq, by=by))
+    bounds = fences(quartiles(values, by=by))
+    # one row per column, or per group: then stored, so that Spark knows how many there are
+    bounds = materialize(bounds, "fences") if by else F.broadcast(bounds)
     inside = (F.col("value") >= F.col("low")) & (F.col("value") <= F.col("high"))
     return (
-        freq.join(bounds, list(keys))
+        values.join(bounds, list(keys))
         .groupBy(*keys)
         .agg(
-            F.sum("n").alias("n"),
+            F.count(F.lit(1)).alias("n"),
             F.first("q1").alias("q1"), F.first("median").alias("median"), F.first("q3").alias("q3"),
             F.min(F.when(inside, F.col("value"))).alias("whisker_low"),
             F.max(F.when(inside, F.col("value"))).alias("whisker_high"),
-            F.sum(F.when(~inside, F.col("n")).otherwise(0)).alias("fliers"),
+            F.count_if(~inside).alias("fliers"),
         )
     )
 
 
 def box_stats(df: DataFrame, column: str, group: str) -> DataFrame:
     """``group, n, q1, median, q3, whisker_low, whisker_high, fliers`` per group."""
-    freq = _grouped_frequencies(df, column, group)
-    return _box_table(freq, ("group", "column")).drop("column")
+    return _box_table(_grouped_values(df, column, group), ("group", "column")).drop("column")
 
 
 def log_values(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -171,9 +180,8 @@ def log_values(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def log_box_stats(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Box statistics of log(1 + x) for several columns."""
-    logs = df.select(*[F.log1p(col(c).cast("double")).alias(c) for c in columns])
-    freq = stored_frequencies(logs, columns)
-    return _box_table(freq, ("column",))
+    logs = materialize(df.select(*[F.log1p(col(c).cast("double")).alias(c) for c in columns]), "chart-values")
+    return _box_table(numeric_values(logs, columns), ("column",))
 
 
 def stacked_shares(

@@ -14,14 +14,19 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallywork.functions.columns import col, indicator
+from tallywork.functions.columns import col, indicator, unpivot_columns
 from tallywork.functions.numeric import finite_or_null
 
 
+_WHOLE = 1 << 53
+
+
 def _exact(df: DataFrame, name: str) -> Column:
-    """The number as text where its type holds more digits than a double, else NULL."""
-    wide = isinstance(df.schema[name].dataType, (T.LongType, T.DecimalType))
-    return col(name).cast("string") if wide else F.lit(None).cast("string")
+    """The number as text where a double may not hold all its digits, else NULL."""
+    kind = df.schema[name].dataType
+    if isinstance(kind, T.LongType):  # the short way first: text only beyond 2^53
+        return F.when((col(name) > _WHOLE) | (col(name) < -_WHOLE), col(name).cast("string"))
+    return F.when(F.lit(isinstance(kind, T.DecimalType) and kind.precision > 15), col(name).cast("string"))
 
 
 def numeric_frequencies(
@@ -49,6 +54,12 @@ def numeric_frequencies(
     return long.groupBy(*[col(b) for b in by], "column", "value", *(["exact"] if exact else [])).agg(F.count(F.lit(1)).alias("n"))
 
 
+def numeric_values(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+    """``(by..., column, value)``, one row per present number: a narrow scan, nothing aggregated."""
+    long = unpivot_columns(df, columns, "double", "value", ids=by)
+    return long.withColumn("value", finite_or_null(F.col("value"))).where(F.col("value").isNotNull())
+
+
 def category_frequencies(
     df: DataFrame, columns: Sequence[str], target: str | None = None, positive: str | None = None
 ) -> DataFrame:

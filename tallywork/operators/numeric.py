@@ -15,8 +15,8 @@ from tallywork.functions.numeric import (
     ratio,
     skew_label,
 )
-from tallywork.operators.frequency import numeric_frequencies
-from tallywork.operators.order import quantiles
+from tallywork.operators.frequency import numeric_frequencies, numeric_values
+from tallywork.operators.selection import select_quantiles
 from tallywork.sources.scratch import materialize
 
 QUARTILES = {"q1": 0.25, "median": 0.5, "q3": 0.75}
@@ -66,9 +66,9 @@ def with_iqr(table: DataFrame) -> DataFrame:
     return table.withColumn("iqr", F.col("q3") - F.col("q1"))
 
 
-def quartiles(freq: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """``(by..., column, q1, median, q3, iqr)``."""
-    return with_iqr(quantiles(freq, QUARTILES, by))
+def quartiles(values: DataFrame, by: Sequence[str] = (), weight: str | None = None) -> DataFrame:
+    """``(by..., column, q1, median, q3, iqr)`` of a long table of values, or of counted values with ``weight``."""
+    return with_iqr(select_quantiles(values, QUARTILES, by, weight))
 
 
 def fences(quartile_table: DataFrame, width: float = 1.5) -> DataFrame:
@@ -101,13 +101,15 @@ def stored_frequencies(
     return materialize(numeric_frequencies(df, columns, by, keep_missing, exact), "numeric-frequencies")
 
 
-def numeric_profile(df: DataFrame, columns: Sequence[str], freq: DataFrame | None = None) -> DataFrame:
+def numeric_profile(
+    df: DataFrame, columns: Sequence[str], freq: DataFrame | None = None, counted: DataFrame | None = None
+) -> DataFrame:
     """Descriptive fields per numeric column: count, mean, std, min, quartiles, max, iqr, missing,
     distinct values, adjusted skewness and kurtosis, outlier candidates, share of zeros.
 
     Everything derives from one stored frequency table that includes the missing counts (pass
-    ``freq`` to reuse one), so the data itself is scanned once. Central moments are summed
-    around the known mean. Distinct long and decimal values are told apart beyond 2^53; the other
+    ``freq`` to reuse one, and as ``counted`` the stored table it came from, if its values repeat there), so
+    the data itself is scanned once. Central moments are summed around the known mean. Distinct long and decimal values are told apart beyond 2^53; the other
     fields are doubles.
     """
     if freq is None:
@@ -127,7 +129,7 @@ def numeric_profile(df: DataFrame, columns: Sequence[str], freq: DataFrame | Non
     constant = F.col("min") == F.col("max")
     mean = F.when(constant, F.col("min")).otherwise(F.try_divide("__sum", F.col("count").cast("double")))
     base = base.withColumn("mean", mean).drop("__sum")
-    quartile_table = quartiles(freq.where(present))
+    quartile_table = quartiles(freq if counted is None else counted, weight="n")
     # One row per column in each of these tables.
     known = base.join(F.broadcast(fences(quartile_table)), "column", "left")
     d = value - F.col("mean")
@@ -176,12 +178,14 @@ def numeric_by_group(
     df: DataFrame, columns: Sequence[str], group: str, freq: DataFrame | None = None
 ) -> DataFrame:
     """``group, column, mean, median`` per group; rows without a group are left out."""
-    if freq is None:
-        freq = stored_frequencies(df, columns, by=(group,))
+    if freq is None:  # the columns alone, without a shuffle
+        narrow = materialize(df.select(col(group), *[col(c) for c in columns]), "numeric-columns")
+        freq = numeric_values(narrow, columns, by=(group,)).withColumn("n", F.lit(1))
+    freq = freq.where(col(group).isNotNull())
     means = freq.groupBy(col(group), F.col("column")).agg(
         (F.sum(F.col("n") * F.col("value")) / F.sum("n")).alias("mean")
     )
-    medians = quantiles(freq, {"median": 0.5}, by=(group,))
+    medians = select_quantiles(freq, {"median": 0.5}, by=(group,), weight="n")
     return means.join(medians, [group, "column"]).select(
         col(group).alias("group"), "column", "mean", "median"
     )
@@ -189,7 +193,7 @@ def numeric_by_group(
 
 def outlier_rows(df: DataFrame, columns: Sequence[str], keys: Sequence[str], width: float = 1.5) -> DataFrame:
     """``keys..., column, value`` of the values strictly outside the fences of their column."""
-    bounds = fences(quartiles(stored_frequencies(df, columns)), width).select("column", "low", "high")
+    bounds = fences(quartiles(numeric_values(df, columns)), width).select("column", "low", "high")
     long = unpivot_columns(df, columns, "double", "value", ids=keys)
     outside = (F.col("value") < F.col("low")) | (F.col("value") > F.col("high"))
     return long.join(F.broadcast(bounds), "column").where(outside).drop("low", "high")  # one row per column

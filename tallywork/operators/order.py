@@ -1,4 +1,4 @@
-"""Order statistics without a global sort: distributed prefix sums over frequency tables.
+"""Ranks and running sums without a global sort: distributed prefix sums over frequency tables.
 
 A frequency table holds each value once per column, so splitters taken from it cut it into
 buckets of near-equal size whatever the skew of the raw rows. The bucket of a value is a
@@ -13,12 +13,11 @@ the frequency table.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallywork.functions.columns import col
 from tallywork.sources.scratch import materialize
 
 ROWS_PER_BUCKET = 250_000
@@ -99,48 +98,3 @@ def average_ranks(freq: DataFrame, by: Sequence[str] = (), buckets: int | None =
     """Frequency table with the mid-rank of each value (ties share their mean rank)."""
     ranked = cumulate(freq, by, ("n",), buckets)
     return ranked.withColumn("rank", F.col("n_before") + (F.col("n") + 1) / F.lit(2.0))
-
-
-def quantiles(
-    freq: DataFrame, probabilities: Mapping[str, float], by: Sequence[str] = (), buckets: int | None = None
-) -> DataFrame:
-    """Exact, linearly interpolated quantiles: ``(by..., column, <names>)``.
-
-    Only buckets that hold a wanted rank are sorted; at most two per probability and group.
-    """
-    keys = [*by, "column"]
-    bucketed = with_buckets(freq, buckets)
-    offsets = _bucket_offsets(bucketed, keys, ("n",))
-
-    last = F.col("n_total") - 1
-    place = {name: last * F.lit(float(p)) for name, p in probabilities.items()}
-    low = {name: F.floor(at) for name, at in place.items()}
-    high = {name: F.least(at + 1, last) for name, at in low.items()}
-
-    hit = F.lit(False)
-    for name in place:
-        hit = hit | ((F.col("n_offset") <= high[name]) & (F.col("n_offset") + F.col("n_here") > low[name]))
-    wanted = offsets.where(hit)
-    if not by:
-        wanted = F.broadcast(wanted)  # columns x 2 x probabilities rows
-    rows = _running(bucketed.join(wanted, [*keys, "bucket"]), keys, ("n",))
-
-    def at_rank(rank: Column) -> Column:
-        return F.max(
-            F.when((F.col("n_before") <= rank) & (rank < F.col("n_before") + F.col("n")), F.col("value"))
-        )
-
-    aggs = [F.first("n_total").alias("n_total")]
-    for name in place:
-        aggs += [at_rank(low[name]).alias(f"__lo_{name}"), at_rank(high[name]).alias(f"__hi_{name}")]
-    found = rows.groupBy(*[col(k) for k in keys]).agg(*aggs)
-    return found.select(
-        *[col(k) for k in keys],
-        *[
-            (
-                F.col(f"__lo_{name}")
-                + (F.col(f"__hi_{name}") - F.col(f"__lo_{name}")) * (place[name] - low[name])
-            ).alias(name)
-            for name in place
-        ],
-    )

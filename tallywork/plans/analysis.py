@@ -73,7 +73,7 @@ def analyze(raw: DataFrame, spec: AnalysisSpec, models: bool = True, charts_too:
 
     pearson = correlation.pearson_pairs(cleaned, spec.numeric)
     spearman = correlation.spearman_pairs(cleaned, spec.numeric)
-    profile = numeric.numeric_profile(cleaned, spec.numeric, freq)
+    profile = numeric.numeric_profile(cleaned, spec.numeric, freq, stored)
     results = {
         "data": quality.overview(raw, spec.key_missing).withColumnRenamed("metric", "metric_name"),
         "types": quality.column_types(cleaned),

@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from tallywork.functions import tails
 from tallywork.operators import charts, split
 from tallywork.operators.numeric import numeric_hints, numeric_profile, stored_frequencies
-from tallywork.operators.order import average_ranks, bucket_count, quantiles
+from tallywork.operators.order import average_ranks, bucket_count
+from tallywork.operators.selection import select_quantiles
 from tallywork.sources.scratch import Store
 
 
@@ -44,7 +45,7 @@ def test_order_does_not_depend_on_plan_options(spark):
             spark.conf.set("spark.sql.exchange.reuse", reuse)
             spark.conf.set("spark.sql.adaptive.enabled", adaptive)
             freq = stored_frequencies(df, ["x"])
-            found.append((sorted((r["value"], r["rank"]) for r in rows(average_ranks(freq))), rows(quantiles(freq, {"m": 0.5}))))
+            found.append((sorted((r["value"], r["rank"]) for r in rows(average_ranks(freq))), rows(select_quantiles(freq, {"m": 0.5}, weight="n"))))
     for option in ("spark.sql.exchange.reuse", "spark.sql.adaptive.enabled"):
         spark.conf.unset(option)
     assert all(f == found[0] for f in found)

@@ -8,7 +8,8 @@ import pytest
 from conftest import rows
 from tallywork.operators import charts, numeric
 from tallywork.operators.frequency import numeric_frequencies
-from tallywork.operators.order import average_ranks, cumulate, quantiles
+from tallywork.operators.order import average_ranks, cumulate
+from tallywork.operators.selection import select_quantiles
 
 
 def frame(spark, values, name="x"):
@@ -49,7 +50,7 @@ def test_order_statistics_against_pandas(spark, buckets):
     series = pd.Series(values)
     freq = numeric_frequencies(frame(spark, values), ["x"])
     wanted = {"a": 0.0, "b": 0.1, "c": 0.5, "d": 0.933, "e": 1.0}
-    got = rows(quantiles(freq, wanted, buckets=buckets))[0]
+    got = rows(select_quantiles(freq, wanted, weight="n"))[0]
     for name, p in wanted.items():
         assert got[name] == pytest.approx(series.quantile(p), abs=1e-12)
     ranks = {r["value"]: r["rank"] for r in rows(average_ranks(freq, buckets=buckets))}
