@@ -96,16 +96,15 @@ def op5_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 OP5_SQL = """
 WITH whole AS (
-  SELECT vec_id, min(list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT))) AS v
+  SELECT vec_id, row_number() OVER () AS rid, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
   FROM embeddings
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
-    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
-  GROUP BY vec_id),
-terms AS (SELECT vec_id, unnest(v) AS w, unnest(range(len(v))) AS term FROM whole),
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+terms AS (SELECT vec_id, rid, unnest(v) AS w, unnest(range(len(v))) AS term FROM whole),
 scored AS (
-  SELECT q.vec_id AS query_id, r.vec_id, CAST(sum(q.w * r.w) AS BIGINT) AS score
-  FROM terms q JOIN terms r ON q.term = r.term AND q.vec_id <> r.vec_id WHERE q.vec_id % 20 = 0 GROUP BY ALL)
-SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INT) AS rank, vec_id, score
+  SELECT q.rid AS query, q.vec_id AS query_id, r.rid, r.vec_id, CAST(sum(q.w * r.w) AS BIGINT) AS score
+  FROM terms q JOIN terms r ON q.term = r.term AND q.rid <> r.rid WHERE q.vec_id % 20 = 0 GROUP BY ALL)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query ORDER BY score DESC, vec_id) AS INT) AS rank, vec_id, score
 FROM scored QUALIFY rank <= 20"""
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -12,12 +13,13 @@ from pyspark.sql import functions as F
 from tallywork.llm.common import field
 from tallywork.sources.scratch import materialize
 
-QUERY_BLOCK = 1024  # queries scored together in one task
-ROW_BLOCK = 4096  # rows scored together in one task
+LEAST_BLOCK = 4096  # rows scored together in one task, at least, where the table has so many
+MOST_BLOCK = 1 << 16  # and at most
 _TILE = 64  # queries whose score arrays are held at once
 _DENSE = 4  # a posting list over a quarter full is kept as a whole column
 
-_FOUND = "query_id long, vec_id long, score long"
+_SENT = "block int, side int, row long, vec_id long, v array<long>"
+_FOUND = "query long, query_id long, vec_id long, row long, score long"
 
 
 def quantise(vector: Column, scale: int = 64) -> Column:
@@ -36,68 +38,87 @@ def top_k(
 ) -> DataFrame:
     """The k rows of highest integer inner product for each query: (query_id, rank, vec_id, score).
 
-    Queries are the rows whose id is divisible by ``every``; candidates are all rows but the query's own;
-    ties go to the smaller id. Rows and queries are dealt by a hash of their id into blocks, every block
-    of queries meets every block of rows in one task, which keeps the k best of its block per query, and
-    a ranking by query merges the blocks. A task holds one block of each side, whatever the table's size.
+    Queries are the rows whose id is divisible by ``every``; candidates are all rows but the query itself;
+    ties go to the smaller id. Rows are dealt by a hash into blocks. A task keeps one block as posting lists and streams all
+    queries past it, keeping the k best of the block for each; a ranking by query merges the blocks. Rows move once and queries
+    once per block of at most MOST_BLOCK rows; memory is that of a block, whatever the number of rows and queries.
 
-    Vectors that are NULL or hold a NULL or non-finite component take no part, nor do rows without id. Rows that repeat
-    an id count once, with the smallest of their vectors. Components missing from a shorter vector count
-    as 0, so an empty vector scores 0. Scores are 64-bit integers. No queries or no rows give no result.
+    Vectors that are NULL or hold a NULL or non-finite component take no part, nor do rows without id. Rows that repeat an id, or an
+    id and a vector, are rows of their own: each is a candidate for the others, and each is asked if its id is a query's. Components missing from a shorter vector count
+    as 0, so an empty vector scores 0. Scores are 64-bit integers; other columns are ignored, whatever their names. No queries or no rows give no result.
     """
     chosen = vectors.select(field(id_col).cast("long").alias("vec_id"), field(vector_col).alias("v"))
     rows = chosen.filter(F.col("vec_id").isNotNull() & usable(F.col("v"))).select("vec_id", quantise(F.col("v")).alias("v"))
-    rows = materialize(rows.groupBy("vec_id").agg(F.min("v").alias("v")), "search-rows")
-    is_query = F.col("vec_id") % every == 0
-    n, queries = rows.agg(F.count(F.lit(1)), F.count(F.when(is_query, 1))).first()
-    row_blocks, query_blocks = max(1, math.ceil(n / ROW_BLOCK)), max(1, math.ceil(queries / QUERY_BLOCK))
-
-    def dealt(df: DataFrame, own: str, own_blocks: int, other: str, other_blocks: int) -> DataFrame:
-        each = F.explode(F.sequence(F.lit(0), F.lit(other_blocks - 1)))
-        return df.withColumn(own, F.pmod(F.xxhash64("vec_id"), F.lit(own_blocks)).cast("int")).withColumn(other, each)
-
-    pairs = [
-        dealt(rows.filter(is_query), "qb", query_blocks, "rb", row_blocks).groupBy("qb", "rb"),
-        dealt(rows, "rb", row_blocks, "qb", query_blocks).groupBy("qb", "rb"),
-    ]
-
-    def best(asked: pd.DataFrame, there: pd.DataFrame) -> pd.DataFrame:
-        return _best(asked, there, k)
-
-    found = pairs[0].cogroup(pairs[1]).applyInPandas(best, _FOUND)
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
+    rows = materialize(rows.select(F.monotonically_increasing_id().alias("row"), "vec_id", "v"), "search-rows")
+    n, queries = rows.agg(F.count(F.lit(1)), F.count_if(F.col("vec_id") % every == 0)).first()
+    if not queries:
+        return rows.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score long")
+    spread = min(math.ceil(n / LEAST_BLOCK), rows.sparkSession.sparkContext.defaultParallelism)
+    blocks = max(1, math.ceil(n / MOST_BLOCK), spread)
+    each = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
+    there = rows.select(F.pmod(F.xxhash64("row"), F.lit(blocks)).cast("int").alias("block"), F.lit(0).alias("side"), "row", "vec_id", "v")
+    asked = rows.filter(F.col("vec_id") % every == 0).select(each.alias("block"), F.lit(1).alias("side"), "row", "vec_id", "v")
+    dealt = there.union(asked).repartition(blocks, "block").sortWithinPartitions("block", "side", "vec_id", "row")
+
+    def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        return _searched(batches, k)
+
+    found = dealt.mapInPandas(search, _FOUND)
+    rank = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score"), "vec_id", "row"))
     return found.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
-def _matrix(vectors, width: int) -> np.ndarray:
-    out = np.zeros((len(vectors), width), dtype=np.int64)
+def _searched(batches: Iterator[pd.DataFrame], k: int) -> Iterator[pd.DataFrame]:
+    """The k best rows of each block for the queries that follow them, block after block."""
+    parts, block, here = [], None, None
+    for batch in batches:
+        keys = batch["block"].to_numpy()
+        edges = [0, *(np.flatnonzero(keys[1:] != keys[:-1]) + 1).tolist(), len(batch)]
+        for a, b in zip(edges, edges[1:], strict=False):
+            if keys[a] != block:
+                parts, block, here = [], keys[a], None
+            some = batch.iloc[a:b]
+            rows, asked = some[some["side"] == 0], some[some["side"] == 1]
+            if len(rows):
+                parts.append((_matrix(rows["v"]), rows["vec_id"].to_numpy(np.int64), rows["row"].to_numpy(np.int64)))
+            if not len(asked) or not parts:
+                continue
+            here = here or _Block(parts)
+            for start in range(0, len(asked), _TILE):
+                yield here.best(asked.iloc[start : start + _TILE], k)
+
+
+def _matrix(vectors, width: int = 0) -> np.ndarray:
+    out = np.zeros((len(vectors), max(width, 1, *(len(v) for v in vectors))), dtype=np.int64)
     for i, v in enumerate(vectors):
         out[i, : len(v)] = v
     return out
 
 
-def _best(asked: pd.DataFrame, there: pd.DataFrame, k: int) -> pd.DataFrame:
-    """The k best rows of ``there`` for each query, exhaustively."""
-    if asked.empty or there.empty:
-        return pd.DataFrame({"query_id": [], "vec_id": [], "score": []}, dtype="int64")
-    there = there.sort_values("vec_id", ignore_index=True)
-    width = max(1, *(len(v) for v in asked["v"]), *(len(v) for v in there["v"]))
-    ids, query_ids = there["vec_id"].to_numpy(np.int64), asked["vec_id"].to_numpy(np.int64)
-    rows, queries = _matrix(there["v"], width), _matrix(asked["v"], width)
-    most = float(np.abs(rows).max()) * float(np.abs(queries).max()) * width
-    kind = np.float32 if most < 2**24 else np.float64 if most < 2**53 else np.int64  # exact in either case
-    postings = []
-    for term in range(width):
-        at = np.flatnonzero(rows[:, term])
-        whole = len(at) * _DENSE > len(ids)
-        postings.append((slice(None) if whole else at, rows[:, term] if whole else rows[at, term]))
-    postings = [(at, values.astype(kind)) for at, values in postings]
-    own = np.searchsorted(ids, query_ids)
-    out = []
-    for start in range(0, len(queries), _TILE):
-        tile = queries[start : start + _TILE]
-        scores = np.zeros((len(tile), len(ids)), dtype=kind)
-        for term, (at, values) in enumerate(postings):
+class _Block:
+    """Rows as posting lists, by id."""
+
+    def __init__(self, parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]]):
+        self.width = max(p[0].shape[1] for p in parts)
+        rows = np.concatenate([np.pad(p[0], ((0, 0), (0, self.width - p[0].shape[1]))) for p in parts])
+        self.ids, self.rows = (np.concatenate([p[i] for p in parts]) for i in (1, 2))
+        self.most = np.abs(rows).max() if len(rows) else 0
+        self.postings = []
+        for term in range(self.width):
+            at = np.flatnonzero(rows[:, term])
+            whole = len(at) * _DENSE > len(rows)
+            self.postings.append((slice(None), rows[:, term].copy()) if whole else (at, rows[at, term]))
+        self.cast: dict = {}
+
+    def best(self, asked: pd.DataFrame, k: int) -> pd.DataFrame:
+        """Scores of all rows, term by term, and of them the k best for each query."""
+        tile = _matrix(asked["v"])[:, : self.width]  # further components meet zeros
+        most = float(self.most) * float(np.abs(tile).max(initial=0)) * self.width
+        kind = np.float32 if most < 2**24 else np.float64 if most < 2**53 else np.int64  # exact in either case
+        if kind not in self.cast:
+            self.cast = {kind: [(at, values.astype(kind)) for at, values in self.postings]}
+        scores = np.zeros((len(tile), len(self.ids)), dtype=kind)
+        for term, (at, values) in enumerate(self.cast[kind][: tile.shape[1]]):
             asking = np.flatnonzero(tile[:, term])
             if len(asking) and len(values):
                 part = np.multiply.outer(tile[asking, term].astype(kind), values)
@@ -107,15 +128,16 @@ def _best(asked: pd.DataFrame, there: pd.DataFrame, k: int) -> pd.DataFrame:
                     scores += part
                 else:
                     scores[asking] += part
-        for q in range(len(tile)):
-            line, qid, mine = scores[q], query_ids[start + q], own[start + q]
-            keep = np.arange(len(ids))
-            if mine < len(ids) and ids[mine] == qid:
-                keep = np.delete(keep, mine)
+        names, query_ids, out = asked["row"].to_numpy(), asked["vec_id"].to_numpy(), []
+        for line, name, query_id in zip(scores, names, query_ids, strict=True):
+            keep = np.arange(len(line))
+            own = np.flatnonzero(self.rows == name)
+            if len(own):
+                keep = np.delete(keep, own)
             if len(keep) > k:  # everything above the k-th score, then ties in order of id
                 limit = np.partition(line[keep], len(keep) - k)[len(keep) - k]
                 above, level = keep[line[keep] > limit], keep[line[keep] == limit]
                 keep = np.concatenate([above, level[: k - len(above)]])
-            out.append((np.full(len(keep), qid), ids[keep], line[keep].astype(np.int64)))
-    parts = [np.concatenate(x) for x in zip(*out, strict=True)]
-    return pd.DataFrame(dict(zip(("query_id", "vec_id", "score"), parts, strict=True)))
+            out.append((np.full(len(keep), name), np.full(len(keep), query_id), self.ids[keep], self.rows[keep], line[keep].astype(np.int64)))
+        columns = [np.concatenate(x) for x in zip(*out, strict=True)]
+        return pd.DataFrame(dict(zip(("query", "query_id", "vec_id", "row", "score"), columns, strict=True)))

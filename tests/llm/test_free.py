@@ -122,18 +122,23 @@ def test_sum_of_squares_identity():
 
 
 def test_top_k_equals_brute_force(spark, monkeypatch):
-    monkeypatch.setattr(topk, "QUERY_BLOCK", 3)
-    monkeypatch.setattr(topk, "ROW_BLOCK", 40)
+    monkeypatch.setattr(topk, "LEAST_BLOCK", 40)
+    monkeypatch.setattr(topk, "MOST_BLOCK", 60)
     rng = np.random.default_rng(2)
-    vectors = {i: (rng.integers(-2, 3, rng.integers(0, 6)) / 64).tolist() for i in range(-40, 140)}
-    rows = [(i, v) for i, v in vectors.items()] + [(20, vectors[20]), (500, [None, 1.0]), (520, [float("nan")]), (540, None), (None, [1.0]), (560, [float("inf")])]
-    got = top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), k=7).collect()
-    expected = set()
-    for q in (i for i in vectors if i % 20 == 0):
-        scored = sorted((-sum(round(a * 64) * round(b * 64) for a, b in zip(vectors[q], v, strict=False)), i) for i, v in vectors.items() if i != q)[:7]
-        expected |= {(q, n, i, -s) for n, (s, i) in enumerate(scored, 1)}
-    assert {(r.query_id, r["rank"], r.vec_id, r.score) for r in got} == expected and len(got) == len(expected)
+    good = [(i, (rng.integers(-2, 3, rng.integers(0, 6)) / 64).tolist()) for i in range(-40, 140)]
+    good += [(20, good[60][1]), (20, good[60][1]), (1, [5.0, 0.0]), (1, [-5.0, 0.0]), (40, [3 / 64])]  # ids repeat, with equal and other vectors
+    rows = [*good, (500, [None, 1.0]), (520, [float("nan")]), (540, None), (None, [1.0]), (560, [float("inf")])]
+    clash = ["row", "block", "side", "query", "score", "v"]
+    shape = "vec_id long, embedding array<double>, " + ", ".join(f"{c} string" for c in clash)
+    got = top_k(spark.createDataFrame([(*r, *clash) for r in rows], shape), k=7).collect()
+    expected = []
+    for at, (q, asked) in enumerate(good):
+        if q % 20 == 0:
+            scored = [(-sum(round(a * 64) * round(b * 64) for a, b in zip(asked, v, strict=False)), i) for b, (i, v) in enumerate(good) if b != at]
+            expected += [(q, n, i, -s) for n, (s, i) in enumerate(sorted(scored)[:7], 1)]
+    assert sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in got) == sorted(expected)
     assert top_k(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
+    assert top_k(spark.createDataFrame([(1, [1.0])], "vec_id long, embedding array<float>")).count() == 0
 
 
 def test_archives_round_trip(spark, tmp_path, monkeypatch):
