@@ -25,6 +25,7 @@ MOST_LEVELS = 13
 FIT_ROWS = 1 << 16  # vectors, at most and by hash, whose projections fix the medians; every vector is indexed
 ASKED = 128  # sampled queries, by hash, for which brute force measures the search
 RECALL = 0.95  # of the sampled queries' neighbours, at least
+FIRST = TREES  # leaves after which a query has a bound
 BLOCK = 4096  # rows of a leaf that meet in one task; larger leaves are dealt over several
 _STREAM = 512  # queries compared with a block at once
 _SEED = 11
@@ -82,10 +83,14 @@ def nearest(
     forest.count(placed)
     visits = _measured(queries, placed, forest, k, recall)
 
-    found = _searched(queries, placed, forest, visits, k)
-    order = Window.partitionBy("query").orderBy(F.desc("score"), "least", "row")
-    best = found.withColumn("_place", F.dense_rank().over(order)).filter(F.col("_place") <= k + 1).drop("_place").distinct()
-    best = materialize(best, "forest-best")
+    # the first leaves give every query a score that rows of the further ones must reach
+    queries = queries.withColumn("bound", F.lit(float("-inf")))
+    best = materialize(_kept(_searched(queries, placed, forest, visits, k, 0, FIRST), k), "forest-first")
+    if visits > FIRST:
+        reached = best.groupBy("query").agg(F.when(F.count(F.lit(1)) > k, F.min("score")).otherwise(float("-inf")).alias("bound"))
+        queries = queries.drop("bound").join(reached, F.col("row") == F.col("query")).drop("query")
+        further = _searched(queries, placed, forest, visits, k, FIRST, None)
+        best = materialize(_kept(best.union(further), k), "forest-best")
     each = best.join(distinct.select("row", "ids"), "row").select("query", F.explode("ids").alias("vec_id"), "score", (F.col("row") == F.col("query")).alias("same"))
     rank = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score"), "vec_id"))
     each = each.withColumn("rank", rank).filter(F.col("rank") <= k + 1)
@@ -99,6 +104,12 @@ def nearest(
     return answers.select("query_id", (F.col("at") + 1).alias("rank"), "entry.vec_id", "entry.score")
 
 
+def _kept(found: DataFrame, k: int) -> DataFrame:
+    """The k + 1 best rows of each query, once where several trees found them."""
+    order = Window.partitionBy("query").orderBy(F.desc("score"), "least", "row")
+    return found.withColumn("_place", F.dense_rank().over(order)).filter(F.col("_place") <= k + 1).drop("_place").distinct()
+
+
 class _Forest:
     """Directions by seed, medians by level, and sizes of leaves: all of a size that the constants bound."""
 
@@ -237,15 +248,15 @@ def best_rows(asked: np.ndarray, there: np.ndarray, least: np.ndarray, rows: np.
         yield q, near[order], score[order]
 
 
-def _searched(queries: DataFrame, placed: DataFrame, forest: _Forest, visits: int, k: int) -> DataFrame:
-    """(query, row, least, score): the k + 1 best rows of every leaf that a query takes."""
+def _searched(queries: DataFrame, placed: DataFrame, forest: _Forest, visits: int, k: int, start: int, stop: int | None) -> DataFrame:
+    """(query, row, least, score): per query and leaf, of the leaves it takes from ``start`` to ``stop``, the k + 1 best rows that reach its bound."""
 
     def route(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for start in range(0, len(batch), _STREAM):
-                some = batch.iloc[start : start + _STREAM]
+            for begin in range(0, len(batch), _STREAM):
+                some = batch.iloc[begin : begin + _STREAM]
                 projected = forest.project(matrix(some["v"], forest.width))
-                taken = [forest.asked(p, visits, k) for p in projected]
+                taken = [forest.asked(p, visits, k)[start:stop] for p in projected]
                 at = np.repeat(np.arange(len(some)), [len(t) for t in taken])
                 where = np.array([x for t in taken for x in t], np.int32).reshape(-1, 2)
                 parts = np.maximum(1, -(-forest.sizes[where[:, 0], where[:, 1]] // BLOCK))
@@ -261,9 +272,9 @@ def _searched(queries: DataFrame, placed: DataFrame, forest: _Forest, visits: in
                 parts = np.maximum(1, -(-forest.sizes[tree, leaf] // BLOCK))
                 mixed = (batch["row"].to_numpy(np.int64).view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(33)
                 part = (mixed.astype(np.int64) % parts).astype(np.int32)
-                yield batch[["row", "least", "v"]].assign(tree=np.int32(tree), leaf=leaf, part=part, side=np.int32(0))
+                yield batch[["row", "least", "v"]].assign(bound=0.0, tree=np.int32(tree), leaf=leaf, part=part, side=np.int32(0))
 
-    shape = "row long, least long, v array<double>, tree int, leaf int, part int, side int"
+    shape = "row long, least long, v array<double>, bound double, tree int, leaf int, part int, side int"
     sent = placed.mapInPandas(deal, shape).union(queries.mapInPandas(route, shape))
     dealt = sent.repartition(*_TASK).sortWithinPartitions(*_TASK, "side")
 
@@ -284,11 +295,12 @@ def _searched(queries: DataFrame, placed: DataFrame, forest: _Forest, visits: in
                 if len(held) > 1:
                     held = [tuple(np.concatenate(x) for x in zip(*held, strict=True))]
                 there, least, ids = held[0]
-                for start in range(0, len(asked), _STREAM):
-                    some = asked.iloc[start : start + _STREAM]
-                    names, out = some["row"].to_numpy(), []
-                    for q, at, score in best_rows(matrix(some["v"], forest.width), there, least, ids, k + 1):
-                        out.append((np.full(len(at), names[q]), ids[at], least[at], score))
+                for begin in range(0, len(asked), _STREAM):
+                    some = asked.iloc[begin : begin + _STREAM]
+                    names, bounds, out = some["row"].to_numpy(), some["bound"].to_numpy(), []
+                    for q, best, score in best_rows(matrix(some["v"], forest.width), there, least, ids, k + 1):
+                        best, score = best[score >= bounds[q]], score[score >= bounds[q]]
+                        out.append((np.full(len(best), names[q]), ids[best], least[best], score))
                     yield pd.DataFrame(dict(zip(("query", "row", "least", "score"), (np.concatenate(x) for x in zip(*out, strict=True)), strict=True)))
 
     return dealt.mapInPandas(compare, _FOUND)
