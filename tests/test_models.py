@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import random
 
+import numpy as np
 import pytest
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.functions import vector_to_array
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 
 from conftest import rows
 from tallywork.modeling import features, training
+from tallywork.modeling.certificate import logistic_certificate
 from tallywork.plans.analysis import analyze, report
 from tallywork.spec import AnalysisSpec
 
@@ -79,3 +81,23 @@ def test_whole_analysis(spark, people):
     assert {"target", "numeric_profile", "chi_square", "model_comparison", "group_performance"} <= sections
     described = rows(done.results["model_metadata"])[0]
     assert described["target_mapping"] == {"no": 0, "yes": 1}
+
+
+def test_certificate_tells_an_optimum(spark, people):
+    keyed = AnalysisSpec(**{**SPEC.__dict__, "key": ("id",)})
+    table = training.model_table(people, keyed)
+    n = table.where("split = 'train'").count()
+    fitted = training.train_and_evaluate(training.LOGISTIC, training.logistic(n), table, keyed)
+    found = rows(logistic_certificate(fitted, table, keyed), "feature")
+    assert set(found) == {"intercept", "x", "z", "c=a", "c=b", "c=c", "g=f", "g=m"}
+    assert max(abs(r["gradient"]) for r in found.values()) < 1e-7
+    # a fit stopped early has the gradient that a plain sum over its train rows gives
+    early = training.train_and_evaluate(training.LOGISTIC, training.logistic(n).setMaxIter(2), table, keyed)
+    said = [r["gradient"] for r in logistic_certificate(early, table, keyed).collect()]
+    train = features.with_class_weight(table.where("split = 'train'"))
+    data = early.model.transform(train).select(vector_to_array("features").alias("f"), "label", "weight").collect()
+    x, y, w = (np.array([r[c] for r in data], float) for c in ("f", "label", "weight"))
+    last = early.model.stages[-1]
+    b = last.coefficients.toArray()
+    pull = w * (1 / (1 + np.exp(-(x @ b + last.intercept))) - y)
+    assert said == pytest.approx([pull.sum() / n, *((x.T @ pull + b) / n)], abs=1e-12) and max(map(abs, said)) > 1e-4
