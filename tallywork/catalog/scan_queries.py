@@ -9,9 +9,9 @@ from pyspark.sql import types as T
 from tallywork.catalog.census import KEYS, SPEC
 from tallywork.catalog.registry import Tables, query, rounded
 from tallywork.functions.columns import col, indicator, recode
-from tallywork.operators import clean, quality
+from tallywork.operators import clean, multisets, quality
 from tallywork.operators.numeric import outlier_rows
-from tallywork.sources import delimited, sinks
+from tallywork.sources import delimited, quarantine, sinks
 from tallywork.sources.scratch import new_path
 
 FILE_SCHEMA = T.StructType(
@@ -37,10 +37,12 @@ def _starts(*prefixes: str) -> Column:
     return hit
 
 
-def _write_lines(df: DataFrame, values: dict[str, Column], label: str) -> str:
-    """Comma-and-blank separated lines: '?' for NULL, some lines twice, some blank lines."""
+def _write_lines(df: DataFrame, values: dict[str, Column], label: str, short: str | None = None) -> str:
+    """Comma-and-blank separated lines: '?' for NULL, some lines twice, some blank lines; five values only where ``short`` starts the key."""
     fields = [F.coalesce(values.get(c, col(c)).cast("string"), F.lit("?")) for c in FILE_COLUMNS]
     line = F.concat_ws(", ", *fields)
+    if short is not None:
+        line = F.when(_starts(short), F.substring_index(line, ", ", 5)).otherwise(line)
     lines = F.when(_starts("00"), F.array(line, line)).when(_starts("ff"), F.array(line, F.lit(""))).otherwise(
         F.array(line)
     )
@@ -58,8 +60,8 @@ def messy_file(t: Tables) -> str:
     return _write_lines(t.census, {"income": _dotted_target()}, "messy")
 
 
-def damaged_file(t: Tables) -> str:
-    """As :func:`messy_file`, with unreadable sizes, padded brands and missing keys added."""
+def damaged_file(t: Tables, short: str | None = None) -> str:
+    """As :func:`messy_file`, with unreadable sizes, padded brands and missing keys added, and short lines on demand."""
     padded = F.when(_starts("e"), F.concat(F.lit("\t "), F.col("brand"), F.lit(" \t"))).otherwise(F.col("brand"))
     return _write_lines(
         t.census,
@@ -70,6 +72,7 @@ def damaged_file(t: Tables) -> str:
             "income": _dotted_target(),
         },
         "damaged",
+        short,
     )
 
 
@@ -307,3 +310,69 @@ def _(t: Tables) -> DataFrame:
     strict = delimited.read_strict(t.spark, messy_file(t), FILE_SCHEMA)
     lenient = delimited.read_lenient(t.spark, damaged_file(t), FILE_SCHEMA, keys=["l_orderkey"])
     return quality.reconcile(strict, lenient, SPEC.key_missing, "income")
+
+
+@query(
+    "csv_quarantine",
+    f"""WITH {{census}}, lines AS (
+      SELECT h, size, CASE WHEN h LIKE 'dd%' THEN NULL ELSE l_orderkey END AS l_orderkey, 1 + CAST(h LIKE '00%' AS INT) AS copies FROM census),
+    told AS (
+      SELECT '' AS "column", '{quarantine.WRONG_COUNT}' AS reason, l_orderkey, copies FROM lines WHERE h LIKE '7e%'
+      UNION ALL SELECT 'size', '{quarantine.UNREADABLE}', l_orderkey, copies FROM lines WHERE h LIKE 'f%'
+      UNION ALL SELECT 'l_orderkey', '{quarantine.NO_KEY}', l_orderkey, copies FROM lines WHERE h LIKE 'dd%'
+      UNION ALL SELECT '', 'good', l_orderkey, copies FROM lines WHERE h NOT LIKE '7e%' AND h NOT LIKE 'f%' AND h NOT LIKE 'dd%')
+    SELECT "column", reason, CAST(sum(copies) AS BIGINT) AS n, min(l_orderkey) AS first_key, max(l_orderkey) AS last_key
+    FROM told GROUP BY ALL""",
+)
+def _(t: Tables) -> DataFrame:
+    """Good rows, and rejected lines by column and reason with the keys that stand in their text."""
+    good, rejected = quarantine.scan_with_rejects(t.spark, damaged_file(t, short="7e"), FILE_SCHEMA, keys=["l_orderkey"])
+    told = rejected.select("column", "reason", F.substring_index("line", ",", 1).try_cast("bigint").alias("key"))
+    both = told.unionByName(good.select(F.lit("").alias("column"), F.lit("good").alias("reason"), F.col("l_orderkey").alias("key")))
+    return both.groupBy("column", "reason").agg(F.count(F.lit(1)).alias("n"), F.min("key").alias("first_key"), F.max("key").alias("last_key"))
+
+
+_COMPARED = ["l_orderkey", "l_linenumber", "quantity", "brand", "priority", "income"]
+
+
+def _two_versions(t: Tables) -> tuple[DataFrame, DataFrame]:
+    """The view, and a version of as many rows in which some differ and some stand for others."""
+    left = t.stored_census.select("h", *_COMPARED)
+    right = left.withColumn("quantity", F.when(_starts("abc"), F.col("quantity") + 1).otherwise(F.col("quantity")))
+    right = right.withColumn("brand", F.when(_starts("0d1"), F.lit(None).cast("string")).otherwise(F.col("brand")))
+    return left.drop("h"), right.drop("h")
+
+
+_VERSIONS_SQL = f"""WITH {{census}}, a AS (SELECT {", ".join(_COMPARED)} FROM census),
+    b AS (
+      SELECT l_orderkey, l_linenumber, CASE WHEN h LIKE 'abc%' THEN quantity + 1 ELSE quantity END AS quantity,
+        CASE WHEN h LIKE '0d1%' THEN NULL ELSE brand END AS brand, priority, income FROM census)"""
+_DIGEST_SQL = "md5(concat_ws('|', " + ", ".join(
+    f"coalesce(CAST(length(CAST({c} AS VARCHAR)) AS VARCHAR) || ':' || CAST({c} AS VARCHAR), '-')" for c in _COMPARED
+) + "))"
+
+
+@query(
+    "reconcile_ranges",
+    f"""{_VERSIONS_SQL}, x AS (SELECT {_DIGEST_SQL} AS d FROM a), y AS (SELECT {_DIGEST_SQL} AS d FROM b),
+    p AS (SELECT substr(d, 1, 2) AS range, count(*) AS n, list(d ORDER BY d) AS rows FROM x GROUP BY 1),
+    q AS (SELECT substr(d, 1, 2) AS range, count(*) AS n, list(d ORDER BY d) AS rows FROM y GROUP BY 1)
+    SELECT range, coalesce(p.n, 0) AS left_rows, coalesce(q.n, 0) AS right_rows, p.rows IS NOT DISTINCT FROM q.rows AS matches
+    FROM p FULL OUTER JOIN q USING (range)""",
+)
+def _(t: Tables) -> DataFrame:
+    """The twin compares sorted lists of digests, not sums."""
+    return multisets.compare_ranges(*_two_versions(t), _COMPARED)
+
+
+@query(
+    "reconcile_rows",
+    f"""{_VERSIONS_SQL}, p AS (SELECT *, count(*) AS n FROM a GROUP BY ALL), q AS (SELECT *, count(*) AS n FROM b GROUP BY ALL)
+    SELECT coalesce(p.l_orderkey, q.l_orderkey) AS l_orderkey, coalesce(p.l_linenumber, q.l_linenumber) AS l_linenumber,
+      coalesce(p.quantity, q.quantity) AS quantity, coalesce(p.brand, q.brand) AS brand, coalesce(p.priority, q.priority) AS priority,
+      coalesce(p.income, q.income) AS income, coalesce(p.n, 0) AS left_n, coalesce(q.n, 0) AS right_n
+    FROM p FULL OUTER JOIN q ON {" AND ".join(f"p.{c} IS NOT DISTINCT FROM q.{c}" for c in _COMPARED)}
+    WHERE coalesce(p.n, 0) <> coalesce(q.n, 0)""",
+)
+def _(t: Tables) -> DataFrame:
+    return multisets.differing_rows(*_two_versions(t), _COMPARED)

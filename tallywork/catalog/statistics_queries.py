@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from itertools import combinations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
 
 from tallywork.catalog.census import SPEC
 from tallywork.catalog.registry import Tables, long_sql, query, r, rounded
+from tallywork.functions.tails import chi_square_log_p_value, student_t_log_p_value
 from tallywork.operators import contingency, correlation, ttest
 
 NUM = SPEC.numeric
@@ -130,6 +132,27 @@ def welch(t: Tables) -> DataFrame:
     return rounded(tests, dof=4)
 
 
+# log of the tail: Simpson's integral of the density over its angle, its largest value taken out of the sum.
+_T_LOG_TAIL = """(ln(2.0E0) + lgamma((dof + 1) / 2) - lgamma(dof / 2) - 0.5E0 * ln(pi()) + (dof - 1) * ln(cos(start)) + ln((stop - start) / 60000.0E0
+    * list_sum(list_transform(range(0, 20001), lambda i: (CASE WHEN i = 0 OR i = 20000 THEN 1.0E0 WHEN i % 2 = 1 THEN 4.0E0 ELSE 2.0E0 END)
+      * exp((dof - 1) * (ln(greatest(1.0E-300, cos(start + (stop - start) * i / 20000.0E0))) - ln(cos(start))))))))"""
+
+
+@query(
+    "welch_t_log_p",
+    WELCH_SQL.split("v AS (SELECT *, ")[0].rstrip().rstrip(",")
+    + f""", angles AS (SELECT *, atan2(abs(t), sqrt(dof)) AS start FROM w),
+    ranges AS (SELECT *, least(pi() / 2, start + 60.0E0 / ((dof - 1) * greatest(tan(start), 1.0E-3))) AS stop FROM angles)
+    SELECT "column", {r(_T_LOG_TAIL, 4)} AS log_p_value, row_number() OVER (ORDER BY {_T_LOG_TAIL}, "column") AS strength FROM ranges""",
+)
+def _(t: Tables) -> DataFrame:
+    """Tests ranked by the logarithm of their p-value, strongest first; the p-values themselves underflow."""
+    tests = ttest.welch_t_tests(t.census, SPEC.test_values, "income", ">50K", "<=50K")
+    logs = tests.select("column", student_t_log_p_value(F.col("t_statistic"), F.col("dof")).alias("log_p_value"))
+    ranked = logs.withColumn("strength", F.row_number().over(Window.orderBy("log_p_value", "column")).cast("bigint"))  # one row per tested column
+    return rounded(ranked, log_p_value=4)
+
+
 @query(
     "cohens_d",
     f"""WITH {{census}}, long AS ({long_sql(NUM, "income")})
@@ -194,6 +217,18 @@ def _(t: Tables) -> DataFrame:
     return rounded(contingency.chi_square_tests(t.census, SPEC.test_categories, "income"))
 
 
+@query(
+    "chi_square_log_p",
+    CHI_SQUARE_SQL.replace("income AS label", "flag AS label").split("tested AS (")[0].rstrip().rstrip(",")
+    + f""" SELECT d."column", dof, {r("ln(list_sum(list_transform(range(0, dof // 2), lambda i: exp(i * ln(chi2 / 2) - lgamma(i + 1))))) - chi2 / 2", 4)} AS log_p_value
+    FROM dims d JOIN stat s ON d."column" = s."column" """,
+)
+def _(t: Tables) -> DataFrame:
+    """Tests against a three-valued label, so every number of degrees of freedom is even and the tail a finite sum."""
+    tests = contingency.chi_square_tests(t.census, SPEC.test_categories, "flag")
+    return rounded(tests.select("column", "dof", chi_square_log_p_value(F.col("chi2"), F.col("dof")).alias("log_p_value")), log_p_value=4)
+
+
 @query(
     "chi_square_2x2",
     chi_square_sql(

@@ -71,17 +71,32 @@ def upper_gamma(s: float, x: float) -> float:
     return max(0.0, 1.0 - front * total)
 
 
+def log_upper_gamma(s: float, x: float) -> float:
+    """log of Q(s, x), also where Q is too small for a double."""
+    if x >= s + 1.0:
+        return min(0.0, s * math.log(x) - x - math.lgamma(s) + math.log(_fraction(_gamma_terms(s, x))))
+    q = upper_gamma(s, x)
+    return math.log(q) if q > 0.0 else -math.inf
+
+
 def t_tail(t: float, dof: float) -> float:
     """Two-sided Student t tail, by one quadrature for any degrees of freedom of at least 1."""
+    log_p = log_t_tail(t, dof)
+    return log_p if math.isnan(log_p) else math.exp(log_p)
+
+
+def log_t_tail(t: float, dof: float) -> float:
+    """log of the two-sided Student t tail, also where the tail is too small for a double."""
     if t is None or dof is None or math.isnan(t) or math.isnan(dof):
         return math.nan
     if t == 0.0 or math.isinf(t):
-        return 1.0 if t == 0.0 else 0.0
+        return 0.0 if t == 0.0 else -math.inf
     # With x = sqrt(dof) tan(angle) the density is a power of the cosine over a finite range.
     start = math.atan2(abs(t), math.sqrt(dof))
 
     def height(angle):
-        return (dof - 1.0) / 2.0 * np.log1p(-np.minimum(np.sin(angle) ** 2, 1.0 - 1e-16))
+        square = np.sin(angle) ** 2  # the logarithm of the cosine, exact for small and for large angles
+        return (dof - 1.0) * np.where(square < 0.5, 0.5 * np.log1p(-np.minimum(square, 0.5)), np.log(np.maximum(np.cos(angle), 1e-300)))
 
     low, high = start, math.pi / 2
     if dof > 1.0 and height(start) - height(high) > _FAR:
@@ -89,8 +104,10 @@ def t_tail(t: float, dof: float) -> float:
             middle = (low + high) / 2
             low, high = (middle, high) if height(start) - height(middle) < _FAR else (low, middle)
     half = (high - start) / 2
-    area = half * float(np.sum(_WEIGHTS * np.exp(height(start + half * (1.0 + _NODES)))))
-    return min(1.0, 2.0 * area * math.exp(log_gamma_half_step(dof / 2.0)) / math.sqrt(math.pi))
+    # the largest height stands outside the sum, so nothing underflows
+    top = float(height(start))
+    area = half * float(np.sum(_WEIGHTS * np.exp(height(start + half * (1.0 + _NODES)) - top)))
+    return min(0.0, math.log(2.0 * area) + top + log_gamma_half_step(dof / 2.0) - 0.5 * math.log(math.pi))
 
 
 def chi2_tail(x: float, dof: float) -> float:
@@ -100,6 +117,13 @@ def chi2_tail(x: float, dof: float) -> float:
     return 1.0 if dof <= 0 else upper_gamma(dof / 2.0, x / 2.0)
 
 
+def log_chi2_tail(x: float, dof: float) -> float:
+    """log of the upper chi-square tail; a table without degrees of freedom gives 0."""
+    if x is None or dof is None or math.isnan(x) or math.isnan(dof):
+        return math.nan
+    return 0.0 if dof <= 0 or x <= 0.0 else log_upper_gamma(dof / 2.0, x / 2.0)
+
+
 def _pairwise(function):
     def run(left: pd.Series, right: pd.Series) -> pd.Series:
         return pd.Series([function(a, b) for a, b in zip(left, right)], dtype="float64")
@@ -118,3 +142,15 @@ def chi_square_p_value(x: Column, dof: Column) -> Column:
     """Upper-tail p-value of a chi-square statistic; NULL when the statistic is NULL."""
     p = _pairwise(chi2_tail)(x.cast("double"), dof.cast("double"))
     return F.when(x.isNotNull() & dof.isNotNull(), p)
+
+
+def student_t_log_p_value(t: Column, dof: Column) -> Column:
+    """Natural logarithm of the two-sided p-value, which ranks tests whose p-value is 0 in double precision."""
+    log_p = _pairwise(log_t_tail)(t.cast("double"), dof.cast("double"))
+    return F.when(t.isNotNull() & dof.isNotNull(), log_p)
+
+
+def chi_square_log_p_value(x: Column, dof: Column) -> Column:
+    """Natural logarithm of the upper-tail p-value of a chi-square statistic."""
+    log_p = _pairwise(log_chi2_tail)(x.cast("double"), dof.cast("double"))
+    return F.when(x.isNotNull() & dof.isNotNull(), log_p)

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallywork.functions.columns import col
@@ -118,6 +118,23 @@ def row_shares(cells: DataFrame) -> DataFrame:
     return full.join(by_level, ["column", "level"]).withColumn("share", ratio(F.col("n"), F.col("level_n")))
 
 
+def small_cells(by_level: DataFrame, by_label: DataFrame, whole: DataFrame, least: int = 5) -> DataFrame:
+    """``column, small_expected_cells``: cells whose expected count is below ``least``, without building any.
+
+    For a level, these are its labels with label_n < least * total / level_n, a prefix of the labels by size. Levels and
+    labels are counted by their sizes, of which a column has at most about the square root of twice its rows; sorted
+    together, a running count of labels gives every level size its prefix. Whole numbers decide ties.
+    """
+    bound = F.expr(f"({least} * total_n - 1) div level_n + 1")  # least size that is not small
+    levels = by_level.join(F.broadcast(whole), "column")  # one total per column
+    levels = levels.select("column", bound.alias("at"), F.lit(0).alias("labels"), F.lit(1).alias("levels"))
+    labels = by_label.select("column", F.col("label_n").alias("at"), F.lit(1).alias("labels"), F.lit(0).alias("levels"))
+    sizes = levels.unionByName(labels).groupBy("column", "at").agg(F.sum("labels").alias("labels"), F.sum("levels").alias("levels"))
+    below = Window.partitionBy("column").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
+    counted = sizes.withColumn("__below", F.coalesce(F.sum("labels").over(below), F.lit(0)))
+    return counted.groupBy("column").agg(F.sum(F.col("levels") * F.col("__below")).alias("small_expected_cells"))
+
+
 def chi_square(cells: DataFrame, alpha: float = 0.05) -> DataFrame:
     """One row per column: ``column, n, levels, labels, dof, chi2, p_value, cramers_v,
     small_expected_cells, is_significant``.
@@ -147,12 +164,7 @@ def chi_square(cells: DataFrame, alpha: float = 0.05) -> DataFrame:
             F.first("total_n").alias("total_n"),
         )
     )
-    small = (
-        by_level.join(by_label, "column")
-        .join(F.broadcast(whole), "column")
-        .groupBy("column")
-        .agg(F.count_if(expected < 5).alias("small_expected_cells"))
-    )
+    small = small_cells(by_level, by_label, whole)
     # Every table joined below has one row per tested column.
     stats = (
         observed.join(F.broadcast(level_stats), "column")

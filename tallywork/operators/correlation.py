@@ -47,11 +47,41 @@ def pearson_pairs(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return _pair_table(_numbers(df, columns), columns)
 
 
-def _has_gaps(numbers: DataFrame, columns: Sequence[str]) -> bool:
-    gap = F.lit(False)
-    for c in columns:
-        gap = gap | col(c).isNull()
-    return bool(numbers.where(gap).limit(1).count())
+def _with_gaps(numbers: DataFrame, columns: Sequence[str]) -> set[str]:
+    """Columns with a missing value: one narrow aggregate."""
+    one = numbers.agg(F.count(F.lit(1)), *[F.count(col(c)) for c in columns]).first()
+    return {c for c, n in zip(columns, one[1:], strict=True) if n < one[0]}
+
+
+def _pairwise_ranked(numbers: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
+    """Spearman r of pairs with missing values, each over its own complete rows, all in one chain of jobs.
+
+    Rows are counted by (pair, a, b); a pair's side is a rank domain of its own, so one frequency table and one prefix sum
+    give the ranks of every pair, and two joins by (domain, value) attach them to the counts.
+    """
+    both = [
+        F.when(col(a).isNotNull() & col(b).isNotNull(), F.struct(F.lit(i).alias("pair"), col(a).alias("a"), col(b).alias("b")))
+        for i, (a, b) in enumerate(pairs)
+    ]
+    complete = numbers.select(F.explode(F.array_compact(F.array(*both))).alias("p")).select("p.*")
+    joint = materialize(complete.groupBy("pair", "a", "b").agg(F.count(F.lit(1)).alias("n")), "joint-frequencies")
+
+    def side(name: str) -> DataFrame:
+        return joint.select(F.concat(F.lit(name), F.col("pair").cast("string")).alias("column"), F.col(name).alias("value"), "n")
+
+    freq = side("a").unionByName(side("b")).groupBy("column", "value").agg(F.sum("n").alias("n"))
+    ranks = materialize(average_ranks(materialize(freq, "numeric-frequencies")), "ranks")
+    ranks = ranks.select(F.substring("column", 1, 1).alias("__side"), F.substring("column", 2, 9).cast("int").alias("pair"), "value", "rank", "n_total")
+    for name in ("a", "b"):
+        own = ranks.where(F.col("__side") == name).select("pair", F.col("value").alias(name), F.col("rank").alias(f"rank_{name}"), F.col("n_total").alias(f"total_{name}"))
+        joint = joint.join(own, ["pair", name])
+    x, y = (F.col(f"rank_{s}") - (F.col("total_a") + 1) / 2.0 for s in ("a", "b"))  # the mean of mid-ranks is known
+    n = F.col("n")
+    r = F.try_divide(F.sum(n * x * y), F.sqrt(F.sum(n * x * x)) * F.sqrt(F.sum(n * y * y)))
+    found = joint.groupBy("pair").agg(r.alias("r"))
+    found = found.withColumn("r", F.when(F.col("r") > 1.0, F.lit(1.0)).when(F.col("r") < -1.0, F.lit(-1.0)).otherwise(F.col("r")))
+    names = numbers.sparkSession.createDataFrame([(i, a, b) for i, (a, b) in enumerate(pairs)], "pair int, column_a string, column_b string")
+    return F.broadcast(names).join(found, "pair", "left").select("column_a", "column_b", "r")
 
 
 def _attach_rank(rows: DataFrame, ranks: DataFrame, name: str, spread: Sequence[str]) -> DataFrame:
@@ -64,19 +94,16 @@ def _attach_rank(rows: DataFrame, ranks: DataFrame, name: str, spread: Sequence[
     hot_value = F.col("n") * HOT_SHARE >= F.col("n_total")
     hot = ranks.where(hot_value).select(F.col("value").alias("__hot"), F.col("rank").alias("__hot_rank"))
     cold = ranks.where(~hot_value).select(
-        F.col("value").alias("__cold"), F.lit(0).alias("__lane"), F.col("rank").alias("__cold_rank")
+        F.col("value").alias("__cold"), F.lit(0).cast("bigint").alias("__lane"), F.col("rank").alias("__cold_rank")
     )
-    served = F.col("__hot_rank").isNotNull()
-    lane = F.when(served, F.lit(1) + F.pmod(F.xxhash64(*[col(c) for c in spread]), F.lit(4093)).cast("int"))
     found = rows.join(F.broadcast(hot), col(name) == F.col("__hot"), "left")
-    found = found.withColumn("__key", F.when(~served, col(name))).withColumn("__at", F.coalesce(lane, F.lit(0)))
-    found = found.join(
-        cold, (F.col("__key") == F.col("__cold")) & (F.col("__at") == F.col("__lane")), "left"
-    )
+    # a NULL key meets nothing; its hash lane only keeps the rows already served apart
+    served = F.col("__hot_rank").isNotNull()
+    lane = F.when(served, F.xxhash64(*[col(c) for c in spread])).otherwise(F.lit(0).cast("bigint"))
+    found = found.withColumn("__key", F.when(~served, col(name))).withColumn("__at", lane)
+    found = found.join(cold, (F.col("__key") == F.col("__cold")) & (F.col("__at") == F.col("__lane")), "left")
     ranked = F.coalesce("__hot_rank", "__cold_rank")
-    return found.withColumn(name, ranked).drop(
-        "__hot", "__hot_rank", "__key", "__at", "__cold", "__lane", "__cold_rank"
-    )
+    return found.withColumn(name, ranked).drop("__hot", "__hot_rank", "__key", "__at", "__cold", "__lane", "__cold_rank")
 
 
 def _rank_rows(numbers: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -94,23 +121,20 @@ def _rank_rows(numbers: DataFrame, columns: Sequence[str]) -> DataFrame:
     return ranked
 
 
-def spearman_pairs(df: DataFrame, columns: Sequence[str], freq_safe: bool | None = None) -> DataFrame:
+def spearman_pairs(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Upper triangle of the Spearman matrix, pairwise complete.
 
-    Without missing values all pairs share one rank per column. Otherwise ranks depend on the
-    pair, and each pair is ranked over its own complete rows. ``freq_safe=True`` skips the look
-    for missing values when the caller knows there are none.
+    Columns without missing values share one rank per column. A pair with a missing value is ranked over
+    its own complete rows. The narrow columns are stored once, and all passes read them there.
     """
-    numbers = _numbers(df, columns)
-    if freq_safe or not _has_gaps(numbers, columns):
-        return _pair_table(_rank_rows(numbers, columns), columns)
-    tables = []
-    for a, b in combinations(columns, 2):
-        complete = numbers.select(col(a), col(b)).na.drop("any")
-        tables.append(_pair_table(_rank_rows(complete, [a, b]), [a, b]))
-    out = tables[0]
-    for table in tables[1:]:
-        out = out.unionByName(table)
+    numbers = materialize(_numbers(df, columns), "numbers")
+    gaps = _with_gaps(numbers, columns)
+    whole = [c for c in columns if c not in gaps]
+    apart = [p for p in combinations(columns, 2) if gaps.intersection(p)]
+    out = _pair_table(_rank_rows(numbers.select(*[col(c) for c in whole]), whole), whole) if len(whole) > 1 else None
+    if apart:
+        ranked = _pairwise_ranked(numbers, apart)
+        out = ranked if out is None else out.unionByName(ranked)
     return out
 
 
