@@ -127,7 +127,7 @@ def _leaves(sets: DataFrame) -> DataFrame:
     done = []
     for level in range(DEPTH):
         counts = live.groupBy("leaf").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-        held = live.join(counts, "leaf")
+        held = live.join(counts.hint("merge"), "leaf")  # a merge join, whose large keys Spark can split
         if level < DEPTH - 1:
             held = materialize(held, "join-paths")
             done.append(held.filter(F.col("n") <= SMALL))
