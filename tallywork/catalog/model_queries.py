@@ -156,9 +156,9 @@ def _checked_sql(*names: str) -> str:
 
 
 # The twin fits anew: metrics of the optimum that the SQL finds.
-_TALLY = """count(*) AS n, count(*) FILTER (WHERE label = 1 AND prediction = 1) AS tp, count(*) FILTER (WHERE label = 1 AND prediction = 0) AS fn,
+TALLY_SQL = """count(*) AS n, count(*) FILTER (WHERE label = 1 AND prediction = 1) AS tp, count(*) FILTER (WHERE label = 1 AND prediction = 0) AS fn,
     count(*) FILTER (WHERE label = 0 AND prediction = 1) AS fp, count(*) FILTER (WHERE label = 0 AND prediction = 0) AS tn"""
-_AREA = """SELECT (sum(CASE WHEN label = 1 THEN place END) - count(*) FILTER (WHERE label = 1) * (count(*) FILTER (WHERE label = 1) + 1) / 2.0E0)
+AREA_SQL = """SELECT (sum(CASE WHEN label = 1 THEN place END) - count(*) FILTER (WHERE label = 1) * (count(*) FILTER (WHERE label = 1) + 1) / 2.0E0)
       / (count(*) FILTER (WHERE label = 1) * count(*) FILTER (WHERE label = 0)) AS area
     FROM (SELECT label, avg(at_row) OVER (PARTITION BY level) AS place FROM (
       SELECT label, round(margin, 9) AS level, row_number() OVER (ORDER BY round(margin, 9)) AS at_row FROM scored) AS levels) AS places"""
@@ -166,7 +166,7 @@ _AREA = """SELECT (sum(CASE WHEN label = 1 THEN place END) - count(*) FILTER (WH
 
 @query(
     "logistic_fit_eval",
-    f"""{REFIT_SQL}, tally AS (SELECT {_TALLY} FROM scored), area AS ({_AREA})
+    f"""{REFIT_SQL}, tally AS (SELECT {TALLY_SQL} FROM scored), area AS ({AREA_SQL})
     SELECT '{training.LOGISTIC}' AS model, n AS test_rows, tp + fn AS positives, {r("(tp + tn) / CAST(n AS DOUBLE)")} AS accuracy,
       {r("tp / CAST(tp + fp AS DOUBLE)")} AS "precision", {r("tp / CAST(tp + fn AS DOUBLE)")} AS recall,
       {r("2.0E0 * tp / (2 * tp + fp + fn)")} AS f1_score, {r("area", 5)} AS roc_auc FROM tally, area""",
@@ -199,7 +199,7 @@ def _(t: Tables) -> DataFrame:
 
 @query(
     "model_compare",
-    f"""{REFIT_SQL}, tally AS (SELECT {_TALLY} FROM scored)
+    f"""{REFIT_SQL}, tally AS (SELECT {TALLY_SQL} FROM scored)
     SELECT model, n AS test_rows, tp + fn AS positives, true AS metrics_agree, true AS beats_chance, true AS rule_holds,
       CASE WHEN model = '{training.LOGISTIC}' THEN {r("2.0E0 * tp / (2 * tp + fp + fn)")} END AS logistic_f1
     FROM tally, (VALUES ('{training.LOGISTIC}'), ('{training.FOREST}')) AS m(model)""",
@@ -218,7 +218,7 @@ def _(t: Tables) -> DataFrame:
 
 @query(
     "model_group_performance",
-    f"""{REFIT_SQL}, tally AS (SELECT {SPEC.group} AS "group", {_TALLY} FROM scored WHERE {SPEC.group} IS NOT NULL GROUP BY {SPEC.group})
+    f"""{REFIT_SQL}, tally AS (SELECT {SPEC.group} AS "group", {TALLY_SQL} FROM scored WHERE {SPEC.group} IS NOT NULL GROUP BY {SPEC.group})
     SELECT "group", n, {r("(tp + tn) / CAST(n AS DOUBLE)")} AS accuracy, {r("2.0E0 * tp / (2 * tp + fp + fn)")} AS f1_score,
       {r("(tp + fp) / CAST(n AS DOUBLE)")} AS positive_pred_ratio FROM tally""",
 )

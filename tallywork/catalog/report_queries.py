@@ -8,14 +8,27 @@ from pyspark.sql import functions as F
 from tallywork.catalog.census import SPEC
 from tallywork.catalog.chart_queries import chart_counts_sql
 from tallywork.catalog.profile_queries import BY_TARGET_SQL, CATEGORIES_SQL, COLUMNS_SQL, PROFILE_SQL, TARGET_SQL
-from tallywork.catalog.registry import Tables, query, rounded
+from tallywork.catalog.refit_sql import REFIT_SQL
+from tallywork.catalog.registry import Tables, query, r, rounded
+from tallywork.catalog.scan_queries import OVERVIEW_SQL
 from tallywork.catalog.statistics_queries import CHI_SQUARE_SQL, TOP_PAIRS_SQL, WELCH_SQL
-from tallywork.plans.analysis import REPORT_KEYS, analyze, report
+from tallywork.catalog.model_queries import AREA_SQL, TALLY_SQL
+from tallywork.modeling.training import LOGISTIC
+from tallywork.operators import evaluate
+from tallywork.plans.analysis import REPORT_KEYS, analyze, model_results, report
+from tallywork.plans.run import run_analysis
 from tallywork.sources.sinks import write_results
 from tallywork.sources.scratch import new_path
 
 # Metrics of each reported section; the ones after the bar are text.
 _SECTIONS = {
+    "data": (OVERVIEW_SQL.replace("SELECT 'table' AS item, 'rows' AS metric,", "SELECT 'table' AS item, 'rows' AS metric_name,"), "value", ""),
+    "clean_counts": (
+        """WITH {census}, whole AS (SELECT count(*) AS n FROM census), once AS (SELECT count(*) AS n FROM (SELECT DISTINCT * FROM census))
+        SELECT whole.n AS rows_before, once.n AS rows_after, whole.n - once.n AS rows_removed, whole.n - once.n AS raw_duplicates FROM whole, once""",
+        "rows_before rows_after rows_removed raw_duplicates",
+        "",
+    ),
     "target": (TARGET_SQL, "n pct imbalance_ratio", ""),
     "numeric_profile": (
         PROFILE_SQL,
@@ -41,7 +54,7 @@ _SECTIONS = {
 
 def _tidy_sql(section: str) -> str:
     body, numbers, texts = _SECTIONS[section]
-    item = " || '|' || ".join(f'"{k}"' for k in REPORT_KEYS[section])
+    item = " || '|' || ".join(f'"{k}"' for k in REPORT_KEYS[section]) or "''"
     packs = [
         f"struct_pack(metric := '{m}', value_double := CAST(CAST(\"{m}\" AS VARCHAR) AS DOUBLE), value_string := CAST(NULL AS VARCHAR))"
         if m != "is_significant"
@@ -60,7 +73,7 @@ def _tidy_sql(section: str) -> str:
 def _(t: Tables) -> DataFrame:
     done = analyze(t.census, SPEC, models=False, charts_too=False)
     tables = {name: rounded(done.results[name], mean=_mean_digits(name), dof=4) for name in _SECTIONS}
-    path = write_results(report(tables), new_path(t.spark, "report"))
+    path = write_results(report(tables, list(_SECTIONS)), new_path(t.spark, "report"))
     return t.spark.read.parquet(path).select("section", "item", "metric", "value_double", "value_string")
 
 
@@ -78,3 +91,62 @@ def _(t: Tables) -> DataFrame:
             part = table.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("chart"), "n")
             out = part if out is None else out.unionByName(part)
     return out
+
+
+_MODEL_METRICS = {
+    "accuracy": "(tp + tn) / CAST(n AS DOUBLE)", "precision": "tp / CAST(tp + fp AS DOUBLE)", "recall": "tp / CAST(tp + fn AS DOUBLE)",
+    "f1_score": "2.0E0 * tp / (2 * tp + fp + fn)",
+}
+_GROUP_METRICS = {k: _MODEL_METRICS[k] for k in ("accuracy", "f1_score")} | {"n": "CAST(n AS DOUBLE)", "positive_pred_ratio": "(tp + fp) / CAST(n AS DOUBLE)"}
+
+
+@query(
+    "report_model_tables",
+    f"""{REFIT_SQL}, area AS ({AREA_SQL}), tally AS (SELECT {TALLY_SQL} FROM scored),
+    groups AS (SELECT {SPEC.group} AS item, {TALLY_SQL} FROM scored WHERE {SPEC.group} IS NOT NULL GROUP BY {SPEC.group})
+    SELECT 'model_selection' AS section, '' AS item, 'logistic_f1' AS metric, {r(_MODEL_METRICS["f1_score"])} AS value_double FROM tally
+    UNION ALL SELECT 'model_comparison', '{LOGISTIC}', 'roc_auc', {r("area", 5)} FROM area
+    """
+    + " ".join(f"UNION ALL SELECT 'model_comparison', '{LOGISTIC}', '{m}', {r(e)} FROM tally" for m, e in _MODEL_METRICS.items())
+    + " "
+    + " ".join(f"UNION ALL SELECT 'group_performance', item, '{m}', {r(e)} FROM groups" for m, e in _GROUP_METRICS.items()),
+)
+def _(t: Tables) -> DataFrame:
+    """The report's model sections as far as a refit can tell them: all but the forest's own figures."""
+    tables, models = model_results(t.stored_census, SPEC)
+    tables["group_performance"] = evaluate.group_performance(models[LOGISTIC].scored, SPEC.group)
+    tidy = report(tables, ["model_comparison", "model_selection", "group_performance"])
+    known = (
+        ((F.col("section") == "model_comparison") & (F.col("item") == LOGISTIC))
+        | ((F.col("section") == "model_selection") & (F.col("metric") == "logistic_f1"))
+        | (F.col("section") == "group_performance")
+    )
+    digits = F.when(F.col("metric") == "roc_auc", F.round("value_double", 5)).otherwise(F.round("value_double", 6))
+    return tidy.where(known).select("section", "item", "metric", digits.alias("value_double"))
+
+
+def _stage_sql(name: str, body: str) -> str:
+    return f"SELECT '{name}' AS stage, (SELECT count(*) FROM ({body}) AS body_{name}) AS n"
+
+
+@query(
+    "run_taken_up_again",
+    " UNION ALL ".join(
+        [_stage_sql(name, _SECTIONS[name][0]) for name in ("data", "target", "numeric_profile", "numeric_by_target", "categories", "t_tests", "chi_square")]
+        + [_stage_sql("cleaned", "WITH {census} SELECT DISTINCT * FROM census"), _stage_sql("cleaned_csv", "WITH {census} SELECT DISTINCT * FROM census")]
+        + [_stage_sql("unmatched_ranges", "SELECT 1 WHERE false")]
+    ),
+)
+def _(t: Tables) -> DataFrame:
+    """Rows of a run's stored tables, read by a second run that finds them all finished."""
+    out, view = new_path(t.spark, "run"), t.stored_census
+    run_analysis(view, SPEC, out, other=view, models=False, charts=False)
+    tables, manifest = run_analysis(view, SPEC, out, other=view, models=False, charts=False)
+    counted = {name: tables[name] for name in ("data", "target", "numeric_profile", "numeric_by_target", "categories", "t_tests", "chi_square", "cleaned")}
+    counted["cleaned_csv"] = t.spark.read.csv(f"{manifest.folder}/files/cleaned_csv", header=True)
+    counted["unmatched_ranges"] = tables["reconciled_ranges"].where("NOT matches")
+    rows = None
+    for name, table in counted.items():
+        one = table.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("stage"), "n")
+        rows = one if rows is None else rows.unionByName(one)
+    return rows

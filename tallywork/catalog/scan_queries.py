@@ -9,7 +9,9 @@ from pyspark.sql import types as T
 from tallywork.catalog.census import KEYS, SPEC
 from tallywork.catalog.registry import Tables, query, rounded
 from tallywork.functions.columns import col, indicator, recode
-from tallywork.operators import clean, multisets, quality
+from tallywork.functions.numeric import half_even
+from tallywork.operators import categorical, clean, multisets, quality
+from tallywork.operators.frequency import category_frequencies
 from tallywork.operators.numeric import outlier_rows
 from tallywork.sources import delimited, quarantine, sinks
 from tallywork.sources.scratch import new_path
@@ -234,8 +236,7 @@ _VIEW_COLUMNS = (
 )
 
 
-@query(
-    "overview_counts",
+OVERVIEW_SQL = (
     """WITH {census}, d AS (SELECT count(*) AS k FROM (SELECT DISTINCT * FROM census))
     SELECT 'table' AS item, 'rows' AS metric, CAST(count(*) AS DOUBLE) AS value FROM census
     UNION ALL SELECT 'table', 'columns', 17.0E0
@@ -247,8 +248,11 @@ _VIEW_COLUMNS = (
     + " ".join(
         f"UNION ALL SELECT '{c}', 'missing_pct', round(100.0E0 * (count(*) - count({c})) / count(*), 6) FROM census"
         for c in SPEC.key_missing
-    ),
+    )
 )
+
+
+@query("overview_counts", OVERVIEW_SQL)
 def _(t: Tables) -> DataFrame:
     return rounded(quality.overview(t.census, SPEC.key_missing))
 
@@ -376,3 +380,48 @@ def _(t: Tables) -> DataFrame:
 )
 def _(t: Tables) -> DataFrame:
     return multisets.differing_rows(*_two_versions(t), _COMPARED)
+
+
+def _preview_sql() -> str:
+    parts = []
+    for c in _VIEW_COLUMNS:
+        text = c in ("h", "brand", "segment", "type", "priority", "flag", "returned", "income")
+        number, word = ("CAST(NULL AS DOUBLE)", c) if text else (f"CAST({c} AS DOUBLE)", "CAST(NULL AS VARCHAR)")
+        parts.append(f"SELECT 'preview', CAST(place AS VARCHAR), '{c}', {number}, {word} FROM firsts WHERE {c} IS NOT NULL")
+    return " UNION ALL ".join(parts)
+
+
+@query(
+    "overview_full",
+    f"""WITH {{census}}, facts AS ({OVERVIEW_SQL.replace("WITH {census}", "WITH inner_d AS (SELECT 1)", 1)}),
+    firsts AS (SELECT *, row_number() OVER (ORDER BY h, l_orderkey, l_linenumber) AS place FROM census QUALIFY place <= 5)
+    SELECT 'facts' AS part, item, metric, value AS number, CAST(NULL AS VARCHAR) AS text FROM facts
+    UNION ALL {_preview_sql()}""",
+)
+def _(t: Tables) -> DataFrame:
+    """Facts and preview; what Spark calls a type has no twin and is left to a test."""
+    return rounded(quality.overview_report(t.stored_census, ["h", "l_orderkey", "l_linenumber"], SPEC.key_missing).where("part <> 'types'"))
+
+
+@query(
+    "rates_half_even",
+    """WITH {census}, k AS (SELECT brand AS category, count(*) AS n, count(*) FILTER (WHERE income = '>50K') AS positive_n FROM census WHERE brand IS NOT NULL GROUP BY brand)
+    SELECT category, n, round_even(100.0E0 * positive_n / n, 1) AS positive_pct, CAST(round_even(CAST(n AS DECIMAL(18, 1)) / 100 * 10, 0) AS BIGINT) AS tens FROM k""",
+)
+def _(t: Tables) -> DataFrame:
+    """Rates as a report prints them: one digit, ties to the even one."""
+    rates = categorical.positive_rates(category_frequencies(t.census, ["brand"], "income", ">50K")).where("category IS NOT NULL")
+    return rates.select("category", "n", half_even(F.col("positive_pct"), 1).alias("positive_pct"), half_even(F.col("n") / F.lit(10.0), 0).cast("bigint").alias("tens"))
+
+
+@query(
+    "checked_scan",
+    f"""WITH {{census}}, raw AS ({_RAW_SQL}), twice AS (SELECT * FROM raw UNION ALL SELECT * FROM raw WHERE h LIKE '00%')
+    SELECT income, count(*) AS n, sum(size) AS sizes FROM twice GROUP BY income""",
+)
+def _(t: Tables) -> DataFrame:
+    """A scan whose needed columns, numeric types and readable values are checked before anything is counted."""
+    loaded = delimited.read_lenient(t.spark, messy_file(t), FILE_SCHEMA, keys=["l_orderkey"], failures="cast_failures")
+    loaded = delimited.require_readable(loaded, "cast_failures")
+    loaded = delimited.require_numeric(delimited.require_columns(loaded, [*KEYS, *SPEC.numeric, "income"]), SPEC.numeric)
+    return loaded.groupBy("income").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("sizes"))

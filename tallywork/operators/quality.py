@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallywork.functions.columns import col, one_row_to_long
 from tallywork.functions.numeric import ratio
@@ -76,6 +77,30 @@ def overview(df: DataFrame, key_missing: Sequence[str] = ()) -> DataFrame:
     return facts.unionByName(copies)
 
 
+def overview_report(df: DataFrame, key: Sequence[str], key_missing: Sequence[str] = (), n: int = 5) -> DataFrame:
+    """``part, item, metric, number, text``: the facts of :func:`overview`, the columns' types, and a preview of ``n`` rows.
+
+    A previewed row is named by its place in key order and has one entry for each column that is not NULL.
+    """
+    facts = overview(df, key_missing).select(F.lit("facts").alias("part"), "item", "metric", F.col("value").alias("number"), F.lit(None).cast("string").alias("text"))
+    types = column_types(df).select(
+        F.lit("types").alias("part"), F.col("column").alias("item"), F.lit("type").alias("metric"), F.col("position").cast("double").alias("number"), F.col("type").alias("text")
+    )
+    place = F.row_number().over(Window.orderBy(*[col(k) for k in key])).cast("string")  # over the n rows of the preview
+    first = df.orderBy(*[col(k) for k in key]).limit(n).withColumn("__place", place)
+    numeric = {f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)}
+    cells = [
+        F.struct(
+            F.lit(c).alias("metric"),
+            (col(c) if c in numeric else F.lit(None)).cast("double").alias("number"),
+            (F.lit(None) if c in numeric else col(c)).cast("string").alias("text"),
+        )
+        for c in df.columns
+    ]
+    preview = first.select(F.lit("preview").alias("part"), F.col("__place").alias("item"), F.inline(F.array(*cells))).where("number IS NOT NULL OR text IS NOT NULL")
+    return facts.unionByName(types).unionByName(preview)
+
+
 def ranges(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """``column, min, max`` sanity table."""
     one = df.agg(

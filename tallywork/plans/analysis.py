@@ -56,10 +56,13 @@ class Analysis:
     models: dict[str, training.TrainedModel] = field(default_factory=dict)
 
 
-def analyze(raw: DataFrame, spec: AnalysisSpec, models: bool = True, charts_too: bool = True) -> Analysis:
-    """Clean, profile, test, and (optionally) chart and model one table."""
+def analyze(
+    raw: DataFrame, spec: AnalysisSpec, models: bool = True, charts_too: bool = True, cleaned: DataFrame | None = None
+) -> Analysis:
+    """Clean, profile, test, and (optionally) chart and model one table; ``cleaned`` is its cleaned form where that is stored already."""
     target, positive, negative = spec.target, spec.positive, spec.negative
-    cleaned = materialize(clean.clean(raw, target, spec.numeric), "cleaned")
+    if cleaned is None:
+        cleaned = materialize(clean.clean(raw, target, spec.numeric), "cleaned")
     # One scan gives the counts per target, rows without one included; leaving the target out of the key gives the rest.
     stored = materialize(
         numeric_frequencies(cleaned, spec.numeric, by=(target,), keep_missing=True, exact=True, keep_ungrouped=True),
@@ -101,7 +104,7 @@ def analyze(raw: DataFrame, spec: AnalysisSpec, models: bool = True, charts_too:
         results |= _charts(cleaned, spec, pearson)
     fitted: dict[str, training.TrainedModel] = {}
     if models:
-        extra, fitted = _models(cleaned, spec)
+        extra, fitted = model_results(cleaned, spec)
         results |= extra
     return Analysis(cleaned, results, fitted)
 
@@ -136,7 +139,8 @@ def _charts(cleaned: DataFrame, spec: AnalysisSpec, pearson: DataFrame) -> dict[
     return out
 
 
-def _models(cleaned: DataFrame, spec: AnalysisSpec) -> tuple[dict[str, DataFrame], dict]:
+def model_results(cleaned: DataFrame, spec: AnalysisSpec) -> tuple[dict[str, DataFrame], dict]:
+    """Result tables of the model part, and the fitted models by name."""
     table = training.model_table(cleaned, spec)
     compared, chosen, models = training.compare_models(table, spec)
     picked = chosen.first()
@@ -158,8 +162,14 @@ def _models(cleaned: DataFrame, spec: AnalysisSpec) -> tuple[dict[str, DataFrame
 
 
 def report(results: dict[str, DataFrame], sections: list[str] | None = None) -> DataFrame:
-    """``section, item, metric, value_double, value_string`` rows of the report's content."""
-    names = [n for n in (sections or REPORT_KEYS) if n in results]
+    """``section, item, metric, value_double, value_string`` rows of the report's content.
+
+    All sections are wanted unless fewer are named; ``KeyError`` tells of one that is absent.
+    """
+    names = list(REPORT_KEYS if sections is None else sections)
+    absent = [n for n in names if n not in results]
+    if absent:
+        raise KeyError(f"sections without a result: {absent}")
     out = None
     for name in names:
         part = to_tidy(results[name], name, REPORT_KEYS[name])
