@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallywork.functions import tails
-from tallywork.operators import contingency, correlation, multisets
+from tallywork.operators import charts, contingency, correlation, multisets
 from tallywork.sources import quarantine
 
 
@@ -117,3 +117,21 @@ def test_log_student_tail(t, dof):
 def test_log_tails_of_nothing():
     assert tails.log_t_tail(0.0, 5.0) == 0.0 and tails.log_t_tail(math.inf, 5.0) == -math.inf and math.isnan(tails.log_t_tail(None, 5.0))
     assert tails.log_chi2_tail(0.0, 3) == 0.0 and tails.log_chi2_tail(3.0, 0) == 0.0
+
+
+@pytest.mark.parametrize("grouped", [False, True])
+def test_density_by_cells_against_the_plain_sum(spark, grouped):
+    rng = np.random.default_rng(6)
+    values = np.concatenate([rng.normal(0, 1, 400), rng.normal(30, 0.01, 300), [1e4, -50.0], np.full(200, 2.0)])
+    groups = rng.choice(["a", "b"], len(values)) if grouped else np.full(len(values), "all")
+    data = [(float(v), str(g)) for v, g in zip(values, groups, strict=True)] + [(7.0, "lone"), (None, "a")] * grouped
+    df = spark.createDataFrame(data, "x double, g string")
+    got = rows(charts.density_curve(df, "x", "g" if grouped else None), "group", "point")
+    xs = np.linspace(values.min(), values.max(), charts.GRID_POINTS)
+    for g in np.unique(groups):
+        own = values[groups == g]
+        h = own.std(ddof=1) * len(own) ** -0.2
+        plain = np.exp(-0.5 * ((xs[:, None] - own[None, :]) / h) ** 2).sum(axis=1) / (len(own) * h * math.sqrt(2 * math.pi))
+        assert [got[g, p]["density"] for p in range(len(xs))] == pytest.approx(plain.tolist(), abs=1e-13)
+        assert [got[g, p]["x"] for p in range(len(xs))] == pytest.approx(xs.tolist())
+    assert {k[0] for k in got} == set(groups)  # a group of one value has no bandwidth
