@@ -126,8 +126,9 @@ def _leaves(sets: DataFrame) -> DataFrame:
     live = live.withColumn("leaf", F.xxhash64("run", "t0"))
     done = []
     for level in range(DEPTH):
-        counts = live.groupBy("leaf").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-        held = live.join(counts.hint("merge"), "leaf")  # a merge join, whose large keys Spark can split
+        # stored and merged, so that both sides of the join are plain shuffles, whose large keys Spark can split
+        counts = materialize(live.groupBy("leaf").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "join-leaf-sizes")
+        held = live.join(counts.hint("merge"), "leaf")
         if level < DEPTH - 1:
             held = materialize(held, "join-paths")
             done.append(held.filter(F.col("n") <= SMALL))
