@@ -104,7 +104,7 @@ def group_performance(
     )
 
 
-def _score_table(df: DataFrame, label: str, score: str, buckets: int | None) -> DataFrame:
+def _score_table(df: DataFrame, label: str, score: str, most: int | None) -> DataFrame:
     """One row per distinct score with class counts and running class counts."""
     counts = (
         df.select(F.lit("score").alias("column"), col(score).cast("double").alias("value"), col(label).alias("__y"))
@@ -112,12 +112,12 @@ def _score_table(df: DataFrame, label: str, score: str, buckets: int | None) ->
         .groupBy("column", "value")
         .agg(F.count_if(F.col("__y") == 1).alias("pos"), F.count_if(F.col("__y") == 0).alias("neg"))
     )
-    return cumulate(materialize(counts, "score-counts"), measures=("pos", "neg"), buckets=buckets)
+    return cumulate(materialize(counts, "score-counts"), measures=("pos", "neg"), most=most)
 
 
-def roc_auc(df: DataFrame, label: str = "label", score: str = "score", buckets: int | None = None) -> DataFrame:
+def roc_auc(df: DataFrame, label: str = "label", score: str = "score", most: int | None = None) -> DataFrame:
     """``positives, negatives, roc_auc``: exact, tied scores count one half."""
-    table = _score_table(df, label, score, buckets)
+    table = _score_table(df, label, score, most)
     # Positives weigh the share of negatives ranked below them (ties half).
     share = (F.col("neg_before") + F.col("neg") / F.lit(2.0)) / F.col("neg_total")
     return table.agg(
@@ -134,14 +134,14 @@ def roc_auc(df: DataFrame, label: str = "label", score: str = "score", buckets:
 
 def roc_points(
     df: DataFrame, label: str = "label", score: str = "score",
-    drop_collinear: bool = False, buckets: int | None = None,
+    drop_collinear: bool = False, most: int | None = None,
 ) -> DataFrame:
     """``threshold, fpr, tpr`` by descending score, starting at (0, 0) with a NULL threshold.
 
     ``drop_collinear`` leaves out points in the middle of a straight run (equal class counts as
     the next lower score), which changes nothing about the curve.
     """
-    table = _score_table(df, label, score, buckets)
+    table = _score_table(df, label, score, most)
     if drop_collinear:
         inside = Window.partitionBy("column", "bucket").orderBy("value")
         step = F.struct("pos", "neg")

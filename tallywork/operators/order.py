@@ -1,14 +1,12 @@
 """Ranks and running sums without a global sort: distributed prefix sums over frequency tables.
 
-A frequency table holds each value once per column, so splitters taken from it cut it into
-buckets of near-equal size whatever the skew of the raw rows. The bucket of a value is a
-deterministic expression (a binary search in the splitter array), bucket totals are tiny, and
-only the inside of one bucket is ever sorted by one task. The splitters are stored before they are
-used, so every branch of a plan cuts at the same places; pass a stored frequency table, which is
-counted and then read more than once.
-
-Broadcast here: the splitter table, one row per column of one number per ``ROWS_PER_BUCKET`` rows of
-the frequency table.
+A frequency table holds each value once per column. Its rows are put into buckets by the leading bits of
+their order-preserving keys, and buckets with too many values are cut further down by the bits that follow, so the
+bucket of a value is an expression of the value, whatever the skew of the raw rows. Bucket totals are small,
+and only the inside of one bucket is ever sorted by one task.
+
+Broadcast here: the names of buckets that are cut further, at most one per ``ROWS_PER_BUCKET`` rows of the frequency
+table and level. They are stored first, so every branch of a plan cuts at the same places.
 """
 
 from __future__ import annotations
@@ -18,39 +16,31 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallywork.operators.selection import BITS, order_key
 from tallywork.sources.scratch import materialize
 
 ROWS_PER_BUCKET = 250_000
-LEAST_BUCKETS = 16
-
-
-def bucket_count(freq: DataFrame) -> int:
-    """The power of two that gives a bucket about ``ROWS_PER_BUCKET`` rows or fewer."""
-    wanted = max(LEAST_BUCKETS, -(-freq.count() // ROWS_PER_BUCKET))
-    return 1 << (wanted - 1).bit_length()
 
 
-def _find_bucket(df: DataFrame, buckets: int) -> DataFrame:
-    """Add ``bucket``, the number of splitters in ``cuts`` not above ``value``.
+def with_buckets(freq: DataFrame, most: int | None = None) -> DataFrame:
+    """Add ``bucket``, non-decreasing in ``value`` within each column, with about ``most`` rows or fewer each.
 
-    A binary search unrolled into one projection per step, so it stays in generated code.
+    A bucket is named by the key it begins with, so buckets cut at different depths keep the order of their values.
     """
-    df = df.withColumn("bucket", F.lit(0))
-    stride = buckets // 2
-    while stride:
-        above = F.element_at("cuts", F.col("bucket") + stride) <= F.col("value")
-        df = df.withColumn("bucket", F.col("bucket") + F.when(above, stride).otherwise(0))
-        stride //= 2
-    return df
-
-
-def with_buckets(freq: DataFrame, buckets: int | None = None) -> DataFrame:
-    """Add ``bucket``, non-decreasing in ``value`` within each column."""
-    buckets = buckets or bucket_count(freq)
-    fractions = [i / buckets for i in range(1, buckets)]
-    cuts = freq.groupBy("column").agg(F.percentile_approx("value", fractions, max(1000, 4 * buckets)).alias("cuts"))
-    cuts = materialize(cuts, "bucket-edges")
-    return _find_bucket(freq.join(F.broadcast(cuts), "column"), buckets).drop("cuts")
+    most = most or ROWS_PER_BUCKET
+    shift = 64 - BITS[0]
+    out = freq.withColumn("__key", order_key(F.col("value")))
+    out = out.withColumn("bucket", F.shiftleft(F.shiftright("__key", shift), shift))
+    for bits in BITS[1:]:
+        full = out.groupBy("column", "bucket").agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > most)
+        full = materialize(full.select("column", "bucket", F.lit(True).alias("__full")), "full-buckets")
+        if full.isEmpty():
+            break
+        shift -= bits
+        finer = F.shiftleft(F.shiftright("__key", shift), shift)
+        out = out.join(F.broadcast(full), ["column", "bucket"], "left")
+        out = out.withColumn("bucket", F.when(F.col("__full"), finer).otherwise(F.col("bucket"))).drop("__full")
+    return out.drop("__key")
 
 
 def _bucket_offsets(bucketed: DataFrame, keys: Sequence[str], measures: Sequence[str]) -> DataFrame:
@@ -82,19 +72,19 @@ def _running(joined: DataFrame, keys: Sequence[str], measures: Sequence[str]) ->
 
 
 def cumulate(
-    freq: DataFrame, by: Sequence[str] = (), measures: Sequence[str] = ("n",), buckets: int | None = None
+    freq: DataFrame, by: Sequence[str] = (), measures: Sequence[str] = ("n",), most: int | None = None
 ) -> DataFrame:
     """Add ``{m}_before`` (sum over smaller values) and ``{m}_total`` to a frequency table.
 
     The shuffle on (keys, bucket) serves the join with the offsets and the window alike.
     """
     keys = [*by, "column"]
-    bucketed = with_buckets(freq, buckets)
+    bucketed = with_buckets(freq, most)
     offsets = _bucket_offsets(bucketed, keys, measures)
     return _running(bucketed.join(offsets, [*keys, "bucket"]), keys, measures)
 
 
-def average_ranks(freq: DataFrame, by: Sequence[str] = (), buckets: int | None = None) -> DataFrame:
+def average_ranks(freq: DataFrame, by: Sequence[str] = (), most: int | None = None) -> DataFrame:
     """Frequency table with the mid-rank of each value (ties share their mean rank)."""
-    ranked = cumulate(freq, by, ("n",), buckets)
+    ranked = cumulate(freq, by, ("n",), most)
     return ranked.withColumn("rank", F.col("n_before") + (F.col("n") + 1) / F.lit(2.0))

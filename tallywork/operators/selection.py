@@ -24,18 +24,20 @@ _HALF = -1022  # least exponent of a normal double
 
 
 def order_key(value: Column) -> Column:
-    """A signed 64-bit integer in the order of the (finite) number: the bits of its size, with its sign.
+    """A signed 64-bit integer in the order of the number: the bits of its size, with its sign. Infinities stand outside.
 
     Exponent and fraction come from a logarithm, corrected by one where it was rounded; powers of two
     and their quotients are exact.
     """
-    size = F.abs(value)
+    whole = F.abs(value)
+    size = F.least(whole, F.lit(1.7976931348623157e308))
     rough = F.greatest(F.floor(F.log2(size)), F.lit(_HALF)).cast("double")
     up = size >= F.pow(F.lit(2.0), rough + 1)
     down = (size < F.pow(F.lit(2.0), rough)) & (rough > _HALF)
     exponent = rough + F.when(up, 1.0).when(down, -1.0).otherwise(0.0)
     digits = (size / F.pow(F.lit(2.0), exponent) * F.lit(float(1 << 52))).cast("bigint")
     bits = (exponent - F.lit(float(_HALF))).cast("bigint") * F.lit(1 << 52) + digits
+    bits = bits + (whole > size).cast("bigint")  # infinity follows the largest number
     return F.when(size == 0, F.lit(0).cast("bigint")).otherwise(F.when(value < 0, -bits).otherwise(bits))
 
 
