@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from tallywork.catalog.census import SPEC
 from tallywork.catalog.registry import Tables, long_sql, query, r, rounded
-from tallywork.operators import categorical, charts, contingency, numeric, quality
+from tallywork.operators import categorical, charts, contingency, numeric, quality, sketches
 from tallywork.operators.frequency import category_frequencies
+from tallywork.sources.scratch import new_path
 
 NUM = SPEC.numeric
 CAT = SPEC.categorical
@@ -319,3 +320,12 @@ def _(t: Tables) -> DataFrame:
     """Keys shifted to where a double holds every other integer only."""
     rows = t.read("orders").select((F.col("o_orderkey") + F.lit(2**53)).alias("big"))
     return numeric.numeric_profile(rows, ["big"]).select("column", "count", "distinct_values")
+
+
+@query("sketch_profile")
+def _(t: Tables) -> DataFrame:
+    """Approximate profile of events by user, from sketches stored per event type; an estimate has no SQL twin, its error has a test."""
+    path = new_path(t.spark, "sketches")
+    events = t.read("events")
+    sketches.add_parts(events, ["value", "user_id"], "event_type", path)
+    return sketches.merge_sketches(t.spark.read.parquet(path))
