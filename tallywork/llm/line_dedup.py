@@ -146,26 +146,35 @@ def _word_sets(docs: pa.RecordBatch) -> pa.RecordBatch:
 
 
 def _counters(lines: DataFrame) -> np.ndarray:
-    """Uses of every counter's words over all lines; the array has a fixed size."""
+    """Sets that use every counter's words; the array has a fixed size.
+
+    A task counts a set once, however often its line repeats (again only when it has met ``_CACHED`` others since), so a
+    line that fills the table does not make its words look common.
+    """
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total = np.zeros(COUNTERS, np.int64)
+        total, seen = np.zeros(COUNTERS, np.int64), set()
         for batch in batches:
-            used, times = np.unique(np.frombuffer(b"".join(batch["words"]), np.uint32) % COUNTERS, return_counts=True)
+            if len(seen) >= _CACHED:
+                seen.clear()
+            ids, first = np.unique(batch["set_id"].to_numpy(), return_index=True)
+            new = [i for i, name in zip(first.tolist(), ids.tolist(), strict=True) if name not in seen]
+            seen.update(ids.tolist())
+            used, times = np.unique(np.frombuffer(b"".join(batch["words"].iloc[new]), np.uint32) % COUNTERS, return_counts=True)
             total[used] += times
         for part, block in enumerate(np.split(total, COUNTERS // _PART)):
             if block.any():
-                yield pd.DataFrame({"part": [part], "uses": [np.minimum(block, 2**32 - 1).astype("<u4").tobytes()]})
+                yield pd.DataFrame({"part": [part], "uses": [block.astype("<i8").tobytes()]})
 
     def add(rows: pd.DataFrame) -> pd.DataFrame:
-        total = np.sum([np.frombuffer(b, "<u4") for b in rows["uses"]], axis=0, dtype=np.int64)
-        return pd.DataFrame({"part": rows["part"][:1], "uses": [np.minimum(total, 2**32 - 1).astype("<u4").tobytes()]})
+        total = np.sum([np.frombuffer(b, "<i8") for b in rows["uses"]], axis=0, dtype=np.int64)
+        return pd.DataFrame({"part": rows["part"][:1], "uses": [total.astype("<i8").tobytes()]})
 
     shape = "part int, uses binary"
-    counted = lines.filter("set_id IS NOT NULL").select("words").mapInPandas(count, shape)
-    out = np.zeros(COUNTERS, np.uint32)
+    counted = lines.filter("set_id IS NOT NULL").select("set_id", "words").mapInPandas(count, shape)
+    out = np.zeros(COUNTERS, np.int64)
     for part, uses in counted.groupBy("part").applyInPandas(add, shape).collect():  # at most COUNTERS numbers, packed
-        out[part * _PART : (part + 1) * _PART] = np.frombuffer(uses, "<u4")
+        out[part * _PART : (part + 1) * _PART] = np.frombuffer(uses, "<i8")
     return out
 
 
@@ -213,9 +222,9 @@ def _prefixes(sets: pd.DataFrame, docs: np.ndarray, uses: np.ndarray) -> pd.Data
     starts = np.cumsum(size) - size
     bits = np.uint64(1) << ((words.astype(np.uint64) * _MIX) >> np.uint64(58))
     marks = np.bitwise_or.reduceat(bits, starts)
-    used = uses[words % COUNTERS].astype(np.uint64)
-    order = np.lexsort(((used << np.uint64(32)) | words, owner))
-    words, used = words[order], used[order].astype(np.int64)
+    used = uses[words % COUNTERS]
+    order = np.lexsort((words, used, owner))
+    words, used = words[order], used[order]
     place = np.arange(len(words)) - starts[owner]
     prefix = size - (NUM * size + DEN - 1) // DEN + 1
     keep = (place < prefix[owner]) & (used > 1)  # a word used once is shared by no two lines
@@ -249,14 +258,14 @@ def _closest(most: int | None):
             last = int(np.searchsorted(keys, keys[-1]))
             rest = batch.iloc[last:]
             if last:
-                yield _candidates(batch.iloc[:last], most)
+                yield from _candidates(batch.iloc[:last], most)
         if rest is not None:
-            yield _candidates(rest, most)
+            yield from _candidates(rest, most)
 
     return work
 
 
-def _candidates(rows: pd.DataFrame, most: int | None) -> pd.DataFrame:
+def _candidates(rows: pd.DataFrame, most: int | None) -> Iterator[pd.DataFrame]:
     # of a set's rows at a word the earliest comes first and stays
     rows = rows.iloc[np.lexsort([rows[c].to_numpy() for c in ("line", "doc", "set_id", "shape", "key")])]
     key, ids = rows["key"].to_numpy(), rows["set_id"].to_numpy()
@@ -284,6 +293,10 @@ def _candidates(rows: pd.DataFrame, most: int | None) -> pd.DataFrame:
         crowded[late[~kept]] = True
         return late[kept], early[kept], far[kept]
 
+    def table(parts: list[tuple]) -> pd.DataFrame:
+        late, early, far = closest(parts)
+        return pd.DataFrame({"late": ids[late], "early": ids[early], "far": far.astype(np.int32), "more": crowded[late]})
+
     none = np.zeros(0, np.int64)
     parts, held, step = [(none, none, none)], 0, 1
     while len(active):
@@ -305,9 +318,11 @@ def _candidates(rows: pd.DataFrame, most: int | None) -> pd.DataFrame:
         held += len(l)
         if held > _HELD and most:
             parts, held = [closest(parts)], 0
+        elif held > _HELD:  # all are wanted: pass them on
+            yield table(parts)
+            parts, held = [(none, none, none)], 0
         step += 1
-    late, early, far = closest(parts)
-    return pd.DataFrame({"late": ids[late], "early": ids[early], "far": far.astype(np.int32), "more": crowded[late]})
+    yield table(parts)
 
 
 def _verified(found: DataFrame, lines: DataFrame) -> DataFrame:
