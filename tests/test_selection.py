@@ -73,3 +73,22 @@ def test_bins_are_few_whatever_the_number_of_values(spark):
     assert rows(select_quantiles(df, {"m": 0.5}))[0]["m"] == pytest.approx(199_999 / 2 / 7.0)
     keyed = df.withColumn("__key", order_key(F.col("value")))
     assert selection._bins(keyed, ["column"], 64 - selection.BITS[0], F.lit(1)).count() < 20_000  # 1024 for each power of two
+
+
+def test_keys_as_a_column_are_the_same(spark):
+    draw = random.Random(2)
+    values = EXTREMES + [struct.unpack("d", draw.randbytes(8))[0] for _ in range(2000)] + [math.inf, -math.inf, None]
+    df = spark.createDataFrame([(v,) for v in values if v is None or not math.isnan(v)], "value double")
+    found = selection.with_order_key(df)
+    assert found.columns == ["value", "__key"] and not found.schema["__key"].nullable
+    assert found.count() == df.count() - 1
+    assert found.where(~F.col("__key").eqNullSafe(order_key(F.col("value")))).isEmpty()
+
+
+@pytest.mark.parametrize("by", [(), ("g",)])
+def test_a_pass_computes_a_key_once_per_row(spark, monkeypatch, by):
+    plans, keep = [], selection.materialize
+    monkeypatch.setattr(selection, "materialize", lambda df, *a: plans.append(df._jdf.queryExecution().optimizedPlan().toString()) or keep(df, *a))
+    df = spark.range(5000).select(F.lit("x").alias("column"), (F.col("id") % 2).alias("g"), (1 + F.col("id") / 1e9).alias("value"))
+    select_quantiles(df, {"m": 0.5}, by=by).collect()
+    assert len(plans) > 1 and {p.upper().count("LOG2(") for p in plans} == {1}
