@@ -84,25 +84,29 @@ def _pairwise_ranked(numbers: DataFrame, pairs: Sequence[tuple[str, str]]) -> Da
     return F.broadcast(names).join(found, "pair", "left").select("column_a", "column_b", "r")
 
 
-def _attach_rank(rows: DataFrame, ranks: DataFrame, name: str, spread: Sequence[str]) -> DataFrame:
-    """Replace column ``name`` by the rank of its value.
+def _attach_rank(rows: DataFrame, ranks: DataFrame, name: str, spread: str, kinds: set[bool]) -> DataFrame:
+    """Replace column ``name`` by the rank of its value; ``kinds`` tells whether hot values and others occur.
 
     Hot values (at most HOT_SHARE of them, by definition) come from a broadcast list. The rest
     join by value: no remaining key holds more than a thousandth of the rows. Rows already served
-    get a NULL key with a spread second key, so they do not gather in one task either.
+    get a NULL key with a spread second key, so they do not gather in one task either. A column of
+    hot values alone moves no row.
     """
-    hot_value = F.col("n") * HOT_SHARE >= F.col("n_total")
-    hot = ranks.where(hot_value).select(F.col("value").alias("__hot"), F.col("rank").alias("__hot_rank"))
-    cold = ranks.where(~hot_value).select(
-        F.col("value").alias("__cold"), F.lit(0).cast("bigint").alias("__lane"), F.col("rank").alias("__cold_rank")
-    )
-    found = rows.join(F.broadcast(hot), col(name) == F.col("__hot"), "left")
-    # a NULL key meets nothing; its hash lane only keeps the rows already served apart
-    served = F.col("__hot_rank").isNotNull()
-    lane = F.when(served, F.xxhash64(*[col(c) for c in spread])).otherwise(F.lit(0).cast("bigint"))
-    found = found.withColumn("__key", F.when(~served, col(name))).withColumn("__at", lane)
-    found = found.join(cold, (F.col("__key") == F.col("__cold")) & (F.col("__at") == F.col("__lane")), "left")
-    ranked = F.coalesce("__hot_rank", "__cold_rank")
+    found, served = rows, F.lit(False)
+    if True in kinds:
+        hot = ranks.where("hot").select(F.col("value").alias("__hot"), F.col("rank").alias("__hot_rank"))
+        found = found.join(F.broadcast(hot), col(name) == F.col("__hot"), "left")
+        served = F.col("__hot_rank").isNotNull()
+    if False in kinds:
+        # The second key is a hash on both sides: Spark would take a constant out of the join's keys, which would leave the NULLs together.
+        own = F.xxhash64(col(name) + F.lit(0.0))
+        cold = ranks.where("NOT hot").select(
+            F.col("value").alias("__cold"), F.xxhash64(F.col("value") + F.lit(0.0)).alias("__lane"), F.col("rank").alias("__cold_rank")
+        )
+        lane = F.when(served, F.xxhash64(col(spread))).otherwise(own)
+        found = found.withColumn("__key", F.when(~served, col(name))).withColumn("__at", lane)
+        found = found.join(cold, (F.col("__key") == F.col("__cold")) & (F.col("__at") == F.col("__lane")), "left")
+    ranked = F.coalesce(*[F.col(c) for c in ("__hot_rank", "__cold_rank") if c in found.columns])
     return found.withColumn(name, ranked).drop("__hot", "__hot_rank", "__key", "__at", "__cold", "__lane", "__cold_rank")
 
 
@@ -112,13 +116,16 @@ def _rank_rows(numbers: DataFrame, columns: Sequence[str]) -> DataFrame:
     The rank tables are written once, so the planner knows their real size: below its broadcast
     threshold the row side is not shuffled at all, above it the join is by value.
     """
-    ranks = materialize(
-        average_ranks(materialize(numeric_frequencies(numbers, columns), "numeric-frequencies")), "ranks", partition_by=("column",)
-    )
-    ranked = numbers
+    ranks = average_ranks(materialize(numeric_frequencies(numbers, columns), "numeric-frequencies"))
+    ranks = materialize(ranks.withColumn("hot", F.col("n") * HOT_SHARE >= F.col("n_total")), "ranks", partition_by=("column", "hot"))
+    kinds = {(r["column"], r["hot"]) for r in ranks.select("column", "hot").distinct().collect()}  # two for a column
+    # A row's place in the stored files: it differs from row to row even where all columns have few values.
+    ranked = numbers.withColumn("__row", F.monotonically_increasing_id())
     for name in columns:
-        ranked = _attach_rank(ranked, ranks.where(F.col("column") == name), name, columns)
-    return ranked
+        own = {hot for column, hot in kinds if column == name}
+        if own:  # an empty table has no ranks
+            ranked = _attach_rank(ranked, ranks.where(F.col("column") == name), name, "__row", own)
+    return ranked.drop("__row")
 
 
 def spearman_pairs(df: DataFrame, columns: Sequence[str]) -> DataFrame:

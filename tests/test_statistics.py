@@ -7,6 +7,7 @@ import pandas as pd
 import pytest
 
 from conftest import rows
+from pyspark.sql import functions as F
 from tallywork.operators import correlation, evaluate, split, ttest
 
 
@@ -137,3 +138,26 @@ def test_roc_drop_collinear(spark, most):
     assert len(rows(evaluate.roc_points(df, most=most))) == 7
     kept = rows(evaluate.roc_points(df, drop_collinear=True, most=most))
     assert sorted(r["threshold"] for r in kept if r["threshold"] is not None) == [0.4, 0.5, 0.7, 0.9]
+
+
+def test_rows_of_a_hot_value_are_spread_when_ranks_are_joined(spark):
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "16", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in conf}
+    df = spark.range(20_000).select(
+        (F.col("id") % 7).cast("double").alias("few"),
+        F.when(F.col("id") % 16 == 0, F.col("id") / 3.0).otherwise(F.when(F.col("id") % 2 == 0, 0.0).otherwise(-0.0)).alias("gain"),
+    )
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        ranked = correlation._rank_rows(df, ["few", "gain"])
+        sizes = [r["count"] for r in ranked.groupBy(F.spark_partition_id()).count().collect()]
+        plan = correlation._rank_rows(df, ["few"])._jdf.queryExecution().executedPlan().toString()
+        got, expected = ranked.toPandas(), df.toPandas().rank()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert len(sizes) == 16 and max(sizes) < 3_000  # 18,750 rows hold a zero
+    assert "SortMergeJoin" not in plan  # a column of hot values alone moves no row
+    for c in ("few", "gain"):
+        assert sorted(got[c]) == sorted(expected[c])
