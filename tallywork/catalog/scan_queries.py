@@ -28,6 +28,7 @@ FILE_SCHEMA = T.StructType(
     + [T.StructField(c, T.StringType()) for c in ("brand", "segment", "type", "priority", "flag", "income")]
 )
 FILE_COLUMNS = FILE_SCHEMA.fieldNames()
+LINES_PER_FILE = 500_000
 _SQL_COLUMNS = ", ".join(FILE_COLUMNS[:-1])
 _DOTTED = "CASE WHEN substr(h, 1, 1) IN ('0', '1', '2', '3', '4') THEN income || '.' ELSE income END"
 
@@ -49,7 +50,8 @@ def _write_lines(df: DataFrame, values: dict[str, Column], label: str, short: st
         F.array(line)
     )
     path = new_path(df.sparkSession, label)
-    df.select(F.explode(lines).alias("value")).write.text(path)
+    # compressed files are read whole by one task each, so they are kept short
+    df.select(F.explode(lines).alias("value")).write.option("maxRecordsPerFile", LINES_PER_FILE).text(path, compression="gzip")
     return path
 
 

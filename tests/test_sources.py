@@ -1,9 +1,11 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from conftest import rows
+from tallywork.catalog import scan_queries
 from tallywork.operators import clean, quality
 from tallywork.sources import delimited, sinks
 from tallywork.sources.scratch import materialize
@@ -84,3 +86,17 @@ def test_full_outer_reconciliation(spark):
     assert got["distinct_rows", ""]["matches"] is True
     assert got["rows", ""]["matches"] is False
     assert (got["missing", "k"]["left_value"], got["missing", "k"]["right_value"]) == (1, 0)
+
+
+def test_written_lines_are_compressed_in_short_files(spark, monkeypatch):
+    monkeypatch.setattr(scan_queries, "LINES_PER_FILE", 100)
+    names = [c for c in scan_queries.FILE_COLUMNS if c not in ("l_orderkey", "brand")]
+    df = spark.range(0, 450, 1, 1).select(
+        F.col("id").alias("l_orderkey"), F.when(F.col("id") % 2 == 0, "b").alias("brand"), *[F.lit(1).alias(c) for c in names],
+        F.when(F.col("id") == 0, "00").when(F.col("id") == 1, "ff").otherwise("a").alias("h"),
+    )
+    path = scan_queries._write_lines(df, {}, "lines")
+    lines = spark.read.text(path).select("value", F.input_file_name().alias("file"))
+    files = [r.asDict() for r in lines.groupBy("file").count().collect()]
+    assert len(files) == 5 and all(r["file"].endswith(".gz") and r["count"] <= 100 for r in files)
+    assert lines.count() == 452 and lines.where("value = ''").count() == 1 and lines.where("value LIKE '0, %'").count() == 2
