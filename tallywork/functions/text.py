@@ -16,14 +16,26 @@ BLANKS = (
 )
 
 
+def _visible(character: Column) -> Column:
+    """Whether it is one of the printable ASCII characters, of which none is blank."""
+    return (character >= F.lit("!")) & (character <= F.lit("~"))
+
+
 def strip(column: Column) -> Column:
-    """Remove white space of every kind from both ends (plain ``trim`` keeps tabs)."""
-    return F.btrim(column, F.lit(BLANKS))
+    """Remove white space of every kind from both ends (plain ``trim`` keeps tabs).
+
+    Trimming looks up each end in the list of blanks, which is slow; most texts show at their ends that there is nothing to do.
+    """
+    first, last = F.substring(column, 1, 1), F.substring(column, -1, 1)
+    return F.when(_visible(first) & _visible(last), column.cast("string")).otherwise(F.btrim(column, F.lit(BLANKS)))
 
 
 def clean_label(column: Column, trailing: str = ".") -> Column:
     """Strip, then drop every trailing ``trailing`` character, then strip again."""
-    return strip(F.rtrim(strip(column), F.lit(trailing)))
+    first, last = F.substring(column, 1, 1), F.substring(column, -1, 1)
+    whole = F.rtrim(F.btrim(column, F.lit(BLANKS)), F.lit(trailing))
+    done = _visible(first) & _visible(last) & ~F.lit(trailing).contains(last)
+    return F.when(done, column.cast("string")).otherwise(F.btrim(whole, F.lit(BLANKS)))
 
 
 def sentinel_to_null(column: Column, words: Sequence[str]) -> Column:

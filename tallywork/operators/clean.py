@@ -46,13 +46,19 @@ def clean(df: DataFrame, target: str, numeric: Sequence[str] = ()) -> DataFrame:
     return distinct_rows(require_numeric(normalise_text(df, target), numeric))
 
 
-def clean_counts(raw: DataFrame, target: str) -> DataFrame:
+def clean_counts(raw: DataFrame, target: str, cleaned: DataFrame | None = None, copies: DataFrame | None = None) -> DataFrame:
     """``rows_before, rows_after, rows_removed, raw_duplicates`` of :func:`clean`.
 
-    ``raw_duplicates`` counts copies before the text is normalised, ``rows_removed`` after.
+    ``raw_duplicates`` counts copies before the text is normalised, ``rows_removed`` after. Where the result of :func:`clean`
+    is stored, pass it as ``cleaned``: its rows are those after. ``copies`` is :func:`duplicate_count` of ``raw``.
     """
-    before = _rows_and_distinct(raw, "rows_before", "raw_distinct")
-    after = _rows_and_distinct(normalise_text(raw, target), "rows_normalised", "rows_after")
+    before = (duplicate_count(raw) if copies is None else copies).select(
+        F.col("row_count").alias("rows_before"), F.col("distinct_rows").alias("raw_distinct")
+    )
+    if cleaned is None:
+        after = _rows_and_distinct(normalise_text(raw, target), "rows_normalised", "rows_after")
+    else:
+        after = cleaned.agg(F.count(F.lit(1)).alias("rows_after"))
     rows = before.select("rows_before", (F.col("rows_before") - F.col("raw_distinct")).alias("raw_duplicates"))
     return rows.select(
         "rows_before",

@@ -75,15 +75,22 @@ def crosstab(
     top_n: int | None = None,
     uncapped: Sequence[str] = (),
     null_to_other: bool = False,
+    pairs: DataFrame | None = None,
 ) -> DataFrame:
     """Observed cells ``column, level, label, n``; without ``top_n`` every level is kept.
 
-    The chart rule (``null_to_other``) ranks levels over all rows, the test rule over labelled ones.
+    The chart rule (``null_to_other``) ranks levels over all rows, the test rule over labelled ones. ``pairs`` are stored
+    :func:`label_frequencies`, unlabelled rows included, that hold the columns asked for; then the data is not read.
     """
-    pairs = label_frequencies(df, rows, label, unlabelled=null_to_other and top_n is not None)
+    unlabelled = null_to_other and top_n is not None
+    stored = pairs is not None
+    if stored:
+        pairs = pairs.where(F.col("column").isin(*rows) & (F.lit(unlabelled) | F.col("label").isNotNull()))
+    else:
+        pairs = label_frequencies(df, rows, label, unlabelled)
     if top_n is not None:
         # Read several times below: store the counts, so the data is scanned once.
-        pairs = materialize(pairs, "label-frequencies")
+        pairs = pairs if stored else materialize(pairs, "label-frequencies")
         return cap_levels(pairs, top_n, uncapped, null_to_other=null_to_other)
     return pairs.where(F.col("category").isNotNull()).select("column", F.col("category").alias("level"), "label", "n")
 
@@ -188,6 +195,8 @@ def chi_square(cells: DataFrame, alpha: float = 0.05) -> DataFrame:
     ).withColumn("is_significant", F.col("p_value") < alpha)
 
 
-def chi_square_tests(df: DataFrame, rows: Sequence[str], label: str, top_n: int = 10, alpha: float = 0.05) -> DataFrame:
+def chi_square_tests(
+    df: DataFrame, rows: Sequence[str], label: str, top_n: int = 10, alpha: float = 0.05, pairs: DataFrame | None = None
+) -> DataFrame:
     """Chi-square tests of several columns against one label in one job (row side capped)."""
-    return chi_square(crosstab(df, rows, label, top_n=top_n), alpha)
+    return chi_square(crosstab(df, rows, label, top_n=top_n, pairs=pairs), alpha)

@@ -110,13 +110,18 @@ def _attach_rank(rows: DataFrame, ranks: DataFrame, name: str, spread: str, kind
     return found.withColumn(name, ranked).drop("__hot", "__hot_rank", "__key", "__at", "__cold", "__lane", "__cold_rank")
 
 
-def _rank_rows(numbers: DataFrame, columns: Sequence[str]) -> DataFrame:
+def _rank_rows(numbers: DataFrame, columns: Sequence[str], counted: DataFrame | None = None) -> DataFrame:
     """Rows with every column replaced by its mid-rank.
 
     The rank tables are written once, so the planner knows their real size: below its broadcast
     threshold the row side is not shuffled at all, above it the join is by value.
     """
-    ranks = average_ranks(materialize(numeric_frequencies(numbers, columns), "numeric-frequencies"))
+    if counted is None:
+        freq = numeric_frequencies(numbers, columns)
+    else:
+        own = counted.where(F.col("column").isin(*columns) & F.col("value").isNotNull())
+        freq = own.groupBy("column", "value").agg(F.sum("n").alias("n"))
+    ranks = average_ranks(materialize(freq, "numeric-frequencies"))
     ranks = materialize(ranks.withColumn("hot", F.col("n") * HOT_SHARE >= F.col("n_total")), "ranks", partition_by=("column", "hot"))
     kinds = {(r["column"], r["hot"]) for r in ranks.select("column", "hot").distinct().collect()}  # two for a column
     # A row's place in the stored files: it differs from row to row even where all columns have few values.
@@ -128,17 +133,18 @@ def _rank_rows(numbers: DataFrame, columns: Sequence[str]) -> DataFrame:
     return ranked.drop("__row")
 
 
-def spearman_pairs(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+def spearman_pairs(df: DataFrame, columns: Sequence[str], counted: DataFrame | None = None) -> DataFrame:
     """Upper triangle of the Spearman matrix, pairwise complete.
 
     Columns without missing values share one rank per column. A pair with a missing value is ranked over
-    its own complete rows. The narrow columns are stored once, and all passes read them there.
+    its own complete rows. The narrow columns are stored once, and all passes read them there. ``counted`` is a stored
+    frequency table of the columns; a value may have several rows in it.
     """
     numbers = materialize(_numbers(df, columns), "numbers")
     gaps = _with_gaps(numbers, columns)
     whole = [c for c in columns if c not in gaps]
     apart = [p for p in combinations(columns, 2) if gaps.intersection(p)]
-    out = _pair_table(_rank_rows(numbers.select(*[col(c) for c in whole]), whole), whole) if len(whole) > 1 else None
+    out = _pair_table(_rank_rows(numbers.select(*[col(c) for c in whole]), whole, counted), whole) if len(whole) > 1 else None
     if apart:
         ranked = _pairwise_ranked(numbers, apart)
         out = ranked if out is None else out.unionByName(ranked)

@@ -62,14 +62,14 @@ def _size_and_gaps(df: DataFrame, columns: Sequence[str], rates: Sequence[str] =
     return one.select(F.inline(F.array(*facts)))
 
 
-def overview(df: DataFrame, key_missing: Sequence[str] = ()) -> DataFrame:
-    """``item, metric, value``: sizes, duplicates, missing counts, missing rates of key columns."""
+def overview(df: DataFrame, key_missing: Sequence[str] = (), copies: DataFrame | None = None) -> DataFrame:
+    """``item, metric, value``: sizes, duplicates (``copies``, if they are counted already), missing counts, missing rates of key columns."""
     facts = _size_and_gaps(df, df.columns, key_missing).select(
         F.when(F.col("item") == "", F.lit("table")).otherwise(F.col("item")).alias("item"),
         F.col("__fact").alias("metric"),
         "value",
     )
-    copies = duplicate_count(df).select(
+    copies = (duplicate_count(df) if copies is None else copies).select(
         F.lit("table").alias("item"),
         F.lit("duplicate_rows").alias("metric"),
         F.col("duplicate_rows").cast("double").alias("value"),

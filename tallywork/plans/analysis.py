@@ -11,7 +11,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallywork.functions.columns import col
+from tallywork.functions.columns import col, indicator
 from tallywork.modeling import training
 from tallywork.operators import (
     categorical,
@@ -24,7 +24,7 @@ from tallywork.operators import (
     quality,
     ttest,
 )
-from tallywork.operators.frequency import category_frequencies, numeric_frequencies
+from tallywork.operators.frequency import numeric_frequencies
 from tallywork.sources.scratch import materialize, new_path
 from tallywork.sources.sinks import to_tidy
 from tallywork.spec import AnalysisSpec
@@ -57,9 +57,18 @@ class Analysis:
 
 
 def analyze(
-    raw: DataFrame, spec: AnalysisSpec, models: bool = True, charts_too: bool = True, cleaned: DataFrame | None = None
+    raw: DataFrame,
+    spec: AnalysisSpec,
+    models: bool = True,
+    charts_too: bool = True,
+    cleaned: DataFrame | None = None,
+    all_read: bool = False,
 ) -> Analysis:
-    """Clean, profile, test, and (optionally) chart and model one table; ``cleaned`` is its cleaned form where that is stored already."""
+    """Clean, profile, test, and (optionally) chart and model one table; ``cleaned`` is its cleaned form where that is stored already.
+
+    With ``all_read`` the small tables that other results derive from are stored at once, for a caller who reads every result
+    in a job of its own.
+    """
     target, positive, negative = spec.target, spec.positive, spec.negative
     if cleaned is None:
         cleaned = materialize(clean.clean(raw, target, spec.numeric), "cleaned")
@@ -70,17 +79,26 @@ def analyze(
     )
     freq = stored.groupBy("column", "value", "exact").agg(F.sum("n").alias("n"))
     by_target = stored.where(col(target).isNotNull() & F.col("value").isNotNull()).select(col(target), "column", "value", "n")
-    categories = materialize(
-        category_frequencies(cleaned, spec.categorical, target, positive), "category-frequencies"
-    )
-
-    pearson = correlation.pearson_pairs(cleaned, spec.numeric)
-    spearman = correlation.spearman_pairs(cleaned, spec.numeric)
-    profile = numeric.numeric_profile(cleaned, spec.numeric, freq, stored)
+    # One scan counts (column, category, label); frequencies, tests and charts of categories all derive from that.
+    named = dict.fromkeys([*spec.categorical, *spec.test_categories, *spec.share_categories, *spec.rate_categories])
+    pairs = materialize(contingency.label_frequencies(cleaned, list(named), target, unlabelled=True), "label-frequencies")
+    label = F.col("label").cast(cleaned.schema[target].dataType)
+    hits = F.when(indicator(label, positive) == 1, F.col("n")).otherwise(0)
+    own = pairs.where(F.col("column").isin(*spec.categorical))
+    categories = own.groupBy("column", "category").agg(F.sum("n").alias("n"), F.sum(hits).alias("positive_n"))
+    categories = materialize(categories, "category-frequencies")
+
+    def kept(table: DataFrame, label: str) -> DataFrame:
+        return materialize(table, label) if all_read else table
+
+    copies = kept(clean.duplicate_count(raw), "copies")
+    pearson = kept(correlation.pearson_pairs(cleaned, spec.numeric), "pearson")
+    spearman = kept(correlation.spearman_pairs(cleaned, spec.numeric, stored), "spearman")
+    profile = kept(numeric.numeric_profile(cleaned, spec.numeric, freq, stored), "profile")
     results = {
-        "data": quality.overview(raw, spec.key_missing).withColumnRenamed("metric", "metric_name"),
+        "data": quality.overview(raw, spec.key_missing, copies).withColumnRenamed("metric", "metric_name"),
         "types": quality.column_types(cleaned),
-        "clean_counts": clean.clean_counts(raw, target),
+        "clean_counts": clean.clean_counts(raw, target, cleaned, copies),
         "unexpected_labels": clean.unexpected_values(cleaned, target, [positive, negative]),
         "ranges": quality.ranges(cleaned, spec.numeric),
         "missing_after_cleaning": quality.missing(cleaned),
@@ -97,11 +115,11 @@ def analyze(
         "target_correlation": correlation.target_correlation(cleaned, spec.numeric, target, positive),
         "t_tests": ttest.welch_t_tests(cleaned, spec.test_values, target, positive, negative, spec.alpha),
         "chi_square": contingency.chi_square_tests(
-            cleaned, spec.test_categories, target, spec.top_n, spec.alpha
+            cleaned, spec.test_categories, target, spec.top_n, spec.alpha, pairs
         ),
     }
     if charts_too:
-        results |= _charts(cleaned, spec, pearson)
+        results |= _charts(cleaned, spec, pearson, stored, pairs)
     fitted: dict[str, training.TrainedModel] = {}
     if models:
         extra, fitted = model_results(cleaned, spec)
@@ -109,33 +127,38 @@ def analyze(
     return Analysis(cleaned, results, fitted)
 
 
-def _charts(cleaned: DataFrame, spec: AnalysisSpec, pearson: DataFrame) -> dict[str, DataFrame]:
+def _charts(cleaned: DataFrame, spec: AnalysisSpec, pearson: DataFrame, counted: DataFrame, pairs: DataFrame) -> dict[str, DataFrame]:
+    """Charts of the cleaned rows, from the stored counts of values (of the numeric columns) and of categories."""
     target = spec.target
+
+    def values(name: str, group: str | None = None) -> DataFrame | None:
+        return charts.counted_values(counted, name, group) if name in spec.numeric else None
+
     out = {
         "chart_classes": charts.class_bars(cleaned, target),
         "chart_heatmap": correlation.matrix_cells(pearson),
     }
     if spec.share_categories:
         out["chart_shares"] = charts.stacked_shares(
-            cleaned, spec.share_categories, target, spec.top_n, spec.uncapped
+            cleaned, spec.share_categories, target, spec.top_n, spec.uncapped, pairs
         )
     if spec.rate_categories:
         out["chart_rates"] = charts.positive_rate_bars(
-            cleaned, spec.rate_categories, target, spec.positive, spec.top_n
+            cleaned, spec.rate_categories, target, spec.positive, spec.top_n, pairs
         )
     if spec.box_log:
-        out["chart_log_boxes"] = charts.log_box_stats(cleaned, spec.box_log)
+        out["chart_log_boxes"] = charts.log_box_stats(cleaned, spec.box_log, counted if set(spec.box_log) <= set(spec.numeric) else None)
     if spec.scatter:
         columns = list(dict.fromkeys([*spec.scatter, target]))
         out["chart_scatter"] = charts.scatter_points(cleaned, columns, spec.key, spec.sample_size, spec.seed)
     for name in spec.histogram_by_target:
-        out[f"chart_histogram_{name}"] = charts.histogram(cleaned, name, target)
-        out[f"chart_density_{name}"] = charts.density_curve(cleaned, name, target)
+        out[f"chart_histogram_{name}"] = charts.histogram(cleaned, name, target, values(name, target))
+        out[f"chart_density_{name}"] = charts.density_curve(cleaned, name, target, values=values(name, target))
     for name in spec.histogram:
-        out[f"chart_histogram_{name}"] = charts.histogram(cleaned, name)
-        out[f"chart_density_{name}"] = charts.density_curve(cleaned, name)
+        out[f"chart_histogram_{name}"] = charts.histogram(cleaned, name, values=values(name))
+        out[f"chart_density_{name}"] = charts.density_curve(cleaned, name, values=values(name))
     for name in spec.box_by_target:
-        out[f"chart_boxes_{name}"] = charts.box_stats(cleaned, name, target)
+        out[f"chart_boxes_{name}"] = charts.box_stats(cleaned, name, target, values(name, target))
     return out
 
 

@@ -102,7 +102,7 @@ def run_analysis(
     if other is not None:
         tables["reconciliation"] = manifest.table("reconciliation", lambda: quality.reconcile(raw, other, spec.key_missing, spec.target))
         tables["reconciled_ranges"] = manifest.table("reconciled_ranges", lambda: multisets.compare_ranges(raw, other, raw.columns))
-    tables |= manifest.group("results", lambda: analyze(raw, spec, models=False, charts_too=False, cleaned=cleaned).results)
+    tables |= manifest.group("results", lambda: analyze(raw, spec, models=False, charts_too=False, cleaned=cleaned, all_read=True).results)
     if charts:
         tables |= manifest.group("charts", lambda: _only("chart_", analyze(raw, spec, models=False, cleaned=cleaned).results))
     if models:
