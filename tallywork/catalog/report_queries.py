@@ -113,7 +113,7 @@ _GROUP_METRICS = {k: _MODEL_METRICS[k] for k in ("accuracy", "f1_score")} | {"n"
 )
 def _(t: Tables) -> DataFrame:
     """The report's model sections as far as a refit can tell them: all but the forest's own figures."""
-    tables, models = model_results(t.stored_census, SPEC)
+    tables, models = model_results(t.census, SPEC, stored=False)
     tables["group_performance"] = evaluate.group_performance(models[LOGISTIC].scored, SPEC.group)
     tidy = report(tables, ["model_comparison", "model_selection", "group_performance"])
     known = (

@@ -56,21 +56,27 @@ def forest(trees: int = 100, depth: int = 30, bins: int = 256, seed: int = 42) -
     )
 
 
-def model_table(df: DataFrame, spec: AnalysisSpec, extra: Sequence[str] = ()) -> DataFrame:
+def model_table(df: DataFrame, spec: AnalysisSpec, extra: Sequence[str] = (), stored: bool = True) -> DataFrame:
     """Feature columns, the 0/1 ``label``, the row key and a ``row_id`` (hash of the key, or of all
     columns when the spec names no key), split into train and test.
 
     Rows whose target is not one of the two labels are left out. The result is a stored table
     partitioned by ``split``, so both models read the same rows and each side is pruned to its
-    own files.
+    own files; a ``row_id`` that follows from the stored key is not stored beside it. ``stored`` tells whether ``df`` is
+    a scan: rows that are dear to compute are stored here, in the columns that are needed, before the split passes over them.
     """
     needed = dict.fromkeys([*spec.key, *spec.model_numeric, *spec.model_categorical, *extra, spec.target])
-    identity = spec.key or df.columns
-    labelled = df.select(*[col(c) for c in needed], order_hash(identity, spec.seed).alias("row_id"))
+    row_id = order_hash(spec.key or df.columns, spec.seed).alias("row_id")
+    own = [] if spec.key else [row_id]
+    labelled = df.select(*[col(c) for c in needed], *own)
     labelled = labelled.withColumn("label", recode(col(spec.target), spec.target_mapping))
-    labelled = labelled.where(F.col("label").isNotNull())
+    labelled = labelled.where(F.col("label").isNotNull()).drop(spec.target)
+    if not stored:
+        labelled = materialize(labelled, "labelled")
     split = stratified_split(labelled, "label", spec.key or ("row_id",), spec.test_size, spec.seed)
-    return materialize(split.drop(spec.target), "split", partition_by=("split",))
+    kept = materialize(split, "split", partition_by=("split",))
+    features = [col(c) for c in needed if c != spec.target]
+    return kept.select(*features, row_id if spec.key else col("row_id"), "label", "split")
 
 
 def score(model: PipelineModel, rows: DataFrame) -> DataFrame:
@@ -102,14 +108,20 @@ def fit_sample(train: DataFrame, rows: int | None) -> DataFrame:
 
 
 def train_and_evaluate(name: str, classifier, table: DataFrame, spec: AnalysisSpec, fit_rows: int | None = None) -> TrainedModel:
-    """Fit on the train rows (about ``fit_rows`` of them when given), score all test rows, compute the metrics."""
-    train = with_class_weight(fit_sample(table.where(F.col("split") == "train"), fit_rows))
+    """Fit on the train rows (about ``fit_rows`` of them when given), score all test rows, compute the metrics.
+
+    Where a part of the train rows is fitted on, it is stored first: the many passes of a fit do not look for it in all of them.
+    """
+    every = table.where(F.col("split") == "train")
+    train = fit_sample(every, fit_rows)
+    train = with_class_weight(train if train is every else materialize(train, "fit-rows"))
     test = table.where(F.col("split") == "test")
     stages = preprocessing_stages(spec.model_numeric, spec.model_categorical)
     model = Pipeline(stages=[*stages, classifier]).fit(train)
     scored = materialize(score(model, test), "scored")
     metrics = _with_auc(scored)
-    return TrainedModel(name, model, scored, metrics.select(F.lit(name).alias("model"), *metrics.columns))
+    # One stored row: its users do not rank the scores again.
+    return TrainedModel(name, model, scored, materialize(metrics.select(F.lit(name).alias("model"), *metrics.columns), "metrics"))
 
 
 def _with_auc(scored: DataFrame) -> DataFrame:
@@ -196,7 +208,7 @@ def verify_saved(model: PipelineModel, rows: DataFrame, key: Sequence[str], path
     """
     model.write().overwrite().save(path)
     loaded = PipelineModel.load(path)
-    sample = first_rows(rows, key, n)
+    sample = materialize(first_rows(rows, key, n), "checked-rows")  # looked for once
     before = score(model, sample).select(*[col(k) for k in key], F.col("prediction").alias("before"))
     after = score(loaded, sample).select(*[col(k) for k in key], F.col("prediction").alias("after"))
     compared = before.join(after, list(key)).withColumn("same", F.coalesce(F.col("before") == F.col("after"), F.lit(False)))

@@ -162,9 +162,9 @@ def _charts(cleaned: DataFrame, spec: AnalysisSpec, pearson: DataFrame, counted:
     return out
 
 
-def model_results(cleaned: DataFrame, spec: AnalysisSpec) -> tuple[dict[str, DataFrame], dict]:
-    """Result tables of the model part, and the fitted models by name."""
-    table = training.model_table(cleaned, spec)
+def model_results(cleaned: DataFrame, spec: AnalysisSpec, stored: bool = True) -> tuple[dict[str, DataFrame], dict]:
+    """Result tables of the model part, and the fitted models by name; ``stored`` tells whether ``cleaned`` is a scan."""
+    table = training.model_table(cleaned, spec, stored=stored)
     compared, chosen, models = training.compare_models(table, spec)
     picked = chosen.first()
     final = models[picked["chosen"]]

@@ -12,6 +12,7 @@ from conftest import rows
 from tallywork.modeling import features, training
 from tallywork.modeling.certificate import logistic_certificate
 from tallywork.plans.analysis import analyze, report
+from tallywork.sources.scratch import new_path
 from tallywork.spec import AnalysisSpec
 
 SPEC = AnalysisSpec(
@@ -101,3 +102,27 @@ def test_certificate_tells_an_optimum(spark, people):
     b = last.coefficients.toArray()
     pull = w * (1 / (1 + np.exp(-(x @ b + last.intercept))) - y)
     assert said == pytest.approx([pull.sum() / n, *((x.T @ pull + b) / n)], abs=1e-12) and max(map(abs, said)) > 1e-4
+
+
+def test_passes_of_a_fit_read_only_its_rows(spark, people, monkeypatch):
+    few = AnalysisSpec(**{**SPEC.__dict__, "key": ("id",), "forest_rows": 100, "forest_trees": 2})
+    table = training.model_table(people, few)
+    kept, keep = {}, training.materialize
+    monkeypatch.setattr(training, "materialize", lambda df, label, *a, **b: kept.setdefault(label, keep(df, label, *a, **b)))
+    trained = training.train_forest(table, few)
+    asked = training.fit_sample(table.where("split = 'train'"), 100)
+    assert 50 < asked.count() < 150 and rows(kept["fit-rows"], "id") == rows(asked, "id")
+    assert trained.metrics is kept["metrics"] and rows(trained.metrics)[0]["n"] == 80
+    training.verify_saved(trained.model, trained.scored.drop("prediction", "score"), ["row_id"], new_path(spark, "model"))
+    assert kept["checked-rows"].count() == 5
+
+
+def test_model_table_keeps_what_follows_from_the_key_out_of_its_files(spark, people, monkeypatch):
+    keyed = AnalysisSpec(**{**SPEC.__dict__, "key": ("id",)})
+    kept, keep = {}, training.materialize
+    monkeypatch.setattr(training, "materialize", lambda df, label, *a, **b: kept.setdefault(label, keep(df, label, *a, **b)))
+    stored, computed = training.model_table(people, keyed), training.model_table(people, keyed, stored=False)
+    assert "row_id" not in kept["split"].columns and set(kept["labelled"].columns) == {"id", "x", "z", "c", "g", "label"}
+    assert stored.columns == computed.columns == ["id", "x", "z", "c", "g", "row_id", "label", "split"]
+    assert rows(stored, "id") == rows(computed, "id")
+    assert {r["row_id"] for r in rows(stored)} == {r["row_id"] for r in rows(people.select(training.order_hash(["id"], 42).alias("row_id")))}
