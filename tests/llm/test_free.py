@@ -292,6 +292,19 @@ def test_later_matches_equal_brute_force(spark, monkeypatch, most):
     assert sorted((r.doc_id if r.doc_id is not None else 1 << 62, r.removed) for r in got) == sorted((k[0], v) for k, v in brute_lines(rows).items())
 
 
+def test_long_lines_meet_only_where_they_match(spark, monkeypatch):
+    """Lines of many words that share a few rare ones: hardly any pair is left for the word sets to decide."""
+    rng, kept = random.Random(3), {}
+    monkeypatch.setattr(line_dedup, "materialize", lambda df, label: kept.setdefault(f"{label}{len(kept)}", df.cache()))
+    lines = [[f"r{i % 7}x", f"r{i % 11}y", *rng.sample([f"c{n}" for n in range(400)], rng.randint(60, 140))] for i in range(150)]
+    lines += [line[:-1] for line in lines[:20]]
+    rows = [doc(i, "one short line\n" + " ".join(line)) for i, line in enumerate(lines)]
+    got = later_matches(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert sorted((r.doc_id, r.removed) for r in got) == sorted((k[0], v) for k, v in brute_lines(rows).items())
+    found = [df for label, df in kept.items() if label.startswith("line-candidates")]
+    assert sum(df.select("late", "early").distinct().count() for df in found) <= 40  # 20 match; marks that fill up let hundreds through
+
+
 def test_lines_are_taken_out(spark, edges, nothing):
     rows = [doc(1, "keep this line\nand that one"), doc(2, "Keep this line!\nnew words here\n\nand that one"), doc(3, None)]
     cleaned = without_later_matches(spark.createDataFrame(rows, SCHEMA))
