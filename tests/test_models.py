@@ -9,6 +9,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from conftest import rows
+from tallywork.catalog.census import SPEC as CENSUS
 from tallywork.modeling import features, training
 from tallywork.modeling.certificate import logistic_certificate
 from tallywork.plans.analysis import analyze, report
@@ -126,3 +127,14 @@ def test_model_table_keeps_what_follows_from_the_key_out_of_its_files(spark, peo
     assert stored.columns == computed.columns == ["id", "x", "z", "c", "g", "row_id", "label", "split"]
     assert rows(stored, "id") == rows(computed, "id")
     assert {r["row_id"] for r in rows(stored)} == {r["row_id"] for r in rows(people.select(training.order_hash(["id"], 42).alias("row_id")))}
+
+
+def test_compared_models_are_fitted_on_all_train_rows(people, monkeypatch):
+    assert CENSUS.forest_rows is None
+    few = AnalysisSpec(**{**SPEC.__dict__, "key": ("id",), "forest_rows": 100, "forest_trees": 2})
+    table = training.model_table(people, few)
+    fitted_on, fit = [], Pipeline.fit
+    monkeypatch.setattr(Pipeline, "fit", lambda self, df, *a: (fitted_on.append(df.count()), fit(self, df, *a))[1])
+    _compared, _chosen, models = training.compare_models(table, few)
+    assert fitted_on == [320, 320] and set(models) == {training.LOGISTIC, training.FOREST}
+    assert models[training.FOREST].model.stages[-1].getOrDefault("cacheNodeIds")
