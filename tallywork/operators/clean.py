@@ -4,13 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallywork.functions.columns import col
 from tallywork.functions.text import clean_label, strip
 from tallywork.sources.delimited import require_numeric
+from tallywork.sources.scratch import SHORT_METHODS, materialize, settings
+
+# Repeated rows are told by a list of as many hashes at most (16 MB of numbers); beyond, all rows are moved.
+MOST_REPEATED = 2_000_000
 
 
 def text_columns(df: DataFrame) -> list[str]:
@@ -32,6 +36,20 @@ def normalise_text(df: DataFrame, target: str | None = None) -> DataFrame:
     return df.select(*out)
 
 
+def is_normal(df: DataFrame, target: str | None = None) -> bool:
+    """Whether :func:`normalise_text` changes nothing: one scan of the texts, up to the first that it changes."""
+    texts = df.select(*[col(c) for c in text_columns(df)])
+    if not texts.columns:
+        return True
+    both = texts.select(F.struct("*").alias("__old"), *[col(c) for c in texts.columns])
+    new = normalise_text(both, target)
+    changed = F.lit(False)
+    for c in texts.columns:
+        changed = changed | ~col(c).eqNullSafe(F.col("__old").getField(c))
+    with settings(df.sparkSession, **SHORT_METHODS):
+        return new.where(changed).isEmpty()
+
+
 def distinct_rows(df: DataFrame) -> DataFrame:
     """Drop exact duplicates (NULL equals NULL).
 
@@ -46,6 +64,28 @@ def clean(df: DataFrame, target: str, numeric: Sequence[str] = ()) -> DataFrame:
     return distinct_rows(require_numeric(normalise_text(df, target), numeric))
 
 
+def clean_scan(df: DataFrame, target: str, numeric: Sequence[str] = (), as_is: bool = False) -> DataFrame:
+    """The rows of :func:`clean` for a table that is a scan, without moving rows that occur once; with ``as_is``, ``df`` itself where
+    it is clean already.
+
+    A row whose hash no other row has is distinct. Only hashes are shuffled to find the others, and only these
+    are compared whole.
+    """
+    rows = require_numeric(normalise_text(df, target), numeric)
+    counts = rows.select(row_digests(rows)[0].alias("__digest")).groupBy("__digest").agg(F.count(F.lit(1)).alias("__copies"))
+    with settings(df.sparkSession, **SHORT_METHODS):
+        repeated = materialize(counts.where("__copies > 1").select("__digest"), "repeated-hashes")
+        known = repeated.limit(MOST_REPEATED + 1).count()
+    if known == 0:
+        return df if as_is and is_normal(df, target) else rows
+    if known > MOST_REPEATED:
+        return distinct_rows(rows)
+    marked = rows.withColumn("__digest", row_digests(rows)[0])
+    once = marked.join(F.broadcast(repeated), "__digest", "left_anti").drop("__digest")
+    again = marked.join(F.broadcast(repeated), "__digest", "left_semi").drop("__digest")
+    return once.unionByName(distinct_rows(again))
+
+
 def clean_counts(raw: DataFrame, target: str, cleaned: DataFrame | None = None, copies: DataFrame | None = None) -> DataFrame:
     """``rows_before, rows_after, rows_removed, raw_duplicates`` of :func:`clean`.
 
@@ -72,12 +112,16 @@ def clean_counts(raw: DataFrame, target: str, cleaned: DataFrame | None = None,
     )
 
 
-def _rows_and_distinct(df: DataFrame, rows: str, distinct: str) -> DataFrame:
-    # Counts need no values: rows are told apart by two 64-bit hashes, so no text is shuffled.
+def row_digests(df: DataFrame) -> list[Column]:
+    """``__digest1, __digest2``: two 64-bit hashes of a row."""
     values = [col(c) for c in df.columns]
     gaps = F.array(*[v.isNull() for v in values])
-    digests = [F.xxhash64(F.lit(seed), gaps, *values).alias(f"__digest{seed}") for seed in (1, 2)]
-    copies = df.select(*digests).groupBy("__digest1", "__digest2").agg(F.count(F.lit(1)).alias("__copies"))
+    return [F.xxhash64(F.lit(seed), gaps, *values).alias(f"__digest{seed}") for seed in (1, 2)]
+
+
+def _rows_and_distinct(df: DataFrame, rows: str, distinct: str) -> DataFrame:
+    # Counts need no values: rows are told apart by two 64-bit hashes, so no text is shuffled.
+    copies = df.select(*row_digests(df)).groupBy("__digest1", "__digest2").agg(F.count(F.lit(1)).alias("__copies"))
     return copies.agg(
         F.coalesce(F.sum("__copies"), F.lit(0)).cast("bigint").alias(rows),
         F.count(F.lit(1)).alias(distinct),

@@ -63,15 +63,20 @@ def analyze(
     charts_too: bool = True,
     cleaned: DataFrame | None = None,
     all_read: bool = False,
+    stored_raw: bool = False,
 ) -> Analysis:
     """Clean, profile, test, and (optionally) chart and model one table; ``cleaned`` is its cleaned form where that is stored already.
 
+    ``stored_raw`` tells whether ``raw`` is a scan: then rows that occur once are not moved to find the copies, and a table that
+    is clean already is not stored again.
+
     With ``all_read`` the small tables that other results derive from are stored at once, for a caller who reads every result
     in a job of its own.
     """
     target, positive, negative = spec.target, spec.positive, spec.negative
     if cleaned is None:
-        cleaned = materialize(clean.clean(raw, target, spec.numeric), "cleaned")
+        found = clean.clean_scan(raw, target, spec.numeric, as_is=True) if stored_raw else clean.clean(raw, target, spec.numeric)
+        cleaned = raw if found is raw else materialize(found, "cleaned", packed=True)
     # One scan gives the counts per target, rows without one included; leaving the target out of the key gives the rest.
     stored = materialize(
         numeric_frequencies(cleaned, spec.numeric, by=(target,), keep_missing=True, exact=True, keep_ungrouped=True),

@@ -3,11 +3,15 @@
 A materialised table is written as Parquet and read back: lineage is cut, later reads prune columns,
 and the planner sees true file sizes. Tables go to the folder named in ``spark.checkpoint.dir``; where
 that is unset, below the session's warehouse, the folder in which Spark itself keeps tables.
+
+What a written table needed on the way, the shuffle files of its job, goes as soon as it stands.
 """
 
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -20,6 +24,29 @@ def scratch_root(spark: SparkSession) -> str:
     return named.rstrip("/") if named else spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/intermediate"
 
 
+_DROP_SHUFFLES = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
+# Generated methods beyond 8,000 bytes are never compiled by the JVM; Spark then evaluates expressions in smaller ones.
+SHORT_METHODS = {"spark.sql.codegen.hugeMethodLimit": "8000"}
+
+
+@contextmanager
+def settings(spark: SparkSession, **names: str) -> Iterator[None]:
+    """Settings that hold inside the block only."""
+    before = {name: spark.conf.get(name, None) for name in names}
+    for name, value in names.items():
+        spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
+def shuffles_dropped(spark: SparkSession):
+    """Shuffle files of a write that runs inside the block are removed when it ends, not at some later garbage collection."""
+    return settings(spark, **_DROP_SHUFFLES)
+
+
 class Store:
     """Intermediate tables of one run, in a folder of their own that :meth:`clear` removes."""
 
@@ -31,10 +58,12 @@ class Store:
         """A path nobody has used before."""
         return f"{self.folder}/{label}-{uuid.uuid4().hex}"
 
-    def keep(self, df: DataFrame, label: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
-        """Write ``df`` and return a fresh scan of it."""
+    def keep(self, df: DataFrame, label: str, partition_by: tuple[str, ...] = (), packed: bool = False) -> DataFrame:
+        """Write ``df`` and return a fresh scan of it; ``packed`` takes less disk for wide rows."""
         path = self.path(label)
-        df.write.partitionBy(*partition_by).parquet(path)
+        writer = df.write.partitionBy(*partition_by)
+        with shuffles_dropped(self.spark):
+            (writer.option("compression", "zstd") if packed else writer).parquet(path)
         return self.spark.read.schema(df.schema).parquet(path).select(*[col(c) for c in df.columns])
 
     def clear(self) -> None:
@@ -55,6 +84,6 @@ def new_path(spark: SparkSession, label: str) -> str:
     return session_store(spark).path(label)
 
 
-def materialize(df: DataFrame, label: str, partition_by: tuple[str, ...] = (), store: Store | None = None) -> DataFrame:
+def materialize(df: DataFrame, label: str, partition_by: tuple[str, ...] = (), store: Store | None = None, packed: bool = False) -> DataFrame:
     """Write ``df`` to ``store`` (by default the session's) and return a fresh scan of it."""
-    return (store or session_store(df.sparkSession)).keep(df, label, partition_by)
+    return (store or session_store(df.sparkSession)).keep(df, label, partition_by, packed)
