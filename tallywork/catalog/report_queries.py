@@ -140,8 +140,8 @@ def _stage_sql(name: str, body: str) -> str:
 def _(t: Tables) -> DataFrame:
     """Rows of a run's stored tables, read by a second run that finds them all finished."""
     out, view = new_path(t.spark, "run"), t.stored_census
-    run_analysis(view, SPEC, out, other=view, models=False, charts=False)
-    tables, manifest = run_analysis(view, SPEC, out, other=view, models=False, charts=False)
+    run_analysis(view, SPEC, out, other=view, models=False, charts=False, stored_raw=True)
+    tables, manifest = run_analysis(view, SPEC, out, other=view, models=False, charts=False, stored_raw=True)
     counted = {name: tables[name] for name in ("data", "target", "numeric_profile", "numeric_by_target", "categories", "t_tests", "chi_square", "cleaned")}
     counted["cleaned_csv"] = t.spark.read.csv(f"{manifest.folder}/files/cleaned_csv", header=True)
     counted["unmatched_ranges"] = tables["reconciled_ranges"].where("NOT matches")

@@ -19,6 +19,7 @@ from tallywork.operators import clean, multisets, quality
 from tallywork.plans.analysis import REPORT_KEYS, analyze, report
 from tallywork.sources import sinks
 from tallywork.sources.delimited import require_columns, require_numeric
+from tallywork.sources.scratch import shuffles_dropped
 from tallywork.spec import AnalysisSpec
 
 _MANIFEST = "stage string, kind string, path string, tables array<string>"
@@ -55,7 +56,9 @@ class Manifest:
         """The stored table of a stage; ``build`` is called only where it is not finished."""
         path = f"{self.folder}/tables/{stage}"
         if not self._exists(f"{path}/_SUCCESS"):
-            build().write.mode("overwrite").parquet(path)
+            built = build()
+            with shuffles_dropped(self.spark):
+                built.write.mode("overwrite").option("compression", "zstd").parquet(path)
         if not self.done(stage):
             self._record(stage, "table", path, [stage])
         return self.spark.read.parquet(path)
@@ -84,20 +87,28 @@ class Manifest:
 
 
 def run_analysis(
-    raw: DataFrame, spec: AnalysisSpec, out: str, other: DataFrame | None = None, models: bool = True, charts: bool = True
+    raw: DataFrame,
+    spec: AnalysisSpec,
+    out: str,
+    other: DataFrame | None = None,
+    models: bool = True,
+    charts: bool = True,
+    stored_raw: bool = False,
 ) -> tuple[dict[str, DataFrame], Manifest]:
     """All results of :func:`analyze`, stored, with the end products of a run: (tables by name, manifest).
 
     ``raw`` must have the spec's columns and numbers where the spec says so. Beside the tables there are the cleaned rows as
-    delimited text, the tidy report, with ``other`` (a second load of the same data) the reconciliation by facts and
+    compressed delimited text, the tidy report, with ``other`` (a second load of the same data) the reconciliation by facts and
     by hash ranges, and with ``models`` the chosen model's description as JSON. Run again after a failure, finished
-    tables and files are read, not made.
+    tables and files are read, not made. ``stored_raw`` tells whether ``raw`` is a scan, so that only rows that occur
+    more than once are moved to clean it.
     """
     require_columns(raw, list(dict.fromkeys([*spec.key, *spec.numeric, *spec.categorical, spec.target])))
     require_numeric(raw, list(spec.numeric))
     manifest = Manifest(raw.sparkSession, f"{out.rstrip('/')}/{input_fingerprint(raw, spec)}")
-    cleaned = manifest.table("cleaned", lambda: clean.clean(raw, spec.target, spec.numeric))
-    manifest.file("cleaned_csv", lambda path: sinks.write_csv(cleaned, path, mode="overwrite"))
+    cleaner = clean.clean_scan if stored_raw else clean.clean
+    cleaned = manifest.table("cleaned", lambda: cleaner(raw, spec.target, spec.numeric))
+    manifest.file("cleaned_csv", lambda path: sinks.write_csv(cleaned, path, mode="overwrite", packed=True))
     tables = {"cleaned": cleaned}
     if other is not None:
         tables["reconciliation"] = manifest.table("reconciliation", lambda: quality.reconcile(raw, other, spec.key_missing, spec.target))

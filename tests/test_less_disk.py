@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pathlib import Path
+
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
@@ -9,6 +11,7 @@ from test_run import SHAPE, SPEC, people
 
 from tallywork.catalog.registry import Tables
 from tallywork.operators import clean
+from tallywork.plans import run as plan
 from tallywork.plans.analysis import analyze
 from tallywork.sources.scratch import materialize, settings
 
@@ -58,6 +61,16 @@ def test_rows_that_are_clean_are_not_stored_again(spark):
         assert sorted(map(str, done.results[name].collect())) == sorted(map(str, plain.results[name].collect()))
 
 
+def test_run_writes_compressed_text_of_clean_rows(spark, tmp_path):
+    data = [*people(30), *people(3)]
+    raw = materialize(spark.createDataFrame(data, SHAPE), "raw")
+    _tables, manifest = plan.run_analysis(raw, SPEC, f"file://{tmp_path}/out", models=False, charts=False, stored_raw=True)
+    folder = Path(manifest.folder.removeprefix("file://")) / "files/cleaned_csv"
+    assert [*folder.glob("*.csv.gz")] and not [*folder.glob("*.csv")]
+    back = spark.read.schema(SHAPE).csv(str(folder), header=True)
+    assert sorted(map(str, back.collect())) == sorted(map(str, raw.dropDuplicates().collect()))
+
+
 def test_stored_view_is_the_view_without_its_hash(spark, tmp_path):
     tables = {
         "lineitem": ([(o, p, 5, n, 7.0, 100.0, 0.1, 0.0, "R") for o in (1, 2, 2, None) for p in (1, 2, 9) for n in (1, 1)],
