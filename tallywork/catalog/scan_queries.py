@@ -14,7 +14,7 @@ from tallywork.operators import categorical, clean, multisets, quality
 from tallywork.operators.frequency import category_frequencies
 from tallywork.operators.numeric import outlier_rows
 from tallywork.sources import delimited, quarantine, sinks
-from tallywork.sources.scratch import new_path
+from tallywork.sources.scratch import new_path, shuffles_dropped
 
 FILE_SCHEMA = T.StructType(
     [T.StructField(k, T.IntegerType() if k == "l_linenumber" else T.LongType()) for k in KEYS]
@@ -28,7 +28,7 @@ FILE_SCHEMA = T.StructType(
     + [T.StructField(c, T.StringType()) for c in ("brand", "segment", "type", "priority", "flag", "income")]
 )
 FILE_COLUMNS = FILE_SCHEMA.fieldNames()
-LINES_PER_FILE = 500_000
+LINES_PER_FILE = sinks.LINES_PER_FILE
 _SQL_COLUMNS = ", ".join(FILE_COLUMNS[:-1])
 _DOTTED = "CASE WHEN substr(h, 1, 1) IN ('0', '1', '2', '3', '4') THEN income || '.' ELSE income END"
 
@@ -50,8 +50,8 @@ def _write_lines(df: DataFrame, values: dict[str, Column], label: str, short: st
         F.array(line)
     )
     path = new_path(df.sparkSession, label)
-    # compressed files are read whole by one task each, so they are kept short
-    df.select(F.explode(lines).alias("value")).write.option("maxRecordsPerFile", LINES_PER_FILE).text(path, compression="gzip")
+    with shuffles_dropped(df.sparkSession):
+        df.select(F.explode(lines).alias("value")).write.options(**sinks.PACKED_TEXT | {"maxRecordsPerFile": str(LINES_PER_FILE)}).text(path)
     return path
 
 
@@ -59,16 +59,16 @@ def _dotted_target() -> Column:
     return F.when(_starts("0", "1", "2", "3", "4"), F.concat("income", F.lit("."))).otherwise(F.col("income"))
 
 
-def messy_file(t: Tables) -> str:
-    """The census records as a headerless text file with repeated, dotted and blank lines."""
-    return _write_lines(t.census, {"income": _dotted_target()}, "messy")
+def messy_file(t: Tables, view: DataFrame | None = None) -> str:
+    """The census records (``view``, where they are stored already) as a headerless text file with repeated, dotted and blank lines."""
+    return _write_lines(t.census if view is None else view, {"income": _dotted_target()}, "messy")
 
 
-def damaged_file(t: Tables, short: str | None = None) -> str:
+def damaged_file(t: Tables, short: str | None = None, view: DataFrame | None = None) -> str:
     """As :func:`messy_file`, with unreadable sizes, padded brands and missing keys added, and short lines on demand."""
     padded = F.when(_starts("e"), F.concat(F.lit("\t "), F.col("brand"), F.lit(" \t"))).otherwise(F.col("brand"))
     return _write_lines(
-        t.census,
+        t.census if view is None else view,
         {
             "size": F.when(_starts("f"), F.lit("many")).otherwise(F.col("size").cast("string")),
             "brand": padded,
@@ -313,8 +313,9 @@ def _(t: Tables) -> DataFrame:
     FROM a FULL OUTER JOIN b USING (check_name, item)""",
 )
 def _(t: Tables) -> DataFrame:
-    strict = delimited.read_strict(t.spark, messy_file(t), FILE_SCHEMA)
-    lenient = delimited.read_lenient(t.spark, damaged_file(t), FILE_SCHEMA, keys=["l_orderkey"])
+    view = t.stored_census  # joined once for both files
+    strict = delimited.read_strict(t.spark, messy_file(t, view), FILE_SCHEMA)
+    lenient = delimited.read_lenient(t.spark, damaged_file(t, view=view), FILE_SCHEMA, keys=["l_orderkey"])
     return quality.reconcile(strict, lenient, SPEC.key_missing, "income")
 
 

@@ -24,10 +24,12 @@ def _visible(character: Column) -> Column:
 def strip(column: Column) -> Column:
     """Remove white space of every kind from both ends (plain ``trim`` keeps tabs).
 
-    Trimming looks up each end in the list of blanks, which is slow; most texts show at their ends that there is nothing to do.
+    Trimming looks up each end in the list of blanks, which is slow; most texts show at their ends, once plain blanks are off, that
+    there is nothing else to do.
     """
-    first, last = F.substring(column, 1, 1), F.substring(column, -1, 1)
-    return F.when(_visible(first) & _visible(last), column.cast("string")).otherwise(F.btrim(column, F.lit(BLANKS)))
+    plain = F.trim(column)
+    first, last = F.substring(plain, 1, 1), F.substring(plain, -1, 1)
+    return F.when(_visible(first) & _visible(last), plain).otherwise(F.btrim(column, F.lit(BLANKS)))
 
 
 def clean_label(column: Column, trailing: str = ".") -> Column:

@@ -10,7 +10,8 @@ from pyspark.sql import types as T
 
 from tallywork.functions.columns import col, one_row_to_long
 from tallywork.functions.numeric import ratio
-from tallywork.operators.clean import duplicate_count
+from tallywork.operators.clean import duplicate_count, row_digests
+from tallywork.sources.scratch import SHORT_METHODS, materialize, settings
 
 
 def shape(df: DataFrame) -> DataFrame:
@@ -117,20 +118,32 @@ def ranges(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def _facts(df: DataFrame, key_missing: Sequence[str], target: str) -> DataFrame:
-    """``check_name, item, value`` facts about one table."""
-    sizes = _size_and_gaps(df, key_missing).select(
-        F.col("__fact").alias("check_name"), "item", F.col("value").cast("bigint").alias("value")
-    )
-    labels = (
-        df.where(col(target).isNotNull())
-        .groupBy(col(target).cast("string").alias("item"))
-        .agg(F.count(F.lit(1)).alias("value"))
-        .select(F.lit("category").alias("check_name"), "item", "value")
-    )
-    distinct = duplicate_count(df).select(
-        F.lit("distinct_rows").alias("check_name"), F.lit("").alias("item"), F.col("distinct_rows").alias("value")
+    """``check_name, item, value`` facts about one table, from one scan.
+
+    Equal rows, told by two 64-bit hashes, are counted with their label and their gaps; what is stored is one row a label.
+    """
+    names = {c: f"__gap{i}" for i, c in enumerate(key_missing)}
+    label = col(target).cast("string").alias("__label")
+    rows = df.select(*row_digests(df), label, *[col(c).isNull().alias(gap) for c, gap in names.items()])
+    rows = rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("__copies"))
+    n = F.col("__copies")
+    by_label = rows.groupBy("__label").agg(
+        F.sum(n).alias("__rows"),
+        F.count(F.lit(1)).alias("__distinct"),
+        *[F.sum(F.when(F.col(gap), n).otherwise(0)).alias(gap) for gap in names.values()],
     )
-    return sizes.unionByName(labels).unionByName(distinct)
+    with settings(df.sparkSession, **SHORT_METHODS):
+        by_label = materialize(by_label, "label-facts")
+    whole = by_label.agg(*[F.coalesce(F.sum(c), F.lit(0)).cast("bigint").alias(c) for c in by_label.columns if c != "__label"])
+    told = [("rows", "", F.col("__rows")), ("columns", "", F.lit(len(df.columns)).cast("bigint"))]
+    told += [("missing", c, F.col(gap)) for c, gap in names.items()]
+    distinct = F.col("__distinct")
+    if isinstance(df.schema[target].dataType, (T.FloatType, T.DoubleType)):  # 0.0 and -0.0 are two labels of equal rows
+        distinct = duplicate_count(df).select("distinct_rows").scalar()
+    told += [("distinct_rows", "", distinct)]
+    facts = [F.struct(F.lit(name).alias("check_name"), F.lit(item).alias("item"), value.alias("value")) for name, item, value in told]
+    labels = by_label.where(F.col("__label").isNotNull()).select(F.lit("category").alias("check_name"), F.col("__label").alias("item"), F.col("__rows").alias("value"))
+    return whole.select(F.inline(F.array(*facts))).unionByName(labels)
 
 
 def reconcile(left: DataFrame, right: DataFrame, key_missing: Sequence[str], target: str) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from test_run import SHAPE, SPEC, people
 
 from tallywork.catalog.registry import Tables
-from tallywork.operators import clean
+from tallywork.operators import clean, quality
 from tallywork.plans import run as plan
 from tallywork.plans.analysis import analyze
 from tallywork.sources.scratch import materialize, settings
@@ -71,6 +71,31 @@ def test_run_writes_compressed_text_of_clean_rows(spark, tmp_path):
     assert sorted(map(str, back.collect())) == sorted(map(str, raw.dropDuplicates().collect()))
 
 
+def test_reconcile_reads_each_side_once(spark, tmp_path):
+    shape = "t string, k string, g string, v double"
+    data = [("a", None, "g", 1.0), ("a", None, "g", 1.0), ("b", "x", None, 2.0), (None, "x", "g", None), (None, None, None, None)]
+    sides = []
+    for name, part in (("left", data), ("right", data[:3])):
+        spark.createDataFrame(part, shape).write.parquet(str(tmp_path / name))
+        sides.append(spark.read.parquet(str(tmp_path / name)))
+    got = quality.reconcile(*sides, ["k", "g"], "t")
+    assert not [f for f in got.inputFiles() if str(tmp_path) in f]  # later reads take the stored facts
+    said = {(r["check_name"], r["item"]): (r["left_value"], r["right_value"], r["matches"]) for r in got.collect()}
+    assert said == {
+        ("rows", ""): (5, 3, False), ("columns", ""): (4, 4, True), ("missing", "k"): (3, 2, False), ("missing", "g"): (2, 1, False),
+        ("category", "a"): (2, 2, True), ("category", "b"): (1, 1, True), ("distinct_rows", ""): (4, 2, False),
+    }
+    empty = rows(quality.reconcile(sides[0].limit(0), sides[0].limit(0), ["k"], "t"), "check_name", "item")
+    assert {k: v["left_value"] for k, v in empty.items()} == {("rows", ""): 0, ("columns", ""): 4, ("missing", "k"): 0, ("distinct_rows", ""): 0}
+
+
+def test_reconcile_tells_zeros_of_a_numeric_target_apart(spark):
+    df = spark.createDataFrame([(0.0, "x"), (-0.0, "x"), (1.0, "x")], "t double, k string")
+    got = rows(quality.reconcile(df, df, ["k"], "t"), "check_name", "item")
+    assert {k[1]: v["left_value"] for k, v in got.items() if k[0] == "category"} == {"0.0": 1, "-0.0": 1, "1.0": 1}
+    assert got["distinct_rows", ""]["left_value"] == 2
+
+
 def test_stored_view_is_the_view_without_its_hash(spark, tmp_path):
     tables = {
         "lineitem": ([(o, p, 5, n, 7.0, 100.0, 0.1, 0.0, "R") for o in (1, 2, 2, None) for p in (1, 2, 9) for n in (1, 1)],
